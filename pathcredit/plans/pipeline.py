@@ -22,6 +22,7 @@ from ..operators import overview as ov
 from ..operators import paths as pth
 from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
+from ..session import materialize
 from ..sources.fixtures import Inputs
 
 
@@ -30,10 +31,17 @@ class Pipeline:
     subscription high-water mark ``last_success`` (``None``: no manifest yet,
     so every subscription since ``start_date`` counts as touched)."""
 
-    def __init__(self, inputs: Inputs, cfg: AttributionConfig, last_success: dt.datetime | None = None):
+    def __init__(self, inputs: Inputs, cfg: AttributionConfig, last_success: dt.datetime | None = None,
+                 materialize: bool = True):
         self.inputs = inputs
         self.cfg = cfg
         self.last_success = last_success if last_success is not None else cfg.start_date
+        self._materialize = materialize
+
+    def _stage(self, df: DataFrame, label: str) -> DataFrame:
+        # The reference stores these stages as tables; so do we (shared
+        # folder), which also keeps later stages from recomputing them.
+        return materialize(df, label) if self._materialize else df
 
     @cached_property
     def touched(self) -> DataFrame:
@@ -41,11 +49,11 @@ class Pipeline:
 
     @cached_property
     def this_run(self) -> DataFrame:
-        return sub.subscription_events(self.inputs.conversions, self.touched, self.cfg)
+        return self._stage(sub.subscription_events(self.inputs.conversions, self.touched, self.cfg), "this_run")
 
     @cached_property
     def subscriptions(self) -> DataFrame:
-        return sub.build_subscriptions(self.this_run, self.cfg)
+        return self._stage(sub.build_subscriptions(self.this_run, self.cfg), "subscriptions")
 
     @cached_property
     def touchpoints(self) -> DataFrame:
@@ -63,7 +71,7 @@ class Pipeline:
     @cached_property
     def paths(self) -> DataFrame:
         convs = self.ordinary.unionByName(self.new_subscriptions)
-        return pth.paths_to_conversion(convs, self.touchpoints, self.cfg)
+        return self._stage(pth.paths_to_conversion(convs, self.touchpoints, self.cfg), "paths")
 
     def attributions(self, dim: str) -> DataFrame:
         return att.attribute(self.paths, dim, self.cfg)

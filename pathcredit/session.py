@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. AQE re-plans joins at runtime (broadcasts only
 # what it has measured to be small) and splits skewed shuffle partitions.
@@ -65,3 +65,14 @@ def new_state_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder for one pipeline's tables."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared folder and read it back: the
+    stage is computed once, later stages scan it (with column pruning and
+    filter pushdown) instead of recomputing its lineage, and the data
+    survives executor loss."""
+    spark = df.sparkSession
+    path = new_state_dir(spark, f"stage-{label}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

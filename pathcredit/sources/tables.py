@@ -69,36 +69,63 @@ class TableStore:
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(name))
 
+    def _partitions(self, path: str, partition_by: str) -> set[str]:
+        """Partition values present under ``path`` (from the directory
+        listing, no data scan)."""
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return set()
+        prefix = f"{partition_by}="
+        return {st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                if st.isDirectory() and st.getPath().getName().startswith(prefix)}
+
+    def _write_partitioned(self, df: DataFrame, path: str, partition_by: str, mode: str = "errorifexists",
+                           dynamic: bool = False) -> None:
+        # REBALANCE on the partition column: AQE coalesces small output
+        # partitions (few files per date) and splits skewed ones (a date
+        # holding a large share of rows is written by several tasks).
+        w = df.hint("rebalance", partition_by).write.mode(mode)
+        if dynamic:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.partitionBy(partition_by).parquet(path)
+
     def upsert(self, name: str, updates: DataFrame, key: Sequence[str], partition_by: str) -> DataFrame:
         """Replace whole rows whose key is in ``updates``, insert the
         others, delete nothing. Returns the table as read back."""
         key = list(key)
         target = self.read(name)
         if target is None:
-            updates.write.mode("overwrite").partitionBy(partition_by).parquet(self.path(name))
+            self._write_partitioned(updates, self.path(name), partition_by, mode="overwrite")
             return self.read(name)
-        upd_keys = updates.select(*key).distinct()
-        old_parts = target.select(*key, partition_by).join(upd_keys, key, "left_semi").select(partition_by)
-        parts = old_parts.unionByName(updates.select(partition_by)).distinct()
-        affected = target.join(parts, partition_by, "left_semi")
-        kept = affected.join(upd_keys, key, "left_anti")
-        new_content = kept.unionByName(updates, allowMissingColumns=True)
-        staging_name = f"_staging/{name}-{uuid.uuid4().hex[:12]}"
-        staging = self.path(staging_name)
-        new_content.write.partitionBy(partition_by).parquet(staging)
-        if not self.exists(staging_name):  # nothing to change
-            self._delete(staging)
+        run = uuid.uuid4().hex[:12]
+        # Stage the updates once: everything below reads them back instead
+        # of re-running their lineage.
+        upd_path = self.path(f"_staging/{name}-{run}-updates")
+        self._write_partitioned(updates, upd_path, partition_by)
+        if not self.exists(f"_staging/{name}-{run}-updates"):  # no updates
+            self._delete(upd_path)
             return target
-        staged = self.spark.read.parquet(staging)
-        # Partition values are bounded by the calendar (dates), so this list
-        # is small; it is needed to drop partitions the upsert emptied.
-        touched = {r[0] for r in parts.collect()}
-        written = {r[0] for r in staged.select(partition_by).distinct().collect()}
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).parquet(self.path(name)))
+        staged_updates = self.spark.read.parquet(upd_path)
+        upd_keys = staged_updates.select(*key).distinct()
+        # Affected partitions: those of the updates plus those holding an
+        # older row of an updated key. Dates, so a small driver-side list;
+        # as a literal filter it prunes the target scan statically.
+        old_parts = {str(r[0]) for r in
+                     target.select(*key, partition_by).join(upd_keys, key, "left_semi")
+                     .select(partition_by).distinct().collect()}
+        touched = old_parts | self._partitions(upd_path, partition_by)
+        affected = target.filter(F.col(partition_by).cast("string").isin(sorted(touched)))
+        kept = affected.join(upd_keys, key, "left_anti")
+        new_content = kept.unionByName(staged_updates, allowMissingColumns=True)
+        new_path = self.path(f"_staging/{name}-{run}-content")
+        self._write_partitioned(new_content, new_path, partition_by)
+        written = self._partitions(new_path, partition_by)
+        self._write_partitioned(self.spark.read.parquet(new_path), self.path(name), partition_by,
+                                mode="overwrite", dynamic=True)
         for v in touched - written:
             self._delete(f"{self.path(name)}/{partition_by}={v}")
-        self._delete(staging)
+        self._delete(upd_path)
+        self._delete(new_path)
         return self.read(name)
 
 

@@ -21,6 +21,7 @@ also cuts the lineage):
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -96,6 +97,7 @@ class RunReport:
     paths_mark: dt.datetime | None
     attribution_mark: dt.datetime | None
     first_paths_build: bool
+    timings: dict[str, float]
 
 
 def subscription_stage(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: AttributionConfig,
@@ -146,28 +148,42 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
     run_id = run_id or uuid.uuid4().hex[:12]
     store = TableStore(spark, state_dir)
     manifest = Manifest(store)
+    timings: dict[str, float] = {}
+    clock = time.perf_counter()
+
+    def lap(name: str) -> None:
+        nonlocal clock
+        now = time.perf_counter()
+        timings[name] = round(now - clock, 3)
+        clock = now
+
     marks = manifest.read()
     sub_mark = marks.get(SUBSCRIPTIONS_MARK, cfg.start_date)
+    lap("manifest")
 
     this_run, _, subs = subscription_stage(spark, store, inputs, cfg, sub_mark)
+    lap("subscriptions")
 
     existing = store.read(PATHS)
     updates = paths_updates(inputs, cfg, this_run, subs, existing)
     paths = store.upsert(PATHS, updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")),
                          ["cv_id"], "cv_tstamp_date")
+    lap("paths")
 
     attr_mark = marks.get(ATTRIBUTION_MARK)
     if paths is not None:
         scope = att.attribution_scope(paths.select(*pth.PATH_COLUMNS), this_run, attr_mark, cfg)
         for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
             store.upsert(table, att.attribute(scope, dim, cfg), ["composite_key"], "cv_tstamp_date")
+            lap(f"{dim}_attributions")
 
     new_sub_mark = high_water(this_run, "cv_tstamp")
     new_sub_mark = max(sub_mark, new_sub_mark) if new_sub_mark is not None else sub_mark
     new_attr_mark = high_water(paths, "cv_tstamp")
     manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: new_attr_mark}, run_id)
+    lap("manifest_advance")
     return RunReport(run_id, new_sub_mark, high_water(paths, "cv_path_start_tstamp"), new_attr_mark,
-                     existing is None)
+                     existing is None, timings)
 
 
 @dataclass
