@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 from ..config import NO_CAMPAIGN, PATH_SEPARATOR, ChannelRule
 
 
+def ts_lit(t) -> Column:
+    """A TIMESTAMP_NTZ literal built from its wall-clock text, so it means the
+    same under every session time zone (``F.lit(datetime)`` does not)."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
+def hour_floor(ts: Column) -> Column:
+    """Truncate a TIMESTAMP_NTZ to the hour without a time-zone round trip."""
+    return F.date_format(ts, "yyyy-MM-dd HH:00:00").cast("timestamp_ntz")
+
+
 def day_number(ts: Column) -> Column:
     """Calendar day of a timestamp as days since 1970-01-01 (an int key)."""
     return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date"))

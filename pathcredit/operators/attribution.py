@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
-from ..functions.columns import path_to_string, weights
+from ..functions.columns import path_to_string, weights, ts_lit
 
 DIMENSIONS = ("channel", "campaign")
 
@@ -34,7 +34,7 @@ def attribution_scope(paths: DataFrame, this_run: DataFrame | None, last_process
     the OR in one pass over the paths."""
     if last_processed is None:
         return paths
-    bound = F.col("cv_tstamp") >= F.lit(last_processed - dt.timedelta(days=cfg.path_lookback_days))
+    bound = F.col("cv_tstamp") >= ts_lit(last_processed - dt.timedelta(days=cfg.path_lookback_days))
     if this_run is None:
         return paths.filter(bound)
     hits = this_run.select(F.col(cfg.subscription_id).alias("_hit_id")).distinct() \

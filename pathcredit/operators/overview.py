@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import AttributionConfig
-from ..functions.columns import day_number
+from ..functions.columns import day_number, ts_lit
 
 WEIGHT_MODELS = ("first_touch", "last_touch", "linear", "position_based")
 
@@ -61,12 +61,12 @@ def window_bound(campaign_attributions: DataFrame, cfg: AttributionConfig) -> Co
     the latest campaign conversion (one value read on the driver; it becomes
     a literal, so the filter reaches the scan)."""
     if cfg.conversion_window_start_date is not None and cfg.conversion_window_end_date is not None:
-        return ((F.col("cv_tstamp") >= F.lit(cfg.conversion_window_start_date))
-                & (F.col("cv_tstamp") < F.lit(cfg.conversion_window_end_date)))
+        return ((F.col("cv_tstamp") >= ts_lit(cfg.conversion_window_start_date))
+                & (F.col("cv_tstamp") < ts_lit(cfg.conversion_window_end_date)))
     mark = campaign_attributions.agg(F.max("cv_tstamp").alias("m")).collect()[0]["m"]
     if mark is None:
         return F.lit(False)
-    return F.col("cv_tstamp") >= F.lit(mark - dt.timedelta(days=cfg.conversion_window_days))
+    return F.col("cv_tstamp") >= ts_lit(mark - dt.timedelta(days=cfg.conversion_window_days))
 
 
 def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,

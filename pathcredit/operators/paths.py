@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SUBSCRIPTION_CV_TYPE, SUBSCRIPTION_EVENT_ID, AttributionConfig
-from ..functions.columns import day_number, path_to_string
+from ..functions.columns import day_number, path_to_string, ts_lit
 from .touchpoints import resolve_customer, touch_filters
 
 CONVERSION_COLUMNS = ("cv_id", "event_id", "customer_id", "cv_tstamp", "cv_type", "revenue")
@@ -37,7 +37,7 @@ def ordinary_conversions(conversions: DataFrame, mapping: DataFrame | None, cfg:
     ev = conversions.alias("ev")
     cond = F.expr(f"({cfg.conversion_clause})") & ~F.col("ev.cv_type").isin(*cfg.subscription_events)
     if since is not None:
-        cond = cond & (F.col("ev.cv_tstamp") >= F.lit(since))
+        cond = cond & (F.col("ev.cv_tstamp") >= ts_lit(since))
         if "cv_tstamp_date" in conversions.columns:
             cond = cond & (F.col("ev.cv_tstamp_date") >= F.lit(since.date()))
     c = ev.filter(cond).select("ev.*")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig, ConversionDef
+from ..functions.columns import ts_lit
 
 SUBSCRIPTION_EVENT_COLUMNS = ("cv_id", "event_id", "user_identifier", "user_id",
                               "stitched_user_id", "cv_tstamp", "cv_type", "cv_value")
@@ -77,7 +78,7 @@ def touched_subscriptions(conversions: DataFrame, last_success: dt.datetime,
     ``last_success - lookback_window_hours``."""
     since = lookback_since(last_success, cfg)
     ev = conversions.alias("ev")
-    cond = _clause(cfg) & _is_subscription_event(cfg) & (F.col("ev.cv_tstamp") >= F.lit(since))
+    cond = _clause(cfg) & _is_subscription_event(cfg) & (F.col("ev.cv_tstamp") >= ts_lit(since))
     if "cv_tstamp_date" in conversions.columns:
         # Redundant with the timestamp bound; lets a date-partitioned table
         # skip whole partitions.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
-from ..functions.columns import campaign_label, classify_channel
+from ..functions.columns import campaign_label, classify_channel, ts_lit
 
 TOUCHPOINT_COLUMNS = ("view_id", "customer_id", "visit_start_tstamp", "channel", "referral_path",
                       "campaign", "source", "medium", "visit_start_date")
@@ -35,9 +35,9 @@ def resolve_customer(df: DataFrame, mapping: DataFrame | None, cfg: AttributionC
 def touchpoint_filter(cfg: AttributionConfig, since: dt.datetime | None = None) -> Column:
     """Row filter on the raw views (applied before the mapping join so that
     it reaches the parquet scan)."""
-    cond = (F.col("start_tstamp") >= F.lit(cfg.start_date)) & F.col("user_identifier").isNotNull()
+    cond = (F.col("start_tstamp") >= ts_lit(cfg.start_date)) & F.col("user_identifier").isNotNull()
     if since is not None:
-        cond = cond & (F.col("derived_tstamp") >= F.lit(since))
+        cond = cond & (F.col("derived_tstamp") >= ts_lit(since))
     if cfg.conversion_hosts:
         # Restrict to some host names.
         cond = cond & F.col("page_urlhost").isin(*cfg.conversion_hosts)

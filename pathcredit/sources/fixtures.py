@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ConversionDef
+from ..functions.columns import hour_floor
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +62,7 @@ def views(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = None) ->
         F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("view_id"),
         _ui().alias("user_identifier"),
         F.col("ts").alias("derived_tstamp"),
-        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("start_tstamp"),
+        hour_floor(F.col("ts")).alias("start_tstamp"),
         F.concat(F.lit("/r/"), (k % 7).cast("string")).alias("refr_urlpath"),
         F.when(k % 6 == 0, F.lit(None).cast("string"))
         .when(k % 6 == 1, F.lit(""))

@@ -237,3 +237,27 @@ def test_path_transforms(spark):
 def test_config_rejects_empty_model_list():
     with pytest.raises(ValueError):
         AttributionConfig(attribution_list=())
+
+
+def test_hot_customer_paths_match_brute_force(spark):
+    """One customer holds a third of all views and conversions; bucketing
+    must neither lose nor duplicate touchpoints, for any bucket width."""
+    import random
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    users = ["hot"] * 20 + [f"u{i}" for i in range(40)]
+    vrows = [(f"v{i:04d}", rnd.choice(users), (base + dt.timedelta(minutes=rnd.randrange(0, 90 * 1440))).isoformat(),
+              f"c{rnd.randrange(4)}", rnd.choice(["cpc", "email", None])) for i in range(600)]
+    crows = [(f"cv{i:03d}", None, rnd.choice(users), (base + dt.timedelta(minutes=rnd.randrange(0, 90 * 1440))).isoformat(),
+              "purchase", 1.0) for i in range(90)]
+    expected = {}
+    for cid, _, u, t, _, _ in crows:
+        cts = ts(t)
+        hits = sorted((ts(vt), vid, camp) for vid, vu, vt, camp, _ in vrows
+                      if vu == u and ts(vt) <= cts and (cts.date() - ts(vt).date()).days <= 30)
+        if hits:
+            expected[cid] = [h[2] for h in hits]
+    assert sum(1 for c in crows if c[2] == "hot") >= 20
+    for b in (1, 8, 40):
+        got = _paths(spark, crows, vrows, CFG.with_(join_bucket_days=b))
+        assert {k: v.campaign_path for k, v in got.items()} == expected

@@ -42,3 +42,15 @@ def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.count() > 0
     assert "ROAS" in df.columns
+
+
+@pytest.mark.parametrize("key", ["touchpoints", "paths", "overview_window", "incremental_two_runs"])
+def test_session_time_zone_does_not_matter(spark, duck, sf_small, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        got = se.queries()[key](spark, sf_small).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = duck.execute(se.oracle_sql()[key]).df()
+    assert len(got) == len(want) and digest(got) == digest(want)
