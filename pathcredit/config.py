@@ -83,6 +83,14 @@ class AttributionConfig:
     # keyed on. Any width gives the same result; narrower buckets emit fewer
     # candidate pairs, wider ones replicate each conversion fewer times.
     join_bucket_days: int = 8
+    # Incremental runs:
+    # lower the touchpoint bound so that every conversion in scope, including
+    # old new-subscriptions, gets its full lookback window ...
+    pad_touchpoints: bool = False
+    # ... and upsert attributions by conversion (all old rows of a
+    # reprocessed conversion replaced) instead of by composite key (a path
+    # that got shorter would leave its old higher positions behind).
+    attribution_replace_by_conversion: bool = False
 
     def __post_init__(self) -> None:
         if not self.attribution_list:

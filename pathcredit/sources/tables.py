@@ -139,5 +139,8 @@ def upsert_frames(target: DataFrame | None, updates: DataFrame, key: Sequence[st
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def with_date(df: DataFrame, ts_col: str, out: str) -> DataFrame:
-    return df.withColumn(out, F.to_date(ts_col))
+def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once (SURVEY 2.4: conversions must be unique
+    on ``cv_id`` and the user mapping on ``user_identifier``; duplicates fan
+    out joins). An aggregate, so it runs distributed; callers take a few."""
+    return df.groupBy(*key).count().filter(F.col("count") > 1)

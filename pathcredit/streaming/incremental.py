@@ -90,6 +90,16 @@ def high_water(df: DataFrame | None, col: str) -> dt.datetime | None:
     return df.agg(F.max(col).alias("m")).collect()[0]["m"]
 
 
+def low_water(df: DataFrame | None, col: str) -> dt.datetime | None:
+    if df is None:
+        return None
+    return df.agg(F.min(col).alias("m")).collect()[0]["m"]
+
+
+def attribution_key(cfg: AttributionConfig) -> list[str]:
+    return ["cv_id"] if cfg.attribution_replace_by_conversion else ["composite_key"]
+
+
 @dataclass
 class RunReport:
     run_id: str
@@ -133,9 +143,14 @@ def paths_updates(inputs: Inputs, cfg: AttributionConfig, this_run: DataFrame, s
     since_cv = m - dt.timedelta(hours=cfg.lookback_window_hours)
     since_tp = m - dt.timedelta(days=cfg.path_lookback_days)
     ordinary = pth.ordinary_conversions(inputs.conversions, mapping, cfg, since=since_cv)
-    tps = tpo.touchpoints(inputs.views, mapping, cfg, since=since_tp)
     existing_core = existing.select(*pth.PATH_COLUMNS)
     new_subs = pth.new_subscription_conversions(subs, this_run, mapping, cfg, existing_paths=existing_core)
+    if cfg.pad_touchpoints:
+        # Cover the whole window of the oldest conversion in scope.
+        oldest = low_water(new_subs, "cv_tstamp")
+        first = min(since_cv, oldest) if oldest is not None else since_cv
+        since_tp = min(since_tp, first - dt.timedelta(days=cfg.path_lookback_days + 1))
+    tps = tpo.touchpoints(inputs.views, mapping, cfg, since=since_tp)
     fresh = pth.paths_to_conversion(ordinary.unionByName(new_subs), tps, cfg)
     refreshed = pth.refresh_revenue(existing_core, subs, this_run, new_subs, cfg)
     return fresh.unionByName(refreshed)
@@ -174,7 +189,7 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
     if paths is not None:
         scope = att.attribution_scope(paths.select(*pth.PATH_COLUMNS), this_run, attr_mark, cfg)
         for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
-            store.upsert(table, att.attribute(scope, dim, cfg), ["composite_key"], "cv_tstamp_date")
+            store.upsert(table, att.attribute(scope, dim, cfg), attribution_key(cfg), "cv_tstamp_date")
             lap(f"{dim}_attributions")
 
     new_sub_mark = high_water(this_run, "cv_tstamp")
