@@ -20,6 +20,33 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(shuffle_bytes: int, executor_cores: int = 4, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster, sized from the expected bytes of the
+    widest shuffle (the conversion x touchpoint pairs before the path
+    aggregation). Partitions of ~256 MB fit comfortably in executor memory
+    and spill cleanly; AQE coalesces below that and splits skewed partitions
+    above ``skewedPartitionFactor`` x median. Apply with ``spark.conf.set``
+    (or at submit time)."""
+    target = target_partition_mb << 20
+    partitions = max(200, -(-shuffle_bytes // target))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 2}m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        # Broadcast only what AQE measured to be small.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+        "spark.task.maxFailures": "8",
+        "spark.executor.cores": str(executor_cores),
+    }
+
+
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
                   app: str = "pathcredit") -> SparkSession:
     """A local session for tests and the benchmark (not for clusters)."""

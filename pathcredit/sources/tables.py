@@ -11,7 +11,9 @@ DataFrame API and rewrites only the partitions it changes:
 2. new content of those partitions = their rows without the updated keys,
    union the updates (``allowMissingColumns`` appends new columns, O33);
 3. the new content is written to a staging folder, then moved in with a
-   dynamic partition overwrite; partitions left empty are removed.
+   dynamic partition overwrite; partitions left empty are removed. Only
+   that last write is partitioned (a partitioned write of small data costs
+   several times a plain one).
 
 A run that fails between steps can simply be repeated: the upsert is
 idempotent and the manifest only advances after every table is written.
@@ -69,16 +71,6 @@ class TableStore:
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(name))
 
-    def _partitions(self, path: str, partition_by: str) -> set[str]:
-        """Partition values present under ``path`` (from the directory
-        listing, no data scan)."""
-        fs, p = self._fs(path)
-        if not fs.exists(p):
-            return set()
-        prefix = f"{partition_by}="
-        return {st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
-                if st.isDirectory() and st.getPath().getName().startswith(prefix)}
-
     def _write_partitioned(self, df: DataFrame, path: str, partition_by: str, mode: str = "errorifexists",
                            dynamic: bool = False) -> None:
         # REBALANCE on the partition column: AQE coalesces small output
@@ -89,45 +81,58 @@ class TableStore:
             w = w.option("partitionOverwriteMode", "dynamic")
         w.partitionBy(partition_by).parquet(path)
 
-    def upsert(self, name: str, updates: DataFrame, key: Sequence[str], partition_by: str) -> DataFrame:
+    def upsert(self, name: str, updates: DataFrame, key: Sequence[str], partition_by: str,
+               stable_partition: bool = False) -> DataFrame:
         """Replace whole rows whose key is in ``updates``, insert the
-        others, delete nothing. Returns the table as read back."""
+        others, delete nothing. Returns the table as read back.
+
+        ``stable_partition``: a key's partition value never changes (it is a
+        function of an immutable column), so older rows of an updated key can
+        only sit in the updates' own partitions and the target need not be
+        scanned to find them."""
         key = list(key)
         target = self.read(name)
         if target is None:
             self._write_partitioned(updates, self.path(name), partition_by, mode="overwrite")
             return self.read(name)
         run = uuid.uuid4().hex[:12]
-        # Stage the updates once: everything below reads them back instead
-        # of re-running their lineage.
-        upd_path = self.path(f"_staging/{name}-{run}-updates")
-        self._write_partitioned(updates, upd_path, partition_by)
-        if not self.exists(f"_staging/{name}-{run}-updates"):  # no updates
-            self._delete(upd_path)
+        # Stage the updates once (plain files: only the final write needs the
+        # partition layout); everything below reads them back instead of
+        # re-running their lineage.
+        upd_name = f"_staging/{name}-{run}-updates"
+        updates.write.parquet(self.path(upd_name))
+        staged_updates = self.spark.read.parquet(self.path(upd_name))
+        upd_parts = self._values(staged_updates, partition_by)
+        if not upd_parts:  # no updates
+            self._delete(self.path(upd_name))
             return target
-        staged_updates = self.spark.read.parquet(upd_path)
         upd_keys = staged_updates.select(*key).distinct()
         # Affected partitions: those of the updates plus those holding an
         # older row of an updated key. Dates, so a small driver-side list;
         # as a literal filter it prunes the target scan statically.
-        old_parts = {str(r[0]) for r in
-                     target.select(*key, partition_by).join(upd_keys, key, "left_semi")
-                     .select(partition_by).distinct().collect()}
-        touched = old_parts | self._partitions(upd_path, partition_by)
+        old_parts = set() if stable_partition else self._values(
+            target.select(*key, partition_by).join(upd_keys, key, "left_semi"), partition_by)
+        touched = old_parts | upd_parts
         affected = target.filter(F.col(partition_by).cast("string").isin(sorted(touched)))
         kept = affected.join(upd_keys, key, "left_anti")
         new_content = kept.unionByName(staged_updates, allowMissingColumns=True)
-        new_path = self.path(f"_staging/{name}-{run}-content")
-        self._write_partitioned(new_content, new_path, partition_by)
-        written = self._partitions(new_path, partition_by)
-        self._write_partitioned(self.spark.read.parquet(new_path), self.path(name), partition_by,
-                                mode="overwrite", dynamic=True)
+        new_name = f"_staging/{name}-{run}-content"
+        new_content.write.parquet(self.path(new_name))
+        staged = self.spark.read.parquet(self.path(new_name))
+        written = self._values(staged, partition_by)
+        self._write_partitioned(staged, self.path(name), partition_by, mode="overwrite", dynamic=True)
         for v in touched - written:
             self._delete(f"{self.path(name)}/{partition_by}={v}")
-        self._delete(upd_path)
-        self._delete(new_path)
+        self._delete(self.path(upd_name))
+        self._delete(self.path(new_name))
         return self.read(name)
 
+    @staticmethod
+    def _values(df: DataFrame, col: str) -> set[str]:
+        """Distinct values of a date partition column (bounded by the
+        calendar), as partition directory strings."""
+        return {str(r[0]) for r in df.select(col).distinct().collect()}
+
 
 def upsert_frames(target: DataFrame | None, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """The upsert as a pure DataFrame expression (no storage): the target's

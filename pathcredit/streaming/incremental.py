@@ -181,15 +181,20 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
 
     existing = store.read(PATHS)
     updates = paths_updates(inputs, cfg, this_run, subs, existing)
+    # cv_tstamp of a stored conversion never changes (refreshes keep it), so
+    # its date partition is stable.
     paths = store.upsert(PATHS, updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")),
-                         ["cv_id"], "cv_tstamp_date")
+                         ["cv_id"], "cv_tstamp_date", stable_partition=True)
     lap("paths")
 
     attr_mark = marks.get(ATTRIBUTION_MARK)
     if paths is not None:
         scope = att.attribution_scope(paths.select(*pth.PATH_COLUMNS), this_run, attr_mark, cfg)
         for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
-            store.upsert(table, att.attribute(scope, dim, cfg), attribution_key(cfg), "cv_tstamp_date")
+            # Keyed by cv_id the partition is stable; composite keys can
+            # collide across conversions, so then scan.
+            store.upsert(table, att.attribute(scope, dim, cfg), attribution_key(cfg), "cv_tstamp_date",
+                         stable_partition=cfg.attribution_replace_by_conversion)
             lap(f"{dim}_attributions")
 
     new_sub_mark = high_water(this_run, "cv_tstamp")
