@@ -119,9 +119,12 @@ class TableStore:
         new_name = f"_staging/{name}-{run}-content"
         new_content.write.parquet(self.path(new_name))
         staged = self.spark.read.parquet(self.path(new_name))
-        written = self._values(staged, partition_by)
+        # Only partitions that held old rows but get no update can end up
+        # empty; look at the staged content only if there are any.
+        maybe_empty = old_parts - upd_parts
+        emptied = maybe_empty - self._values(staged, partition_by) if maybe_empty else set()
         self._write_partitioned(staged, self.path(name), partition_by, mode="overwrite", dynamic=True)
-        for v in touched - written:
+        for v in emptied:
             self._delete(f"{self.path(name)}/{partition_by}={v}")
         self._delete(self.path(upd_name))
         self._delete(self.path(new_name))
