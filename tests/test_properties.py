@@ -115,3 +115,17 @@ def test_inputs_have_unique_keys(spark, sf_small):
     assert duplicate_keys(inputs.conversions, ["cv_id"]).count() == 0
     assert duplicate_keys(inputs.user_mapping, ["user_identifier"]).count() == 0
     assert duplicate_keys(inputs.views, ["view_id"]).count() == 0
+
+
+def test_run_with_nothing_touched(spark, sf_small):
+    inputs = fx.load_inputs(spark, sf_small)
+    state = new_state_dir(spark, "test-empty")
+    r1 = inc.run_incremental(spark, inputs, state, Q.BASE_CFG, "run1")
+    n_paths = inc.read_table(spark, state, inc.PATHS).count()
+    early = fx.Inputs(views=inputs.views, user_mapping=inputs.user_mapping, spend=inputs.spend,
+                      conversions=inputs.conversions.filter(F.col("cv_tstamp") < F.lit("2024-01-02")
+                                                            .cast("timestamp_ntz")))
+    r2 = inc.run_incremental(spark, early, state, Q.BASE_CFG, "run2")
+    assert inc.read_table(spark, state, inc.THIS_RUN).count() == 0
+    assert r2.subscriptions_mark == r1.subscriptions_mark
+    assert inc.read_table(spark, state, inc.PATHS).count() == n_paths
