@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
-from ..functions.columns import path_to_string, weights, ts_lit
+from ..functions.columns import path_to_string, ts_lit, weights
 
 DIMENSIONS = ("channel", "campaign")
 

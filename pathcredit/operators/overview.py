@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..config import AttributionConfig
 from ..functions.columns import day_number, ts_lit
@@ -14,7 +13,6 @@ from ..functions.columns import day_number, ts_lit
 WEIGHT_MODELS = ("first_touch", "last_touch", "linear", "position_based")
 
 
-
 def scoped_spend(spend: DataFrame, attributions: DataFrame, dim: str, cfg: AttributionConfig) -> DataFrame:
     """Total spend per touch point, counting a spend row (once) only if
     some attributed conversion of the same touch point falls strictly inside
