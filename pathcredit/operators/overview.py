@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
 from ..functions.columns import day_number, ts_lit
+from ..session import checked_broadcast
 
 WEIGHT_MODELS = ("first_touch", "last_touch", "linear", "position_based")
 
@@ -93,7 +94,11 @@ def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
     )
     a = a.join(subs, a["cv_id"] == subs["_sub_id"], "left")
     if spend_by_touch is not None:
-        sp = spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").alias("_sp"))
+        # One row per touch point: join it by broadcast (size checked), never
+        # by a shuffle on the touch point, which has only a handful of values
+        # and would put each channel's rows in one task.
+        sp = checked_broadcast(
+            spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").alias("_sp")), f"spend-{dim}")
         a = a.join(sp, a[dim] == sp["_sp_touch"], "left")
         spend_col = F.col("_sp").cast("double")
     else:

@@ -103,3 +103,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_state_dir(spark, f"stage-{label}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def checked_broadcast(df: DataFrame, label: str, max_rows: int = 1_000_000) -> DataFrame:
+    """Store a small derived table, count it, and mark it for broadcast only
+    if the count is within ``max_rows``; otherwise return it unmarked (a
+    shuffle join). Used for tables whose size is bounded by a label
+    cardinality (one row per channel / campaign), never by event volume."""
+    from pyspark.sql import functions as F
+
+    stored = materialize(df, label)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
