@@ -21,7 +21,7 @@ sys.path.insert(0, ROOT)
 
 from pathcredit.plans import queries as Q  # noqa: E402
 from pathcredit.plans.pipeline import Pipeline  # noqa: E402
-from pathcredit.session import local_session, new_state_dir  # noqa: E402
+from pathcredit.session import delete_path, local_session, new_state_dir  # noqa: E402
 from pathcredit.sources import fixtures as fx  # noqa: E402
 from pathcredit.streaming import incremental as inc  # noqa: E402
 
@@ -40,20 +40,19 @@ def main() -> None:
     def pipe() -> Pipeline:
         return Pipeline(fx.load_inputs(spark, sf_dir), cfg, Q.LAST_SUCCESS)
 
-    def q_subscriptions():
-        _force(pipe().subscriptions)
+    def q_subscriptions(p: Pipeline):
+        _force(p.subscriptions)
 
-    def q_paths():
-        _force(pipe().paths)
+    def q_paths(p: Pipeline):
+        _force(p.paths)
 
-    def q_attributions():
-        p = pipe()
+    def q_attributions(p: Pipeline):
         _force(p.channel_attributions.unionByName(
             p.campaign_attributions.withColumnRenamed("campaign", "channel")
             .withColumnRenamed("campaign_transformed_path", "channel_transformed_path")))
 
-    def q_overview():
-        _force(pipe().overview(with_spend=True))
+    def q_overview(p: Pipeline):
+        _force(p.overview(with_spend=True))
 
     inputs = fx.load_inputs(spark, sf_dir)
     run1_inputs = Q._cut_inputs(inputs, Q.CUT)
@@ -66,21 +65,23 @@ def main() -> None:
     def q_incremental(state: str):
         inc.run_incremental(spark, inputs, state, cfg, "run2")
 
+    # stage -> (untimed setup, timed body, untimed teardown of what it wrote)
     stages = {
-        "subscriptions": (None, lambda _: q_subscriptions()),
-        "paths": (None, lambda _: q_paths()),
-        "attributions": (None, lambda _: q_attributions()),
-        "overview": (None, lambda _: q_overview()),
-        "incremental_run2": (setup_run1, q_incremental),
+        "subscriptions": (pipe, q_subscriptions, Pipeline.cleanup),
+        "paths": (pipe, q_paths, Pipeline.cleanup),
+        "attributions": (pipe, q_attributions, Pipeline.cleanup),
+        "overview": (pipe, q_overview, Pipeline.cleanup),
+        "incremental_run2": (setup_run1, q_incremental, lambda state: delete_path(spark, state)),
     }
     results: dict[str, float] = {}
-    for name, (setup, fn) in stages.items():
+    for name, (setup, fn, teardown) in stages.items():
         times = []
         for i in range(reps + 1):
-            arg = setup() if setup else None
+            arg = setup()
             t0 = time.perf_counter()
             fn(arg)
             dt = time.perf_counter() - t0
+            teardown(arg)
             if i > 0:
                 times.append(dt)
         results[name] = round(statistics.median(times), 3)

@@ -69,7 +69,8 @@ def window_bound(campaign_attributions: DataFrame, cfg: AttributionConfig) -> Co
 
 
 def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
-                  spend_by_touch: DataFrame | None, window: Column, cfg: AttributionConfig) -> DataFrame:
+                  spend_by_touch: DataFrame | None, window: Column, cfg: AttributionConfig,
+                  track: list[str] | None = None) -> DataFrame:
     """One row per (conversion, touch point) inside the window: summed
     weights, the conversion's revenue, attributed revenue per model, per
     subscription event attributed counts and revenue, and the touch point's
@@ -98,7 +99,8 @@ def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
         # by a shuffle on the touch point, which has only a handful of values
         # and would put each channel's rows in one task.
         sp = checked_broadcast(
-            spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").alias("_sp")), f"spend-{dim}")
+            spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").alias("_sp")), f"spend-{dim}",
+            track=track)
         a = a.join(sp, a[dim] == sp["_sp_touch"], "left")
         spend_col = F.col("_sp").cast("double")
     else:
@@ -163,13 +165,15 @@ def touch_point_report(prep: DataFrame, dim: str, cfg: AttributionConfig, with_r
 
 
 def attribution_overview(channel_attr: DataFrame, campaign_attr: DataFrame, subscriptions: DataFrame,
-                         spend: DataFrame | None, cfg: AttributionConfig) -> DataFrame:
-    """The touch-point report for both dimensions."""
+                         spend: DataFrame | None, cfg: AttributionConfig,
+                         track: list[str] | None = None) -> DataFrame:
+    """The touch-point report for both dimensions. ``track``
+    collects the folders of the small tables it stores."""
     window = window_bound(campaign_attr, cfg)
     parts = []
     for dim, attr in (("channel", channel_attr), ("campaign", campaign_attr)):
         sp = scoped_spend(spend, attr, dim, cfg) if spend is not None else None
-        prep = overview_prep(attr, dim, subscriptions, sp, window, cfg)
+        prep = overview_prep(attr, dim, subscriptions, sp, window, cfg, track)
         parts.append(touch_point_report(prep, dim, cfg, with_roas=spend is not None))
     out = parts[0].unionByName(parts[1])
     return out.orderBy("path_type", "attribution_type", "touch_point")

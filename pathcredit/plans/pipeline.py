@@ -22,7 +22,7 @@ from ..operators import overview as ov
 from ..operators import paths as pth
 from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
-from ..session import materialize
+from ..session import delete_path, materialize
 from ..sources.fixtures import Inputs
 
 
@@ -37,11 +37,19 @@ class Pipeline:
         self.cfg = cfg
         self.last_success = last_success if last_success is not None else cfg.start_date
         self._materialize = materialize
+        self._stage_dirs: list[str] = []
 
     def _stage(self, df: DataFrame, label: str) -> DataFrame:
         # The reference stores these stages as tables; so do we (shared
         # folder), which also keeps later stages from recomputing them.
-        return materialize(df, label) if self._materialize else df
+        return materialize(df, label, self._stage_dirs) if self._materialize else df
+
+    def cleanup(self) -> None:
+        """Delete the stage folders this build wrote (after its DataFrames
+        are no longer needed)."""
+        spark = self.inputs.conversions.sparkSession
+        while self._stage_dirs:
+            delete_path(spark, self._stage_dirs.pop())
 
     @cached_property
     def touched(self) -> DataFrame:
@@ -87,4 +95,4 @@ class Pipeline:
     def overview(self, with_spend: bool = True) -> DataFrame:
         spend = self.inputs.spend if with_spend else None
         return ov.attribution_overview(self.channel_attributions, self.campaign_attributions,
-                                       self.subscriptions, spend, self.cfg)
+                                       self.subscriptions, spend, self.cfg, self._stage_dirs)

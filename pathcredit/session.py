@@ -94,7 +94,7 @@ def new_state_dir(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, track: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and read it back: the
     stage is computed once, later stages scan it (with column pruning and
     filter pushdown) instead of recomputing its lineage, and the data
@@ -102,15 +102,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_state_dir(spark, f"stage-{label}")
     df.write.parquet(path)
+    if track is not None:
+        track.append(path)
     return spark.read.parquet(path)
 
 
-def checked_broadcast(df: DataFrame, label: str, max_rows: int = 1_000_000) -> DataFrame:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on any Hadoop-compatible file system."""
+    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jp):
+        fs.delete(jp, True)
+
+
+def checked_broadcast(df: DataFrame, label: str, max_rows: int = 1_000_000,
+                      track: list[str] | None = None) -> DataFrame:
     """Store a small derived table, count it, and mark it for broadcast only
     if the count is within ``max_rows``; otherwise return it unmarked (a
     shuffle join). Used for tables whose size is bounded by a label
     cardinality (one row per channel / campaign), never by event volume."""
     from pyspark.sql import functions as F
 
-    stored = materialize(df, label)
+    stored = materialize(df, label, track)
     return F.broadcast(stored) if stored.count() <= max_rows else stored
+
