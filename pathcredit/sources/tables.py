@@ -77,8 +77,7 @@ class TableStore:
         # partitions (few files per date) and splits skewed ones (a date
         # holding a large share of rows is written by several tasks).
         w = df.hint("rebalance", partition_by).write.mode(mode)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
+        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         w.partitionBy(partition_by).parquet(path)
 
     def upsert(self, name: str, updates: DataFrame, key: Sequence[str], partition_by: str,
