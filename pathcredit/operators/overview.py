@@ -59,13 +59,18 @@ def window_bound(campaign_attributions: DataFrame, cfg: AttributionConfig) -> Co
     configured ``[start, end)``, else the last ``conversion_window_days`` up to
     the latest campaign conversion (one value read on the driver; it becomes
     a literal, so the filter reaches the scan)."""
+    # Each bound is repeated on the date partition column of the stored
+    # attribution tables, so whole partitions outside the window are skipped.
+    day = F.col("cv_tstamp_date")
     if cfg.conversion_window_start_date is not None and cfg.conversion_window_end_date is not None:
-        return ((F.col("cv_tstamp") >= ts_lit(cfg.conversion_window_start_date))
-                & (F.col("cv_tstamp") < ts_lit(cfg.conversion_window_end_date)))
+        start, end = cfg.conversion_window_start_date, cfg.conversion_window_end_date
+        return ((F.col("cv_tstamp") >= ts_lit(start)) & (F.col("cv_tstamp") < ts_lit(end))
+                & (day >= F.lit(start.date())) & (day <= F.lit(end.date())))
     mark = campaign_attributions.agg(F.max("cv_tstamp").alias("m")).collect()[0]["m"]
     if mark is None:
         return F.lit(False)
-    return F.col("cv_tstamp") >= ts_lit(mark - dt.timedelta(days=cfg.conversion_window_days))
+    lower = mark - dt.timedelta(days=cfg.conversion_window_days)
+    return (F.col("cv_tstamp") >= ts_lit(lower)) & (day >= F.lit(lower.date()))
 
 
 def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
