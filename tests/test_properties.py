@@ -129,3 +129,17 @@ def test_run_with_nothing_touched(spark, sf_small):
     assert inc.read_table(spark, state, inc.THIS_RUN).count() == 0
     assert r2.subscriptions_mark == r1.subscriptions_mark
     assert inc.read_table(spark, state, inc.PATHS).count() == n_paths
+
+
+def test_cli_run_and_report(spark, sf_small, capsys):
+    import json
+
+    from pathcredit.cli import main
+    state = new_state_dir(spark, "test-cli")
+    assert main(["run", "--state", state, "--fixtures", sf_small]) == 0
+    first = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert first["first_paths_build"] is True
+    assert main(["report", "--state", state, "--fixtures", sf_small]) == 0
+    rows = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
+    assert rows and {"path_type", "attribution_type", "touch_point", "ROAS"} <= set(rows[0])
+    assert {r["attribution_type"] for r in rows} == set(Q.MODELS)
