@@ -1 +1 @@
-
+"""Column-level helpers (JVM-side expressions only)."""
