@@ -199,11 +199,13 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
 
     new_sub_mark = high_water(this_run, "cv_tstamp")
     new_sub_mark = max(sub_mark, new_sub_mark) if new_sub_mark is not None else sub_mark
-    new_attr_mark = high_water(paths, "cv_tstamp")
+    new_attr_mark = path_mark = None
+    if paths is not None:  # both marks of the paths table in one pass
+        r = paths.agg(F.max("cv_tstamp").alias("a"), F.max("cv_path_start_tstamp").alias("p")).collect()[0]
+        new_attr_mark, path_mark = r["a"], r["p"]
     manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: new_attr_mark}, run_id)
     lap("manifest_advance")
-    return RunReport(run_id, new_sub_mark, high_water(paths, "cv_path_start_tstamp"), new_attr_mark,
-                     existing is None, timings)
+    return RunReport(run_id, new_sub_mark, path_mark, new_attr_mark, existing is None, timings)
 
 
 @dataclass
