@@ -12,6 +12,14 @@ from ..functions.columns import day_number, ts_lit
 from ..session import checked_broadcast
 
 WEIGHT_MODELS = ("first_touch", "last_touch", "linear", "position_based")
+MAX_BROADCAST_TOUCH_POINTS = 1_000_000
+
+
+def touch_point_bound(spend: DataFrame, dim: str) -> int:
+    """Number of distinct touch points in the spend ledger: the scoped spend
+    has at most one row per such value, so this proves its size before it is
+    computed (one small aggregate over one column, deduplicated map-side)."""
+    return spend.filter(F.col(dim).isNotNull()).select(dim).distinct().count()
 
 
 def scoped_spend(spend: DataFrame, attributions: DataFrame, dim: str, cfg: AttributionConfig) -> DataFrame:
@@ -75,7 +83,7 @@ def window_bound(campaign_attributions: DataFrame, cfg: AttributionConfig) -> Co
 
 def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
                   spend_by_touch: DataFrame | None, window: Column, cfg: AttributionConfig,
-                  track: list[str] | None = None) -> DataFrame:
+                  track: list[str] | None = None, spend_touch_bound: int | None = None) -> DataFrame:
     """One row per (conversion, touch point) inside the window: summed
     weights, the conversion's revenue, attributed revenue per model, per
     subscription event attributed counts and revenue, and the touch point's
@@ -85,6 +93,10 @@ def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
     a subscription's counts are constant per ``cv_id``, so
     ``sum(count * w) = count * sum(w)`` and the join sees one row per
     (conversion, touch point) instead of one per path position.
+
+    ``spend_touch_bound``: a proven upper bound on the rows of
+    ``spend_by_touch`` (see ``touch_point_bound``); without one, the table is
+    stored and counted before it is broadcast.
     """
     sid = cfg.subscription_id
     events = cfg.subscription_events
@@ -100,12 +112,14 @@ def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
     )
     a = a.join(subs, a["cv_id"] == subs["_sub_id"], "left")
     if spend_by_touch is not None:
-        # One row per touch point: join it by broadcast (size checked), never
-        # by a shuffle on the touch point, which has only a handful of values
-        # and would put each channel's rows in one task.
-        sp = checked_broadcast(
-            spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").alias("_sp")), f"spend-{dim}",
-            track=track)
+        # One row per touch point: join it by broadcast when its size is
+        # proven small, never by a shuffle on the touch point, which has only
+        # a handful of values and would put each channel's rows in one task.
+        sp = spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").alias("_sp"))
+        if spend_touch_bound is not None and spend_touch_bound <= MAX_BROADCAST_TOUCH_POINTS:
+            sp = F.broadcast(sp)
+        elif spend_touch_bound is None:
+            sp = checked_broadcast(sp, f"spend-{dim}", MAX_BROADCAST_TOUCH_POINTS, track=track)
         a = a.join(sp, a[dim] == sp["_sp_touch"], "left")
         spend_col = F.col("_sp").cast("double")
     else:
@@ -178,7 +192,8 @@ def attribution_overview(channel_attr: DataFrame, campaign_attr: DataFrame, subs
     parts = []
     for dim, attr in (("channel", channel_attr), ("campaign", campaign_attr)):
         sp = scoped_spend(spend, attr, dim, cfg) if spend is not None else None
-        prep = overview_prep(attr, dim, subscriptions, sp, window, cfg, track)
+        bound = touch_point_bound(spend, dim) if spend is not None else None
+        prep = overview_prep(attr, dim, subscriptions, sp, window, cfg, track, bound)
         parts.append(touch_point_report(prep, dim, cfg, with_roas=spend is not None))
     out = parts[0].unionByName(parts[1])
     return out.orderBy("path_type", "attribution_type", "touch_point")

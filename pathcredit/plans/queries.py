@@ -297,7 +297,8 @@ def _prep_q(dim: str):
         p = _pipe(spark, sf_dir)
         window = ov.window_bound(p.campaign_attributions, p.cfg)
         sp = ov.scoped_spend(p.inputs.spend, p.attributions(dim), dim, p.cfg)
-        return ov.overview_prep(p.attributions(dim), dim, p.subscriptions, sp, window, p.cfg)
+        return ov.overview_prep(p.attributions(dim), dim, p.subscriptions, sp, window, p.cfg,
+                                spend_touch_bound=ov.touch_point_bound(p.inputs.spend, dim))
     q.__doc__ = f"O27: per conversion and {dim}: weights, revenue, subscription events, spend."
     return q
 
