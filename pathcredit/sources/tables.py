@@ -28,6 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Directory name Spark gives the partition of null values (fixed value).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -112,7 +116,11 @@ class TableStore:
         old_parts = set() if stable_partition else self._values(
             target.select(*key, partition_by).join(upd_keys, key, "left_semi"), partition_by)
         touched = old_parts | upd_parts
-        affected = target.filter(F.col(partition_by).cast("string").isin(sorted(touched)))
+        values = sorted(v for v in touched if v is not None)
+        in_touched = F.col(partition_by).cast("string").isin(values)
+        if None in touched:
+            in_touched = in_touched | F.col(partition_by).isNull()
+        affected = target.filter(in_touched)
         kept = affected.join(upd_keys, key, "left_anti")
         new_content = kept.unionByName(staged_updates, allowMissingColumns=True)
         new_name = f"_staging/{name}-{run}-content"
@@ -124,16 +132,16 @@ class TableStore:
         emptied = maybe_empty - self._values(staged, partition_by) if maybe_empty else set()
         self._write_partitioned(staged, self.path(name), partition_by, mode="overwrite", dynamic=True)
         for v in emptied:
-            self._delete(f"{self.path(name)}/{partition_by}={v}")
+            self._delete(f"{self.path(name)}/{partition_by}={NULL_PARTITION if v is None else v}")
         self._delete(self.path(upd_name))
         self._delete(self.path(new_name))
         return self.read(name)
 
     @staticmethod
-    def _values(df: DataFrame, col: str) -> set[str]:
+    def _values(df: DataFrame, col: str) -> set[str | None]:
         """Distinct values of a date partition column (bounded by the
-        calendar), as partition directory strings."""
-        return {str(r[0]) for r in df.select(col).distinct().collect()}
+        calendar), as partition directory strings; ``None`` for null."""
+        return {None if r[0] is None else str(r[0]) for r in df.select(col).distinct().collect()}
 
 
 def upsert_frames(target: DataFrame | None, updates: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -284,3 +284,13 @@ def test_stored_upsert_moves_key_and_drops_empty_partition(spark):
     # lists files that are gone, so compare collected rows).
     again = store.upsert("t", moved, ["k"], "d")
     assert sorted(tuple(map(str, r)) for r in again.collect()) == snapshot
+
+
+def test_stored_upsert_with_null_partition_value(spark):
+    from pathcredit.session import new_state_dir
+    from pathcredit.sources.tables import TableStore
+    store = TableStore(spark, new_state_dir(spark, "test-upsert-null"))
+    schema = "k string, v int, d date"
+    store.upsert("t", spark.createDataFrame([("a", 1, None), ("b", 2, dt.date(2024, 1, 3))], schema), ["k"], "d")
+    out = store.upsert("t", spark.createDataFrame([("a", 5, dt.date(2024, 1, 3))], schema), ["k"], "d")
+    assert sorted((r.k, r.v, str(r.d)) for r in out.collect()) == [("a", 5, "2024-01-03"), ("b", 2, "2024-01-03")]
