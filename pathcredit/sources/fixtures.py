@@ -6,6 +6,9 @@ the views below derive each input from it with plain column expressions
 (FIXTURES.md section 2), so every query's work grows with ``events``.
 
 All functions are lazy DataFrame transformations over one parquet scan.
+The modulo expressions below derive attributes (medium, campaign, which
+devices have a login, ...) from the event's own fields; no event is dropped
+or sampled, so every query processes the whole table.
 """
 
 from __future__ import annotations
