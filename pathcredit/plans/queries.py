@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
-from ..functions.columns import unique_path
+from ..functions.columns import collapse_repeats, unique_path
 from ..operators import attribution as att
 from ..operators import overview as ov
 from ..operators import paths as pth
@@ -239,6 +239,13 @@ def q_paths_unique(spark, sf_dir):
     return _paths_df(_pipe(spark, sf_dir, path_transforms=(unique_path,)))
 
 
+@register("paths_collapsed", o.with_ctes(_base_ctes() + o.paths_ctes(collapse=True),
+                                         f"SELECT {PATH_SQL_COLS} FROM paths"), ["revenue"])
+def q_paths_collapsed(spark, sf_dir):
+    """A path transform (runs of one touch point collapsed)."""
+    return _paths_df(_pipe(spark, sf_dir, path_transforms=(collapse_repeats,)))
+
+
 @register("paths_stitched", o.with_ctes(
     o.adapter() + o.subscription_ctes(SINCE) + [o.touchpoints_cte(stitching=True)]
     + o.conversion_ctes(stitching=True) + o.paths_ctes(), f"SELECT {PATH_SQL_COLS} FROM paths"), ["revenue"])
