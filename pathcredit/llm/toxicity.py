@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from pathcredit.llm.common import Memo, batches, fold, strings
 
 SCORE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+#: Odd multipliers that reorder hashes.
+MARKS = tuple(2654435761 + 2 * 40503 * i for i in range(16))
 #: ASCII bytes other than letters and digits part words.
 PARTS = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 #: Frames of a word, in the dictionaries and in a window: a whole word that a dictionary holds is one match with both its frames.
@@ -48,14 +50,15 @@ OPEN, CLOSE = bytes(range(2, 9)), bytes(range(14, 21))
 class ToxicityParams:
     """Bounds and settings of the fit."""
 
-    max_toxic: int = 2000  # labelled toxic documents read for the fit, at most
-    max_ordinary: int = 4000  # labelled ordinary documents read for the fit, at most
+    max_toxic: int = 1500  # labelled toxic documents read for the fit, at most
+    max_ordinary: int = 3000  # labelled ordinary documents read for the fit, at most
     longest: int = 200_000  # characters of a document of the fit, at most
     folds: int = 5
     held_out: int = 0  # rows whose fold is this are never learnt from
     base_bytes: int = 24_576  # common strings in each dictionary
     toxic_bytes: int = 8_192  # strings of toxic text, at most
-    surest: float = 0.75  # least share of toxic documents among those with a string, at 99 % confidence
+    #: Tried as the least share of toxic documents among those with a string, at 99 % confidence.
+    shares: tuple[float, ...] = (0.8, 0.65, 0.5, 0.35, 0.2)
     word_bytes: int = 48  # longer words are cut into windows of this size
 
 
@@ -129,8 +132,7 @@ def distinct_texts(texts: list[str]) -> list[list[bytes]]:
     for text in texts:
         w = words(text)
         runs = np.fromiter((zlib.crc32(b" ".join(w[i : i + 3])) for i in range(max(1, len(w) - 2))), np.uint64)
-        marks = {(j, int(((runs * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min()))
-                 for j, m in enumerate((2654435761, 2246822519, 3266489917, 668265263))}
+        marks = {(m, int(((runs * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min())) for m in MARKS}
         if not marks & seen:
             kept.append(w)
         seen |= marks
@@ -143,14 +145,37 @@ def least_share(hits: int, n: int, z: float = 2.576) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]], p: ToxicityParams) -> tuple[bytes, bytes]:
-    """Contents of the ordinary and the toxic dictionary."""
+def telling(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[tuple[float, int, bytes]]:
+    """Strings of toxic texts, the surest first: least share of toxic documents, documents, string."""
     bad = Counter(w for d in toxic for w in set(d))
     plain = Counter(w for d in ordinary for w in set(d))
     even = len(toxic) / max(1, len(ordinary))  # as if there were as many documents of both kinds
-    apart = sorted(((least_share(n, n + math.ceil(even * plain[w])), n, w) for w, n in bad.items() if n >= 5), reverse=True)
-    strings_ = [w for share, _, w in apart if share >= p.surest]
-    common = [w for w, _ in sorted((bad + plain).items(), key=lambda x: (-x[1], x[0])) if w not in set(strings_)]
+    return sorted(((least_share(n, n + math.ceil(even * plain[w])), n, w) for w, n in bad.items() if n >= 3), reverse=True)
+
+
+def best_share(toxic: list[list[bytes]], ordinary: list[list[bytes]], shares: tuple[float, ...]) -> float:
+    """The share whose strings, taken from one half of the texts, tell the other half's labels best;
+    of shares that reach four fifths of the best one's gain, the highest, which trusts the fewest strings."""
+    found = telling(toxic[::2], ordinary[::2])
+    rest = [(set(d), y) for kind, y in ((toxic, 1), (ordinary, 0)) for d in kind[1::2]]
+    losses = []
+    for share in (2.0, *shares):  # no string reaches 2
+        strings_ = {w for x, _, w in found if x >= share}
+        n = np.ones((2, 2))
+        for d, y in rest:
+            n[int(not strings_.isdisjoint(d)), y] += 1
+        losses.append(-(n * np.log(n / n.sum(axis=1, keepdims=True))).sum())
+    enough = losses[0] - 0.8 * (losses[0] - min(losses))
+    return next(share for share, loss in zip((2.0, *shares), losses) if loss <= enough)
+
+
+def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]], p: ToxicityParams) -> tuple[bytes, bytes]:
+    """Contents of the ordinary and the toxic dictionary; empty if no string sets toxic texts apart."""
+    share = best_share(toxic, ordinary, p.shares)
+    strings_ = [w for x, _, w in telling(toxic, ordinary) if x >= share]
+    apart = set(strings_)
+    every = Counter(w for d in [*toxic, *ordinary] for w in set(d))
+    common = [w for w, _ in sorted(every.items(), key=lambda x: (-x[1], x[0])) if w not in apart]
 
     def up_to(ws: list[bytes], most: int) -> list[bytes]:
         out, size = [], 0
