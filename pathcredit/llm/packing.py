@@ -18,6 +18,7 @@ length 1. Repeated rows are packed each. Other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,13 +26,13 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pathcredit.llm.common import Memo, batches, strings
+from pathcredit.llm.common import batches, strings
 
 TOKENIZER, END, LONGEST = "byte_bpe_50k.json", 1, 2048
 PIECES = pa.schema([
@@ -40,34 +41,42 @@ PIECES = pa.schema([
 PIECES_SQL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket int"
 
 
+def byte_symbols() -> dict[str, int]:
+    """The characters by which byte-level vocabularies write bytes: printable ones stand for
+    themselves, the others for 256 and on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class Ids:
-    """A text's ids as little-endian 32-bit words, exactly as the tokenizer file gives them.
+    """A text's ids as the tokenizer file gives them, little-endian 32-bit words.
 
-    The file's own pre-tokenizer parts a text by ``public_tokenizers.PATTERN``
-    and merges within a part only, so the ids of each distinct part are asked
-    of the library once and joined; special strings are taken out first, as
-    the library does.
+    The vocabulary and the special strings come from the file; a byte-level
+    BPE vocabulary is in the order of its merges, so the merging itself is
+    left to tiktoken's faster code (the tests hold it against the library the
+    file belongs to). Special strings are taken out first, as that library does.
     """
 
     def __init__(self, name: str):
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.part = regex.compile(public_tokenizers.PATTERN)
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in special.items()}
-        self.any_special = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if special else None
-        self.memo = Memo(self.of_part, most=400_000)
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.any_special = re.compile("|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)")
+        byte = byte_symbols()
+        ranks = {bytes(byte[c] for c in t): i for t, i in tokenizer.get_vocab().items() if t not in self.special}
+        self.encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def of_part(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+    def plain(self, text: str) -> bytes:
+        return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if self.any_special is None or not any(s in text for s in self.special):
-            return b"".join(map(self.memo.__getitem__, self.part.findall(text)))
+        if not any(s in text for s in self.special):
+            return self.plain(text)
         out, at = [], 0
         for m in self.any_special.finditer(text):
-            out += [self.memo[p] for p in self.part.findall(text[at : m.start()])] + [self.special[m.group()]]
+            out += [self.plain(text[at : m.start()]), self.special[m.group()]]
             at = m.end()
-        return b"".join(out + [self.memo[p] for p in self.part.findall(text[at:])])
+        return b"".join([*out, self.plain(text[at:])])
 
 
 @lru_cache(maxsize=2)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import toxicity
+from pathcredit.llm import packing, quality, toxicity
 from pathcredit.llm.common import fold, table
 
 
@@ -19,7 +19,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality.judge(docs, quality.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
+    "op5_quality": op5_quality,
     "op10_toxicity": op10_toxicity,
 }
 
