@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import packing, quality, toxicity
+from pathcredit.llm import minhash, packing, quality, toxicity
 from pathcredit.llm.common import fold, table
 
 
@@ -28,9 +28,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.learn(docs))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
+    "op8_minhash": op8_minhash,
     "op10_toxicity": op10_toxicity,
 }
 
