@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import minhash, packing, quality, toxicity
+from pathcredit.llm import bpe, minhash, packing, quality, token_counts, toxicity
 from pathcredit.llm.common import fold, table
 
 
@@ -19,6 +19,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -33,6 +41,8 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
+    "op4_token_counts": op4_token_counts,
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
     "op8_minhash": op8_minhash,
