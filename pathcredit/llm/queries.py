@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import bpe, minhash, packing, quality, token_counts, toxicity
+from pathcredit.llm import bpe, minhash, packing, quality, token_counts, toxicity, url_filter, warc
 from pathcredit.llm.common import fold, table
+from pathcredit.session import new_state_dir
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_state_dir(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path)
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
@@ -41,11 +52,13 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op4_token_counts": op4_token_counts,
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
     "op8_minhash": op8_minhash,
+    "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
 
