@@ -75,3 +75,36 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
     return x
+
+
+def by_group(df: DataFrame, keys: list[str], each: Callable[[tuple, pa.Table], Iterable[tuple]], out: pa.Schema, out_sql: str) -> DataFrame:
+    """``each(key, rows)`` for every group of ``keys`` (the first columns of df): tuples of ``out``.
+
+    Groups stream through sorted partitions, so a partition of very many small groups costs no call into
+    Python for each; callers bound the size of a group.
+    """
+    n = len(keys)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def groups():
+            held: list[pa.Table] = []
+            last = None
+            for batch in rows:
+                if not batch.num_rows:
+                    continue
+                t = pa.Table.from_batches([batch])
+                cols = [t.column(k).to_numpy() for k in range(n)]
+                cuts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1).tolist(), t.num_rows]
+                for a, b in zip(cuts, cuts[1:]):
+                    key = tuple(c[a].item() for c in cols)
+                    if key != last and held:
+                        yield last, pa.concat_tables(held)
+                        held = []
+                    last = key
+                    held.append(t.slice(a, b - a))
+            if held:
+                yield last, pa.concat_tables(held)
+
+        yield from batches((row for key, own in groups() for row in each(key, own)), out)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, out_sql)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import bpe, minhash, packing, quality, token_counts, toxicity, url_filter, warc
+from pathcredit.llm import bpe, embeddings, minhash, packing, quality, token_counts, toxicity, url_filter, warc
 from pathcredit.llm.common import fold, table
 from pathcredit.session import new_state_dir
 
@@ -47,6 +47,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.learn(docs))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
+    "op6_embeddings": op6_embeddings,
     "op8_minhash": op8_minhash,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
