@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import bpe, embeddings, minhash, packing, quality, token_counts, toxicity, url_filter, warc
+from pathcredit.llm import bpe, embeddings, maxent, minhash, packing, quality, token_counts, toxicity, url_filter, warc
 from pathcredit.llm.common import fold, table
 from pathcredit.session import new_state_dir
 
@@ -51,6 +51,10 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
     "op6_embeddings": op6_embeddings,
+    "op7_maxent": op7_maxent,
     "op8_minhash": op8_minhash,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
