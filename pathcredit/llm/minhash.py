@@ -13,12 +13,13 @@ probability of their (weighted) Jaccard similarity.
 Joining: texts of the same words are one node, so copies cost one row each.
 Nodes that agree in a whole band share a bucket. Each member of a bucket is
 held against the bucket's least node, exactly, by shingles. Members of
-a bucket of three or more that this leaves in different groups are then
+a bucket of three or more that are in different components after this are then
 compared with each other by their signatures, in blocks of bounded size, and
-the pairs that may reach the similarity are held against each other exactly.
-So no link is lost that a band shows (1 - (1 - 0.8^6)^21 = 0.998 of pairs at
-0.8, more above), and a bucket of thousands of like texts costs a row for each,
-not its pairs. Components of the verified links are the classes.
+the pairs that may reach the similarity are held against each other exactly:
+first the best few of each two components, and only of those that stay apart
+the rest. So no link is lost that a band shows (1 - (1 - 0.8^6)^21 = 0.998 of
+pairs at 0.8, more above), and a bucket of thousands of like texts costs a row
+for each, not its pairs. Components of the verified links are the classes.
 
 Defined results: texts without words (null, empty, white space) are like
 nothing, each its own class. Texts under five words have one shingle, the
@@ -41,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Memo, batches, mix64, strings
+from pathcredit.llm.common import Memo, batches, by_group, mix64, strings
 from pathcredit.llm.components import components
 from pathcredit.session import materialize
 
@@ -59,8 +60,10 @@ class MinHashParams:
     bands: int = 21
     rows: int = 6
     weighted: bool = False
-    slack: float = 0.16  # a pair in a bucket is verified if its signatures agree in similarity - slack; over four standard errors
-    block: int = 2048  # members of a bucket compared in one task, at most
+    slack: float = 0.1  # two members of a bucket are verified if their signatures agree in similarity - slack: 2.8 standard errors at the similarity
+    block: int = 1024  # members of a bucket in one block; a task compares two blocks
+    #: Best pairs of two groups that are verified in each round; the last round takes all that are left.
+    best: tuple[int, ...] = (16, 256, 4096)
 
     @property
     def coordinates(self) -> int:
@@ -225,7 +228,7 @@ def verified(pairs: DataFrame, docs: DataFrame, p: MinHashParams) -> DataFrame:
     the pairs' ends. Both ends of a pair meet as two rows of a join on the pair.
     """
     ends = pairs.select("a", "b", F.col("a").alias("doc_id")).unionByName(pairs.select("a", "b", F.col("b").alias("doc_id")))
-    found = materialize(ends.join(held(docs, p), "doc_id"), "ends")
+    found = materialize(ends.hint("merge").join(held(docs, p), "doc_id"), "ends")  # one plan at every size, not a broadcast for small inputs
     both = found.filter("doc_id = a").withColumnRenamed("shingles", "x").drop("doc_id").join(
         found.filter("doc_id = b").withColumnRenamed("shingles", "y").drop("doc_id"), ["a", "b"])
 
@@ -238,11 +241,12 @@ def verified(pairs: DataFrame, docs: DataFrame, p: MinHashParams) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def apart_pairs(members: DataFrame, p: MinHashParams) -> DataFrame:
-    """Pairs (a < b) of one bucket that are in different groups and whose signatures agree well.
+def apart_pairs(members: DataFrame, p: MinHashParams, low: int, high: int | None) -> DataFrame:
+    """Pairs (a < b) of one bucket that are in different groups and whose signatures agree well: of each two
+    groups those from the ``low``-th to before the ``high``-th best. A pair of nulls tells that more are left.
 
-    ``members``: band, n (members of the bucket), node, grp, signature. A
-    bucket over ``block`` members is cut into blocks; each task sees two of them.
+    ``members``: band, n (members of the bucket), node, grp, signature. A bucket over ``block`` members is
+    cut into blocks; each task sees two of them.
     """
     blocks = F.ceil(F.col("n") / p.block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("s")).cast("int")
@@ -251,23 +255,38 @@ def apart_pairs(members: DataFrame, p: MinHashParams) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
         .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "grp", "signature")
     )
-    least = (p.similarity - p.slack) * p.coordinates
+    least = math.ceil((p.similarity - p.slack) * p.coordinates)
 
-    def run(key, rows):
+    def each(key: tuple, rows: pa.Table):
         node, grp, block = (rows.column(c).to_numpy() for c in ("node", "grp", "own"))
         sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(node), p.coordinates)
-        left, right = [], []
+        found = [], [], []
         for k in range(len(node)):
-            agree = (sig[k] == sig[k + 1 :]).sum(1) >= least
-            near = agree & (grp[k + 1 :] != grp[k])
-            if key[1].as_py() != key[2].as_py():
-                near &= block[k + 1 :] != block[k]
-            at = np.flatnonzero(near) + k + 1
-            left.append(np.minimum(node[k], node[at]))
-            right.append(np.maximum(node[k], node[at]))
-        return pa.table({"a": pa.array(np.concatenate(left), pa.int64()), "b": pa.array(np.concatenate(right), pa.int64())})
-
-    return dealt.groupBy("band", "i", "j").applyInArrow(run, "a long, b long").distinct()
+            later = np.flatnonzero(grp[k + 1 :] != grp[k]) + k + 1
+            if key[1] != key[2]:
+                later = later[block[later] != block[k]]
+            agree = (sig[later] == sig[k]).sum(1)
+            at = np.flatnonzero(agree >= least)
+            for held_, new in zip(found, (np.full(len(at), k), later[at], agree[at])):
+                held_.append(new)
+        x, y, agree = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in found)
+        # a pair that meets in several bands is told in the first only
+        shared = (sig[x] == sig[y]).reshape(len(x), p.bands, p.rows).all(2).argmax(1) if len(x) else x
+        keys = np.stack([band_keys(one, p) for one in sig])
+        here = keys[x, shared] == key[0]
+        x, y, agree = x[here], y[here], agree[here]
+        if not len(x):
+            return
+        one, two = np.minimum(grp[x], grp[y]), np.maximum(grp[x], grp[y])
+        order = np.lexsort((node[y], node[x], -agree, two, one))
+        new = np.flatnonzero((np.diff(one[order], prepend=-1) != 0) | (np.diff(two[order], prepend=-1) != 0))
+        rank = np.arange(len(order)) - np.repeat(new, np.diff(np.append(new, len(order))))
+        chosen = order[(rank >= low) & (rank < (high or len(order)))]
+        yield from zip(np.minimum(node[x], node[y])[chosen].tolist(), np.maximum(node[x], node[y])[chosen].tolist())
+        if high and rank.max() >= high:
+            yield None, None
+
+    return by_group(dealt, ["band", "i", "j"], each, pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) -> DataFrame:
@@ -283,16 +302,23 @@ def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) ->
     star = led.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = materialize(verified(star, docs, p), "links")
 
-    # groups as far as two steps along the links show them: enough to tell most members of a bucket are together
-    step = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("grp"))
-    groups = step.alias("x").join(step.select(F.col("node").alias("grp"), F.col("grp").alias("next")), "grp", "left") \
-        .select("node", F.coalesce("next", "grp").alias("grp"))
-    grouped = led.filter("n > 2").join(groups, "node", "left").select("band", "n", "node", F.coalesce("grp", "node").alias("grp"))
-    torn = grouped.groupBy("band").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("band")
-    open_ = grouped.join(torn, "band").join(found.select(F.col("doc_id").alias("node"), "signature").dropDuplicates(["node"]), "node")
-    more = materialize(apart_pairs(open_, p).join(star, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        links = links.unionByName(materialize(verified(more, docs, p), "links"))
+    # what the least nodes left apart: members of a bucket that are in different components so far
+    bands = led.filter("n > 2")
+    low = 0
+    tried = star
+    for high in (*p.best, None):
+        groups = components(links, "a", "b").select(F.col("vertex").alias("node"), F.col("component").alias("grp"))
+        grouped = bands.join(groups, "node", "left").select("band", "n", "node", F.coalesce("grp", "node").alias("grp"))
+        torn = grouped.groupBy("band").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("band")
+        open_ = grouped.join(torn, "band").join(found.select(F.col("doc_id").alias("node"), "signature").dropDuplicates(["node"]), "node")
+        more = materialize(apart_pairs(open_, p, low, high), "more")
+        new = more.filter("a is not null").join(tried, ["a", "b"], "left_anti")
+        if not new.isEmpty():
+            links = links.unionByName(materialize(verified(new, docs, p), "links"))
+            tried = tried.unionByName(new)
+        if more.filter("a is null").isEmpty():
+            break
+        low = high
 
     named = components(links.unionByName(members.filter("doc_id != node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))), "a", "b")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
