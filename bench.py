@@ -38,7 +38,7 @@ def main() -> None:
     cfg = Q.BASE_CFG
 
     def pipe() -> Pipeline:
-        return Pipeline(fx.load_inputs(spark, sf_dir), cfg, Q.LAST_SUCCESS)
+        return Pipeline(fx.load_inputs(spark, sf_dir), cfg)
 
     def q_subscriptions(p: Pipeline):
         _force(p.subscriptions)
@@ -47,9 +47,8 @@ def main() -> None:
         _force(p.paths)
 
     def q_attributions(p: Pipeline):
-        _force(p.channel_attributions.unionByName(
-            p.campaign_attributions.withColumnRenamed("campaign", "channel")
-            .withColumnRenamed("campaign_transformed_path", "channel_transformed_path")))
+        _force(p.channel_attributions)
+        _force(p.campaign_attributions)
 
     def q_overview(p: Pipeline):
         _force(p.overview(with_spend=True))

@@ -66,7 +66,7 @@ def unique_path(arr: Column) -> Column:
 
 def collapse_repeats(arr: Column) -> Column:
     """Collapse runs of the same touch point into one element."""
-    return F.filter(arr, lambda x, i: (i == 0) | (x != F.element_at(arr, i)))
+    return F.filter(arr, lambda x, i: (i == 0) | (x != F.get(arr, i - 1)))
 
 
 # --- attribution weights (O24) ------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
 from ..functions.columns import path_to_string, ts_lit, weights
+from .paths import PATH_COLUMNS
 
 DIMENSIONS = ("channel", "campaign")
 
@@ -26,21 +27,27 @@ def attribution_columns(dim: str) -> tuple[str, ...]:
             "position_based_attribution")
 
 
-def attribution_scope(paths: DataFrame, this_run: DataFrame | None, last_processed: dt.datetime | None,
-                      cfg: AttributionConfig) -> DataFrame:
+def attribution_scope(paths: DataFrame, updates: DataFrame | None, this_run: DataFrame | None,
+                      last_processed: dt.datetime | None, cfg: AttributionConfig) -> DataFrame:
     """Rows to (re)attribute on an incremental run: recent conversions
     (``cv_tstamp >= last_processed - lookback``) OR subscriptions touched this
-    run. A left join to the distinct touched ids with a marker column keeps
-    the OR in one pass over the paths."""
+    run.
+
+    The recent ones are read from the stored paths by date partition. Every
+    path of a touched subscription is among this run's ``updates`` (a new one
+    or a refreshed one), so the older ones come from there and the stored
+    paths need no join."""
     if last_processed is None:
         return paths
-    bound = F.col("cv_tstamp") >= ts_lit(last_processed - dt.timedelta(days=cfg.path_lookback_days))
-    if this_run is None:
-        return paths.filter(bound)
-    hits = this_run.select(F.col(cfg.subscription_id).alias("_hit_id")).distinct() \
-        .withColumn("_hit", F.lit(True))
-    j = paths.join(hits, paths["cv_id"] == hits["_hit_id"], "left")
-    return j.filter(bound | F.col("_hit").isNotNull()).drop("_hit_id", "_hit")
+    since = last_processed - dt.timedelta(days=cfg.path_lookback_days)
+    recent = paths.filter(F.col("cv_tstamp") >= ts_lit(since))
+    if "cv_tstamp_date" in paths.columns:
+        recent = recent.filter(F.col("cv_tstamp_date") >= F.lit(since.date()))
+    if updates is None or this_run is None:
+        return recent
+    older = updates.filter(F.col("cv_tstamp") < ts_lit(since)).join(
+        this_run.select(F.col(cfg.subscription_id).alias("cv_id")), "cv_id", "left_semi")
+    return recent.select(*PATH_COLUMNS).unionByName(older.select(*PATH_COLUMNS))
 
 
 def attribute(paths: DataFrame, dim: str, cfg: AttributionConfig | None = None) -> DataFrame:
@@ -55,7 +62,7 @@ def attribute(paths: DataFrame, dim: str, cfg: AttributionConfig | None = None)
         F.posexplode_outer(arr).alias("_pos", "_touch"),
     )
     idx = F.col("_pos").cast("bigint")
-    n = F.size("_arr").cast("bigint")
+    n = F.when(F.col("_arr").isNotNull(), F.size("_arr")).cast("bigint")  # size(null) depends on the session
     w = weights(idx, n)
     out = x.select(
         F.concat(F.col("cv_id"), F.col("_touch"), idx.cast("string")).alias("composite_key"),

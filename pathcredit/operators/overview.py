@@ -9,19 +9,8 @@ from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
 from ..functions.columns import day_number, ts_lit
-from ..session import checked_broadcast
 
 WEIGHT_MODELS = ("first_touch", "last_touch", "linear", "position_based")
-MAX_BROADCAST_TOUCH_POINTS = 1_000_000
-
-
-def touch_point_bound(spend: DataFrame, dim: str) -> int:
-    """Number of distinct touch points in the spend ledger: the scoped spend
-    has at most one row per such value, so this proves its size before it is
-    computed (one small aggregate over one column, deduplicated map-side)."""
-    return spend.filter(F.col(dim).isNotNull()).select(dim).distinct().count()
-
-
 def scoped_spend(spend: DataFrame, attributions: DataFrame, dim: str, cfg: AttributionConfig) -> DataFrame:
     """Total spend per touch point, counting a spend row (once) only if
     some attributed conversion of the same touch point falls strictly inside
@@ -81,22 +70,16 @@ def window_bound(campaign_attributions: DataFrame, cfg: AttributionConfig) -> Co
     return (F.col("cv_tstamp") >= ts_lit(lower)) & (day >= F.lit(lower.date()))
 
 
-def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
-                  spend_by_touch: DataFrame | None, window: Column, cfg: AttributionConfig,
-                  track: list[str] | None = None, spend_touch_bound: int | None = None) -> DataFrame:
+def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame, window: Column,
+                  cfg: AttributionConfig) -> DataFrame:
     """One row per (conversion, touch point) inside the window: summed
-    weights, the conversion's revenue, attributed revenue per model, per
-    subscription event attributed counts and revenue, and the touch point's
-    scoped spend.
+    weights, the conversion's revenue, attributed revenue per model and per
+    subscription event attributed counts and revenue.
 
-    Aggregates first and joins the subscription and spend rows afterwards:
-    a subscription's counts are constant per ``cv_id``, so
+    Aggregates first and joins the subscription rows afterwards: a
+    subscription's counts are constant per ``cv_id``, so
     ``sum(count * w) = count * sum(w)`` and the join sees one row per
     (conversion, touch point) instead of one per path position.
-
-    ``spend_touch_bound``: a proven upper bound on the rows of
-    ``spend_by_touch`` (see ``touch_point_bound``); without one, the table is
-    stored and counted before it is broadcast.
     """
     sid = cfg.subscription_id
     events = cfg.subscription_events
@@ -111,19 +94,6 @@ def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
         *[F.col(f"{e}_revenue").alias(f"_{e}_revenue") for e in events],
     )
     a = a.join(subs, a["cv_id"] == subs["_sub_id"], "left")
-    if spend_by_touch is not None:
-        # One row per touch point: join it by broadcast when its size is
-        # proven small, never by a shuffle on the touch point, which has only
-        # a handful of values and would put each channel's rows in one task.
-        sp = spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").alias("_sp"))
-        if spend_touch_bound is not None and spend_touch_bound <= MAX_BROADCAST_TOUCH_POINTS:
-            sp = F.broadcast(sp)
-        elif spend_touch_bound is None:
-            sp = checked_broadcast(sp, f"spend-{dim}", MAX_BROADCAST_TOUCH_POINTS, track=track)
-        a = a.join(sp, a[dim] == sp["_sp_touch"], "left")
-        spend_col = F.col("_sp").cast("double")
-    else:
-        spend_col = F.lit(None).cast("double")
     cols = [*keys, *[f"{m}_attribution" for m in WEIGHT_MODELS], "cv_total_revenue"]
     cols += [(F.col(f"{m}_attribution") * F.col("cv_total_revenue")).alias(f"{m}_attribution_revenue")
              for m in WEIGHT_MODELS]
@@ -132,20 +102,32 @@ def overview_prep(attributions: DataFrame, dim: str, subscriptions: DataFrame,
                  for m in WEIGHT_MODELS]
         cols += [(F.col(f"_{e}_revenue") * F.col(f"{m}_attribution")).alias(f"{e}_{m}_attribution_revenue")
                  for m in WEIGHT_MODELS]
-    cols.append(spend_col.alias("spend"))
     return a.select(*cols)
 
 
-def touch_point_report(prep: DataFrame, dim: str, cfg: AttributionConfig, with_roas: bool) -> DataFrame:
+def with_spend(rows: DataFrame, spend_by_touch: DataFrame | None, dim: str) -> DataFrame:
+    """Add ``spend`` by touch point (null without a source): for the finished
+    report, whose rows are as few as the spend's, and for anyone who wants
+    it beside every conversion."""
+    if spend_by_touch is None:
+        return rows.withColumn("spend", F.lit(None).cast("double"))
+    sp = spend_by_touch.select(F.col(dim).alias("_sp_touch"), F.col("spend").cast("double").alias("spend"))
+    return rows.join(sp, rows[dim] == sp["_sp_touch"], "left").drop("_sp_touch")
+
+
+def touch_point_report(prep: DataFrame, dim: str, cfg: AttributionConfig,
+                       spend_by_touch: DataFrame | None) -> DataFrame:
     """O29-O31 for one dimension: aggregate ONCE with every model side by
-    side, then unpivot the (small) result into one row per model."""
+    side, join the spend to the result, then unpivot it into one row per
+    model. ``prep`` has one row per conversion and touch point, so rows are
+    counted, not distinct ids."""
+    with_roas = spend_by_touch is not None
     events = cfg.subscription_events
     models = cfg.attribution_list
     aggs = [
-        F.countDistinct("cv_id").alias("in_n_conversion_paths"),
+        F.count("cv_id").alias("in_n_conversion_paths"),
         F.min("cv_tstamp").alias("min_cv_tstamp"),
         F.max("cv_tstamp").alias("max_cv_tstamp"),
-        F.min("spend").alias("spend"),
         F.sum("cv_total_revenue").alias("sum_cv_total_revenue"),
     ]
     for m in models:
@@ -154,7 +136,7 @@ def touch_point_report(prep: DataFrame, dim: str, cfg: AttributionConfig, with_r
         for e in events:
             aggs += [F.sum(f"{e}_{m}_attribution").alias(f"_{e}_{m}_conv"),
                      F.sum(f"{e}_{m}_attribution_revenue").alias(f"_{e}_{m}_rev")]
-    wide = prep.groupBy(F.col(dim).alias("touch_point")).agg(*aggs)
+    wide = with_spend(prep.groupBy(dim).agg(*aggs), spend_by_touch, dim).withColumnRenamed(dim, "touch_point")
     per_model = F.array(*[
         F.struct(
             F.lit(m).alias("attribution_type"),
@@ -184,16 +166,11 @@ def touch_point_report(prep: DataFrame, dim: str, cfg: AttributionConfig, with_r
 
 
 def attribution_overview(channel_attr: DataFrame, campaign_attr: DataFrame, subscriptions: DataFrame,
-                         spend: DataFrame | None, cfg: AttributionConfig,
-                         track: list[str] | None = None) -> DataFrame:
-    """The touch-point report for both dimensions. ``track``
-    collects the folders of the small tables it stores."""
+                         spend: DataFrame | None, cfg: AttributionConfig) -> DataFrame:
+    """The touch-point report for both dimensions."""
     window = window_bound(campaign_attr, cfg)
     parts = []
     for dim, attr in (("channel", channel_attr), ("campaign", campaign_attr)):
         sp = scoped_spend(spend, attr, dim, cfg) if spend is not None else None
-        bound = touch_point_bound(spend, dim) if spend is not None else None
-        prep = overview_prep(attr, dim, subscriptions, sp, window, cfg, track, bound)
-        parts.append(touch_point_report(prep, dim, cfg, with_roas=spend is not None))
-    out = parts[0].unionByName(parts[1])
-    return out.orderBy("path_type", "attribution_type", "touch_point")
+        parts.append(touch_point_report(overview_prep(attr, dim, subscriptions, window, cfg), dim, cfg, sp))
+    return parts[0].unionByName(parts[1]).orderBy("path_type", "attribution_type", "touch_point")

@@ -46,13 +46,14 @@ def ordinary_conversions(conversions: DataFrame, mapping: DataFrame | None, cfg:
                     F.col("cv_value").cast("double").alias("revenue"))
 
 
-def new_subscription_conversions(subscriptions: DataFrame, this_run: DataFrame,
+def new_subscription_conversions(subscriptions: DataFrame, this_run: DataFrame | None,
                                  mapping: DataFrame | None, cfg: AttributionConfig,
                                  existing_paths: DataFrame | None = None) -> DataFrame:
-    """Subscriptions touched this run that have no path yet. The whole
-    subscription is one conversion at its start time."""
+    """Subscriptions touched this run (without ``this_run``: all) that
+    have no path yet. The whole subscription is one conversion at its start
+    time."""
     sid = cfg.subscription_id
-    s = subscriptions.join(this_run.select(sid), sid, "left_semi")
+    s = subscriptions if this_run is None else subscriptions.join(this_run.select(sid), sid, "left_semi")
     if existing_paths is not None:
         s = s.join(existing_paths.select(F.col("cv_id").alias(sid)), sid, "left_anti")
     s = resolve_customer(s, mapping, cfg)

@@ -57,6 +57,19 @@ def extract_conversions(events: DataFrame, defs: Sequence[ConversionDef],
     )
 
 
+def conversions_for_run(extracted: DataFrame, mapping: DataFrame | None) -> DataFrame:
+    """Extracted conversions (O1) in the columns a run reads: the mapped user, the stitched id and the date.
+    Without a mapping the device stands for itself (paths then resolve it by their own mapping)."""
+    if mapping is None:
+        out = extracted.withColumn("user_id", F.lit(None).cast("string"))
+    else:
+        m = mapping.select(F.col("user_identifier").alias("_ui"), F.col("user_id"))
+        out = extracted.join(m, extracted["user_identifier"] == m["_ui"], "left").drop("_ui")
+    if "subscription_id" not in out.columns:
+        out = out.withColumn("subscription_id", F.lit(None).cast("string"))
+    return out.withColumn("stitched_user_id", F.coalesce("user_id", "user_identifier")).withColumn("cv_tstamp_date", F.to_date("cv_tstamp"))
+
+
 def _clause(cfg: AttributionConfig) -> Column:
     # The configured clause is spliced into a conjunction: parenthesise it.
     return F.expr(f"({cfg.conversion_clause})")

@@ -56,6 +56,8 @@ def touchpoints(views: DataFrame, mapping: DataFrame | None, cfg: AttributionCon
     reference); ``view_id`` is kept as the tie-break of the path order.
     """
     v = views.filter(touchpoint_filter(cfg, since))
+    if since is not None and "derived_tstamp_date" in views.columns:  # the partition column of a stored views table
+        v = v.filter(F.col("derived_tstamp_date") >= F.lit(since.date()))
     v = resolve_customer(v, mapping, cfg)
     tp = v.select(
         "view_id",

@@ -6,7 +6,8 @@
     ordinary conversions + new subscriptions -> paths -> channel / campaign
     attributions -> overview (with spend)
 
-Each stage is a property computed on first use; nothing runs until an action.
+Each stage is a property; on first use it is computed and stored in the shared
+folder (``materialize=False``: stays lazy), so each is computed once.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
 from ..session import delete_path, materialize
 from ..sources.fixtures import Inputs
+from ..sources.tables import require_unique
 
 
 class Pipeline:
@@ -79,20 +81,22 @@ class Pipeline:
     @cached_property
     def paths(self) -> DataFrame:
         convs = self.ordinary.unionByName(self.new_subscriptions)
+        require_unique(self.inputs.user_mapping, ["user_identifier"], "user mapping")
+        require_unique(convs, ["cv_id"], "conversions")
         return self._stage(pth.paths_to_conversion(convs, self.touchpoints, self.cfg), "paths")
 
     def attributions(self, dim: str) -> DataFrame:
-        return att.attribute(self.paths, dim, self.cfg)
+        return self.channel_attributions if dim == "channel" else self.campaign_attributions
 
     @cached_property
     def channel_attributions(self) -> DataFrame:
-        return self.attributions("channel")
+        return self._stage(att.attribute(self.paths, "channel", self.cfg), "channel_attributions")
 
     @cached_property
     def campaign_attributions(self) -> DataFrame:
-        return self.attributions("campaign")
+        return self._stage(att.attribute(self.paths, "campaign", self.cfg), "campaign_attributions")
 
     def overview(self, with_spend: bool = True) -> DataFrame:
         spend = self.inputs.spend if with_spend else None
         return ov.attribution_overview(self.channel_attributions, self.campaign_attributions,
-                                       self.subscriptions, spend, self.cfg, self._stage_dirs)
+                                       self.subscriptions, spend, self.cfg)

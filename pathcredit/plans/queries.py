@@ -3,7 +3,9 @@ DuckDB oracle. Every query reads the driver's ``events`` table (through the
 fixture adapter) in full; nothing runs on made-up input.
 
 Fixture configuration (FIXTURES.md): start 2024-01-01, 30-day path lookback,
-6-hour late window, subscription manifest ``last_success`` 2024-01-20 00:00.
+6-hour late window. Paths, attributions and reports are first builds: no mark,
+every subscription since the start. Only the queries of the operators that a
+mark bounds (O2-O6, O13) set ``last_success`` to 2024-01-20 00:00.
 """
 
 from __future__ import annotations
@@ -48,8 +50,14 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def _pipe(spark: SparkSession, sf_dir: str, with_spend: bool = True, **changes) -> Pipeline:
+    """A first build over all data."""
     cfg = BASE_CFG.with_(**changes) if changes else BASE_CFG
-    return Pipeline(fx.load_inputs(spark, sf_dir, with_spend), cfg, LAST_SUCCESS)
+    return Pipeline(fx.load_inputs(spark, sf_dir, with_spend), cfg)
+
+
+def _marked(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """A build of the subscriptions touched since the mark."""
+    return Pipeline(fx.load_inputs(spark, sf_dir, with_spend=False), BASE_CFG, LAST_SUCCESS)
 
 
 # --- column lists shared by both sides ---------------------------------------
@@ -87,15 +95,21 @@ def register(name: str, sql: str | None, doubles=()):
     return deco
 
 
-# --- shared oracle CTE stacks -------------------------------------------------
-def _base_ctes(**tp_opts) -> list[str]:
-    stitching = tp_opts.get("stitching", False)
-    return (o.adapter() + o.subscription_ctes(SINCE) + [o.touchpoints_cte(**tp_opts)]
-            + o.conversion_ctes(stitching=stitching))
+# --- shared oracle steps ------------------------------------------------------
+START = BASE_CFG.start_date - dt.timedelta(hours=BASE_CFG.lookback_window_hours)
+
+
+def _path_steps(stitching=False, **journey) -> list[str]:
+    return (o.adapter() + o.billing(START) + [o.touches(stitching=stitching)] + o.goals(stitching=stitching)
+            + [o.journeys(**journey)])
 
 
-def _full_ctes(**tp_opts) -> list[str]:
-    return (_base_ctes(**tp_opts) + o.paths_ctes() + o.attribution_ctes("channel") + o.attribution_ctes("campaign"))
+def _credit_steps() -> list[str]:
+    return _path_steps() + [o.credits("channel"), o.credits("campaign")]
+
+
+def _paid_steps() -> list[str]:
+    return _credit_steps() + [o.paid("channel"), o.paid("campaign")]
 
 
 # --- O1-O6 subscriptions ------------------------------------------------------
@@ -117,47 +131,50 @@ def q_conversion_extract(spark, sf_dir):
     return sub.extract_conversions(raw, fx.FIXTURE_CONVERSION_DEFS, fx.FIXTURE_PASSTHROUGHS)
 
 
-@register("touched_subscriptions", o.with_ctes(o.adapter() + o.subscription_ctes(SINCE),
-                                               "SELECT subscription_id FROM this_run_subscriptions"))
+@register("touched_subscriptions", o.with_ctes(o.adapter() + o.billing(SINCE), "SELECT DISTINCT subscription_id FROM billed"))
 def q_touched(spark, sf_dir):
     """O2: subscriptions with an event since the mark minus 6 hours."""
-    return _pipe(spark, sf_dir).touched
+    return _marked(spark, sf_dir).touched
 
 
-@register("subscription_events", o.with_ctes(o.adapter() + o.subscription_ctes(SINCE),
-                                             "SELECT * FROM subscription_events"), ["cv_value"])
+@register("subscription_events", o.with_ctes(o.adapter() + o.billing(SINCE), "FROM billed"), ["cv_value"])
 def q_subscription_events(spark, sf_dir):
     """O3: full history of the touched subscriptions."""
-    return _pipe(spark, sf_dir).this_run.select(
+    return _marked(spark, sf_dir).this_run.select(
         "cv_id", "event_id", "subscription_id", "user_identifier", "user_id", "stitched_user_id",
         "cv_tstamp", "cv_type", "cv_value")
 
 
 @register("subscription_first_event", o.with_ctes(
-    o.adapter() + o.subscription_ctes(SINCE),
-    "SELECT subscription_id, user_identifier, user_id, stitched_user_id, cv_tstamp, cv_type, cv_value "
-    "FROM first_subscription_event WHERE dedupe_index = 1"), ["cv_value"])
+    o.adapter() + o.billing(SINCE),
+    "SELECT subscription_id, user_identifier, user_id, stitched_user_id, subscription_start_tstamp AS cv_tstamp, "
+    "first_type AS cv_type, first_value AS cv_value FROM plans"), ["cv_value"])
 def q_first_event(spark, sf_dir):
     """First event per subscription."""
-    p = _pipe(spark, sf_dir)
+    p = _marked(spark, sf_dir)
     return sub.first_subscription_event(p.this_run, p.cfg)
 
 
 @register("subscription_rollup", o.with_ctes(
-    o.adapter() + o.subscription_ctes(SINCE),
+    o.adapter() + o.billing(SINCE),
     "SELECT subscription_id, last_subscription_event_tstamp, "
     + ", ".join(f"{e}_count" for e in SUB_EVENTS) + ", " + ", ".join(f"{e}_revenue" for e in SUB_EVENTS)
-    + ", revenue FROM subscription_events_aggregated"), SUB_DOUBLES)
+    + ", revenue FROM plans"), SUB_DOUBLES)
 def q_rollup(spark, sf_dir):
     """Per-subscription counts and revenue."""
-    p = _pipe(spark, sf_dir)
+    p = _marked(spark, sf_dir)
     return sub.subscription_rollup(p.this_run, p.cfg)
 
 
-@register("subscriptions", o.with_ctes(o.adapter() + o.subscription_ctes(SINCE),
-                                       "SELECT * FROM subscriptions"), SUB_DOUBLES)
+@register("subscriptions", o.with_ctes(o.adapter() + o.billing(SINCE), f"SELECT {o.plan_columns()} FROM plans"), SUB_DOUBLES)
 def q_subscriptions(spark, sf_dir):
-    """The subscriptions table."""
+    """The subscriptions table (of those touched since the mark)."""
+    return _marked(spark, sf_dir).subscriptions.select(*SUB_COLS)
+
+
+@register("subscriptions_all", o.with_ctes(o.adapter() + o.billing(START), f"SELECT {o.plan_columns()} FROM plans"), SUB_DOUBLES)
+def q_subscriptions_all(spark, sf_dir):
+    """The subscriptions table of a first build."""
     return _pipe(spark, sf_dir).subscriptions.select(*SUB_COLS)
 
 
@@ -174,7 +191,7 @@ def q_customer_resolution(spark, sf_dir):
 
 
 def _tp_sql(**opts) -> str:
-    return o.with_ctes(o.adapter() + [o.touchpoints_cte(**opts)], "SELECT * FROM touchpoints")
+    return o.with_ctes(o.adapter() + [o.touches(**opts)], "FROM touches")
 
 
 @register("touchpoints", _tp_sql())
@@ -197,58 +214,51 @@ def q_touchpoints_intrasession(spark, sf_dir):
 
 # --- O12-O19 paths ------------------------------------------------------------
 
-@register("ordinary_conversions", o.with_ctes(_base_ctes(), "SELECT * FROM ordinary_conversions"), ["revenue"])
+@register("ordinary_conversions", o.with_ctes(o.adapter() + o.billing(START) + o.goals(), "FROM plain_goals"), ["revenue"])
 def q_ordinary(spark, sf_dir):
     """Non-subscription conversions."""
     return _pipe(spark, sf_dir).ordinary
 
 
-@register("new_subscriptions", o.with_ctes(_base_ctes(), "SELECT * FROM new_subscriptions"), ["revenue"])
+@register("new_subscriptions", o.with_ctes(o.adapter() + o.billing(SINCE) + o.goals(), "FROM plan_goals"), ["revenue"])
 def q_new_subscriptions(spark, sf_dir):
-    """Touched subscriptions as conversions (first build: none exist)."""
-    return _pipe(spark, sf_dir).new_subscriptions
+    """Subscriptions touched since the mark as conversions (none has a path yet)."""
+    return _marked(spark, sf_dir).new_subscriptions
 
 
 def _paths_df(p: Pipeline) -> DataFrame:
     return pth.paths_as_strings(p.paths).select(*[c.strip() for c in PATH_SQL_COLS.split(",")])
 
 
-@register("paths", o.with_ctes(_base_ctes() + o.paths_ctes(), f"SELECT {PATH_SQL_COLS} FROM paths"), ["revenue"])
+@register("paths", o.with_ctes(_path_steps(), f"{o.PATH_SELECT} FROM journeys"), ["revenue"])
 def q_paths(spark, sf_dir):
     """Paths to conversion."""
     return _paths_df(_pipe(spark, sf_dir))
 
 
-_FILTERS = ("\n    AND channel NOT IN ('Direct')"
-            "\n    AND (campaign NOT IN ('camp_5') OR campaign IS NULL)"
-            "\n    AND campaign IN ('No campaign', 'camp_2', 'camp_3', 'camp_5')")
+_ONLY = "t.channel <> 'Direct' AND t.campaign <> 'camp_5' AND t.campaign IN ('No campaign', 'camp_2', 'camp_3', 'camp_5')"
 
 
-@register("paths_filtered", o.with_ctes(_base_ctes() + o.paths_ctes(filters=_FILTERS),
-                                        f"SELECT {PATH_SQL_COLS} FROM paths"), ["revenue"])
+@register("paths_filtered", o.with_ctes(_path_steps(only=_ONLY), f"{o.PATH_SELECT} FROM journeys"), ["revenue"])
 def q_paths_filtered(spark, sf_dir):
     """Channel / campaign include and exclude lists shorten both paths."""
     return _paths_df(_pipe(spark, sf_dir, channels_to_exclude=("Direct",), campaigns_to_exclude=("camp_5",),
                            campaigns_to_include=("No campaign", "camp_2", "camp_3", "camp_5")))
 
 
-@register("paths_unique", o.with_ctes(_base_ctes() + o.paths_ctes(unique=True),
-                                      f"SELECT {PATH_SQL_COLS} FROM paths"), ["revenue"])
+@register("paths_unique", o.with_ctes(_path_steps(rewrite="first"), f"{o.PATH_SELECT} FROM journeys"), ["revenue"])
 def q_paths_unique(spark, sf_dir):
     """A path transform (first occurrence of each touch point)."""
     return _paths_df(_pipe(spark, sf_dir, path_transforms=(unique_path,)))
 
 
-@register("paths_collapsed", o.with_ctes(_base_ctes() + o.paths_ctes(collapse=True),
-                                         f"SELECT {PATH_SQL_COLS} FROM paths"), ["revenue"])
+@register("paths_collapsed", o.with_ctes(_path_steps(rewrite="runs"), f"{o.PATH_SELECT} FROM journeys"), ["revenue"])
 def q_paths_collapsed(spark, sf_dir):
     """A path transform (runs of one touch point collapsed)."""
     return _paths_df(_pipe(spark, sf_dir, path_transforms=(collapse_repeats,)))
 
 
-@register("paths_stitched", o.with_ctes(
-    o.adapter() + o.subscription_ctes(SINCE) + [o.touchpoints_cte(stitching=True)]
-    + o.conversion_ctes(stitching=True) + o.paths_ctes(), f"SELECT {PATH_SQL_COLS} FROM paths"), ["revenue"])
+@register("paths_stitched", o.with_ctes(_path_steps(stitching=True), f"{o.PATH_SELECT} FROM journeys"), ["revenue"])
 def q_paths_stitched(spark, sf_dir):
     """O7 with stitching: the stitched id is the customer, no mapping join."""
     return _paths_df(_pipe(spark, sf_dir, conversion_stitching=True))
@@ -256,13 +266,13 @@ def q_paths_stitched(spark, sf_dir):
 
 # --- O22-O25 attributions -----------------------------------------------------
 
-@register("channel_attributions", o.with_ctes(_full_ctes(), "SELECT * FROM channel_attributions"), ATTR_DOUBLES)
+@register("channel_attributions", o.with_ctes(_credit_steps(), "FROM channel_credits"), ATTR_DOUBLES)
 def q_channel_attributions(spark, sf_dir):
     """O23-O25 for channels."""
     return _pipe(spark, sf_dir).channel_attributions
 
 
-@register("campaign_attributions", o.with_ctes(_full_ctes(), "SELECT * FROM campaign_attributions"), ATTR_DOUBLES)
+@register("campaign_attributions", o.with_ctes(_credit_steps(), "FROM campaign_credits"), ATTR_DOUBLES)
 def q_campaign_attributions(spark, sf_dir):
     """O23-O25 for campaigns."""
     return _pipe(spark, sf_dir).campaign_attributions
@@ -271,10 +281,10 @@ def q_campaign_attributions(spark, sf_dir):
 _WEIGHT_CHECK_SQL = "\nUNION ALL\n".join(
     f"""SELECT '{d}' AS path_type, cv_id, {", ".join(f"sum({m}_attribution) AS {m}" for m in MODELS)},
        count(*) AS n_rows
-FROM {d}_attributions GROUP BY cv_id""" for d in ("channel", "campaign"))
+FROM {d}_credits GROUP BY cv_id""" for d in ("channel", "campaign"))
 
 
-@register("attribution_weight_check", o.with_ctes(_full_ctes(), _WEIGHT_CHECK_SQL), list(MODELS))
+@register("attribution_weight_check", o.with_ctes(_credit_steps(), _WEIGHT_CHECK_SQL), list(MODELS))
 def q_weight_check(spark, sf_dir):
     """Property: every model's weights sum to 1 per conversion."""
     p = _pipe(spark, sf_dir)
@@ -295,8 +305,7 @@ def _spend_q(dim: str):
 
 
 for _d in ("channel", "campaign"):
-    register(f"spend_by_{_d}", o.with_ctes(_full_ctes() + o.spend_ctes(),
-                                           f"SELECT * FROM {_d}_spend_grouped"), ["spend"])(_spend_q(_d))
+    register(f"spend_by_{_d}", o.with_ctes(_credit_steps() + [o.paid(_d)], f"FROM {_d}_paid"), ["spend"])(_spend_q(_d))
 
 
 def _prep_q(dim: str):
@@ -304,23 +313,19 @@ def _prep_q(dim: str):
         p = _pipe(spark, sf_dir)
         window = ov.window_bound(p.campaign_attributions, p.cfg)
         sp = ov.scoped_spend(p.inputs.spend, p.attributions(dim), dim, p.cfg)
-        return ov.overview_prep(p.attributions(dim), dim, p.subscriptions, sp, window, p.cfg,
-                                spend_touch_bound=ov.touch_point_bound(p.inputs.spend, dim))
+        return ov.with_spend(ov.overview_prep(p.attributions(dim), dim, p.subscriptions, window, p.cfg), sp, dim)
     q.__doc__ = f"O27: per conversion and {dim}: weights, revenue, subscription events, spend."
     return q
 
 
 for _d in ("channel", "campaign"):
-    register(f"overview_prep_{_d}", o.with_ctes(
-        _full_ctes() + o.spend_ctes() + [o.prep_cte(_d, f"{_d}_attributions", window=o.window_sql())],
-        f"SELECT * FROM {_d}_overview_prep"), PREP_DOUBLES)(_prep_q(_d))
+    register(f"overview_prep_{_d}", o.with_ctes(_paid_steps() + [o.shares(_d, o.span())], o.shares_select(_d)), PREP_DOUBLES)(_prep_q(_d))
 
 
-def _report_sql(with_spend=True, start=None, end=None) -> str:
-    w = o.window_sql(start=start, end=end)
-    ctes = _full_ctes() + (o.spend_ctes() if with_spend else [])
-    ctes += [o.prep_cte(d, f"{d}_attributions", with_spend=with_spend, window=w) for d in ("campaign", "channel")]
-    return o.with_ctes(ctes, o.report_sql(with_spend=with_spend))
+def _report_sql(with_spend=True, **window) -> str:
+    steps = _paid_steps() if with_spend else _credit_steps()
+    steps = steps + [o.shares(d, o.span(**window), with_spend) for d in ("channel", "campaign")]
+    return o.with_ctes(steps, o.report(with_spend=with_spend))
 
 
 @register("overview", _report_sql(), REPORT_DOUBLES + ["ROAS"])
@@ -342,11 +347,14 @@ def q_overview_window(spark, sf_dir):
                  conversion_window_end_date=WINDOW_END).overview()
 
 
-@register("overview_roas", o.with_ctes(
-    _full_ctes() + o.spend_ctes()
-    + [o.prep_cte(d, f"{d}_attributions", window=o.window_sql()) for d in ("campaign", "channel")],
-    "SELECT path_type, attribution_type, touch_point, attributed_revenue, spend, ROAS FROM ("
-    + o.report_sql() + ") r"), ["attributed_revenue", "spend", "ROAS"])
+@register("overview_window_days", _report_sql(days=7), REPORT_DOUBLES + ["ROAS"])
+def q_overview_window_days(spark, sf_dir):
+    """The default window, of 7 days here so that it bites."""
+    return _pipe(spark, sf_dir, conversion_window_days=7).overview()
+
+
+@register("overview_roas", f"SELECT path_type, attribution_type, touch_point, attributed_revenue, spend, ROAS FROM ({_report_sql()}) r",
+          ["attributed_revenue", "spend", "ROAS"])
 def q_overview_roas(spark, sf_dir):
     """Return on ad spend per touch point and model."""
     return _pipe(spark, sf_dir).overview().select(
@@ -356,108 +364,159 @@ def q_overview_roas(spark, sf_dir):
 # --- O20-O22, O32-O36: the two-run incremental scenario -----------------------
 # Run 1 is a first build over the data before CUT; run 2 sees everything and
 # works from run 1's stored tables (FIXTURES.md: at sf0.01 run 1 knows 380
-# subscriptions, run 2 touches 320 = 270 refreshed + 50 new).
+# subscriptions, run 2 touches 320 = 270 refreshed + 50 new). Each query runs
+# its own scenario from the inputs.
 
 CUT = dt.datetime(2024, 1, 20)
-_SCENARIOS: dict[tuple, str] = {}
+_CFG7 = BASE_CFG.with_(path_lookback_days=7)
 
 
-def _cut_inputs(inp: fx.Inputs, cut: dt.datetime) -> fx.Inputs:
-    return fx.Inputs(views=inp.views.filter(F.col("derived_tstamp") < cut),
-                     conversions=inp.conversions.filter(F.col("cv_tstamp") < cut),
+def _cut_inputs(inp: fx.Inputs, cut: dt.datetime, late_views: bool = False) -> fx.Inputs:
+    views = inp.views.filter(F.col("derived_tstamp") < cut)
+    if late_views:  # every tenth view arrives after run 1
+        views = views.filter(F.substring("view_id", 2, 20).cast("long") % 10 != 0)
+    return fx.Inputs(views=views, conversions=inp.conversions.filter(F.col("cv_tstamp") < cut),
                      user_mapping=inp.user_mapping, spend=inp.spend)
 
 
-def _scenario(spark: SparkSession, sf_dir: str, name: str, runs: int, cfg1: AttributionConfig,
-              cfg2: AttributionConfig | None = None) -> str:
-    """Run the scenario once per session and return its state folder (on
-    the shared folder named by ``spark.checkpoint.dir``)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name, runs)
-    if key not in _SCENARIOS:
-        state = new_state_dir(spark, f"scenario-{name}-{runs}")
-        inp = fx.load_inputs(spark, sf_dir)
-        inc.run_incremental(spark, _cut_inputs(inp, CUT), state, cfg1, "run1")
-        if runs == 2:
-            inc.run_incremental(spark, inp, state, cfg2 or cfg1, "run2")
-        _SCENARIOS[key] = state
-    return _SCENARIOS[key]
+def _scenario(spark: SparkSession, sf_dir: str, runs: int, cfg1: AttributionConfig = BASE_CFG,
+              cfg2: AttributionConfig | None = None, late_views: bool = False) -> tuple[str, fx.Inputs]:
+    """Run the scenario into a new state folder (on the shared folder named by ``spark.checkpoint.dir``)."""
+    state = new_state_dir(spark, "scenario")
+    inp = fx.load_inputs(spark, sf_dir)
+    inc.run_incremental(spark, _cut_inputs(inp, CUT, late_views), state, cfg1, "run1")
+    if runs == 2:
+        inc.run_incremental(spark, inp, state, cfg2 or cfg1, "run2")
+    return state, inp
 
 
-def _plan_run2(spark, sf_dir, name="main", cfg=BASE_CFG) -> inc.RunPlan:
-    state = _scenario(spark, sf_dir, name, 1, cfg)
-    return inc.plan_run(spark, fx.load_inputs(spark, sf_dir), state, cfg)
+def _plan_run2(spark, sf_dir, cfg=BASE_CFG) -> inc.RunPlan:
+    state, inp = _scenario(spark, sf_dir, 1, cfg)
+    return inc.plan_run(spark, inp, state, cfg)
 
 
-def _final(spark, sf_dir, table: str, name="main", cfg1=BASE_CFG, cfg2=None) -> DataFrame:
-    return inc.read_table(spark, _scenario(spark, sf_dir, name, 2, cfg1, cfg2), table)
+def _final(spark, sf_dir, table: str, cfg1=BASE_CFG, cfg2=None, late_views=False) -> DataFrame:
+    return inc.read_table(spark, _scenario(spark, sf_dir, 2, cfg1, cfg2, late_views)[0], table)
 
 
-def _scn_sql(final: str, **kw) -> str:
-    return o.with_ctes(o.scenario_ctes(CUT, BASE_CFG.start_date, **kw), final)
+def _two(final: str, **kw) -> str:
+    return o.with_ctes(o.two_runs(CUT, BASE_CFG.start_date, **kw), final)
 
 
-@register("paths_incremental", _scn_sql(f"SELECT {PATH_SQL_COLS} FROM r2_path_updates"), ["revenue"])
-def q_paths_incremental(spark, sf_dir):
-    """What run 2 upserts into paths: conversions since max(path start)
-    minus 6 hours, new subscriptions, refreshed subscription revenue."""
-    return _paths_df_any(_plan_run2(spark, sf_dir).paths_updates)
+def _paths_df_any(paths: DataFrame) -> DataFrame:
+    return pth.paths_as_strings(paths).select(*[c.strip() for c in PATH_SQL_COLS.split(",")])
 
 
-@register("paths_revenue_refresh", _scn_sql(f"SELECT {PATH_SQL_COLS} FROM r2_refreshed"), ["revenue"])
-def q_paths_revenue_refresh(spark, sf_dir):
-    """Stored subscription paths re-emitted with current revenue."""
-    return _paths_df_any(_plan_run2(spark, sf_dir).revenue_refresh)
+def _bounded(suffix: str, cfg: AttributionConfig) -> None:
+    """The queries whose time bounds depend on the lookback."""
+    days = cfg.path_lookback_days
 
+    @register(f"paths_incremental{suffix}", _two(f"{o.PATH_SELECT} FROM journeys_new", lookback=days), ["revenue"])
+    def q_paths_incremental(spark, sf_dir):
+        """What run 2 upserts into paths: conversions since max(path start)
+        minus 6 hours, new subscriptions, refreshed subscription revenue."""
+        return _paths_df_any(_plan_run2(spark, sf_dir, cfg).paths_updates)
 
-_CFG7 = BASE_CFG.with_(path_lookback_days=7)
+    @register(f"paths_revenue_refresh{suffix}", _two(f"{o.PATH_SELECT} FROM renewed", lookback=days), ["revenue"])
+    def q_paths_revenue_refresh(spark, sf_dir):
+        """Stored subscription paths re-emitted with current revenue."""
+        return _paths_df_any(_plan_run2(spark, sf_dir, cfg).revenue_refresh)
 
+    @register(f"incremental_two_runs{suffix}", _two(f"{o.PATH_SELECT} FROM journeys_now", lookback=days), ["revenue"])
+    def q_incremental_two_runs(spark, sf_dir):
+        """O20-O21 + O32: the paths table after two runs."""
+        return _paths_df_any(_final(spark, sf_dir, inc.PATHS, cfg))
 
-@register("attribution_incremental", _scn_sql("SELECT * FROM r2_channel_attributions", lookback=7), ATTR_DOUBLES)
+
+_bounded("", BASE_CFG)
+_bounded("_7", _CFG7)  # here the bounds bite: run 1 has data before them
+
+
+@register("incremental_two_runs_padded", _two(f"{o.PATH_SELECT} FROM journeys_now", lookback=7, padded=True), ["revenue"])
+def q_incremental_two_runs_padded(spark, sf_dir):
+    """O20 with ``pad_touchpoints``: every conversion in scope gets its whole window."""
+    return _paths_df_any(_final(spark, sf_dir, inc.PATHS, _CFG7.with_(pad_touchpoints=True)))
+
+
+@register("paths_rebuilt", o.with_ctes(_path_steps(), f"{o.PATH_SELECT} FROM journeys"), ["revenue"])
+def q_paths_rebuilt(spark, sf_dir):
+    """A run after the paths table alone was dropped builds the paths of all stored subscriptions."""
+    state, inp = new_state_dir(spark, "scenario"), fx.load_inputs(spark, sf_dir)
+    inc.run_incremental(spark, inp, state, BASE_CFG, "run1")
+    inc.TableStore(spark, state).drop(inc.PATHS)
+    inc.run_incremental(spark, inp, state, BASE_CFG, "run2")
+    return _paths_df_any(inc.read_table(spark, state, inc.PATHS))
+
+
+@register("attribution_incremental", _two("FROM channel_credits_2", lookback=7), ATTR_DOUBLES)
 def q_attribution_incremental(spark, sf_dir):
     """Run 2 re-attributes recent conversions (7-day lookback here, so
     the bound bites) OR subscriptions touched this run."""
-    return _plan_run2(spark, sf_dir, "lookback7", _CFG7).attribution_updates("channel", _CFG7)
+    return _plan_run2(spark, sf_dir, _CFG7).attribution_updates("channel", _CFG7)
 
 
-@register("merge_subscriptions", _scn_sql("SELECT * FROM r2_subscriptions_table"), SUB_DOUBLES)
+@register("merge_subscriptions", _two(f"SELECT {o.plan_columns()} FROM plans_now"), SUB_DOUBLES)
 def q_merge_subscriptions(spark, sf_dir):
     """Subscriptions after two runs (keyed upsert)."""
     return _final(spark, sf_dir, inc.SUBSCRIPTIONS).select(*SUB_COLS)
 
 
-@register("merge_attributions", _scn_sql("SELECT * FROM r2_channel_attributions_table"), ATTR_DOUBLES)
+@register("merge_attributions", _two("FROM channel_credits_now"), ATTR_DOUBLES)
 def q_merge_attributions(spark, sf_dir):
     """Channel attributions after two runs (upsert on composite_key)."""
     return _final(spark, sf_dir, inc.CHANNEL_ATTR).select(*att.attribution_columns("channel"))
 
 
-@register("incremental_two_runs", _scn_sql(f"SELECT {PATH_SQL_COLS} FROM r2_paths_table"), ["revenue"])
-def q_incremental_two_runs(spark, sf_dir):
-    """O20-O21 + O32: the paths table after two runs."""
-    return _paths_df_any(_final(spark, sf_dir, inc.PATHS))
+@register("merge_attributions_by_conversion", _two(
+    "SELECT cv_id, count(*) AS n_rows, " + ", ".join(f"sum({m}_attribution) AS {m}" for m in MODELS)
+    + " FROM channel_credits_now GROUP BY cv_id", by_conversion=True, late_views=True), list(MODELS))
+def q_merge_attributions_by_conversion(spark, sf_dir):
+    """O32 by ``cv_id``: with views that arrive late, each conversion's weights still sum to 1."""
+    cfg = BASE_CFG.with_(attribution_replace_by_conversion=True)
+    return _final(spark, sf_dir, inc.CHANNEL_ATTR, cfg, late_views=True).groupBy("cv_id").agg(
+        F.count("*").alias("n_rows"), *[F.sum(f"{m}_attribution").alias(m) for m in MODELS])
+
 
+@register("subscription_events_replaced", _two("FROM billed_2"), ["cv_value"])
+def q_subscription_events_replaced(spark, sf_dir):
+    """The table of this run's events holds only the last run's."""
+    return _final(spark, sf_dir, inc.THIS_RUN).select(
+        "cv_id", "event_id", "subscription_id", "user_identifier", "user_id", "stitched_user_id", "cv_tstamp", "cv_type", "cv_value")
 
-@register("manifest_advance", _scn_sql("""SELECT 'subscriptions' AS model,
-       greatest((SELECT max(cv_tstamp) FROM r1_subscription_events),
-                (SELECT max(cv_tstamp) FROM r2_subscription_events)) AS last_success
-UNION ALL
-SELECT 'attribution', (SELECT max(cv_tstamp) FROM r2_paths_table)"""))
+
+@register("paths_one_date", _two(f"{o.PATH_SELECT} FROM journeys_now WHERE CAST(cv_tstamp AS DATE) = DATE '2024-01-15'"), ["revenue"])
+def q_paths_one_date(spark, sf_dir):
+    """One date partition of the stored paths."""
+    return _paths_df_any(_final(spark, sf_dir, inc.PATHS).filter(F.col("cv_tstamp_date") == F.lit(dt.date(2024, 1, 15))))
+
+
+@register("manifest_advance", _two("""SELECT 'subscriptions' AS model, greatest((SELECT max(cv_tstamp) FROM billed_1), (SELECT max(cv_tstamp) FROM billed_2)) AS last_success
+UNION ALL SELECT 'attribution', max(cv_tstamp) FROM journeys_now
+UNION ALL SELECT 'paths', max(cv_path_start_tstamp) FROM journeys_now"""))
 def q_manifest_advance(spark, sf_dir):
     """High-water marks after two runs."""
-    state = _scenario(spark, sf_dir, "main", 2, BASE_CFG)
-    return inc.Manifest(inc.TableStore(spark, state)).current()
+    return inc.Manifest(inc.TableStore(spark, _scenario(spark, sf_dir, 2)[0])).current()
 
 
 _CFG_2EV = BASE_CFG.with_(subscription_events=("free_trial", "subscribe"))
 
 
-@register("merge_schema_append", _scn_sql("SELECT * FROM r2_subscriptions_table",
-                                          events1=("free_trial", "subscribe")), SUB_DOUBLES)
+@register("merge_schema_append", _two(f"SELECT {o.plan_columns()} FROM plans_now", events1=("free_trial", "subscribe")), SUB_DOUBLES)
 def q_merge_schema_append(spark, sf_dir):
     """Run 2 configures a third subscription event; its columns are
     appended and stay null on rows run 2 did not rewrite."""
-    return _final(spark, sf_dir, inc.SUBSCRIPTIONS, "schema", _CFG_2EV, BASE_CFG).select(*SUB_COLS)
+    return _final(spark, sf_dir, inc.SUBSCRIPTIONS, _CFG_2EV, BASE_CFG).select(*SUB_COLS)
 
 
-def _paths_df_any(paths: DataFrame) -> DataFrame:
-    return pth.paths_as_strings(paths).select(*[c.strip() for c in PATH_SQL_COLS.split(",")])
+@register("conversions_from_events", o.with_ctes(o.adapter() + ["""raw_goals AS (
+  SELECT 'e' || event_id || '_' || kind AS cv_id, 'e' || event_id AS event_id, ui AS user_identifier, ts AS cv_tstamp, kind AS cv_type,
+         CASE WHEN event_type = 'purchase' THEN round(value, 2) END AS cv_value
+  FROM (SELECT *, CASE WHEN event_type = 'signup' THEN 'signup' ELSE ['free_trial', 'subscribe', 'renew', 'purchase'][k % 4 + 1] END AS kind
+        FROM ev_raw WHERE event_type IN ('purchase', 'signup')))"""] + o.billing(START, conv="(SELECT *, 's' || substr(user_identifier, 2) || '-' || (CAST(substr(event_id, 2) AS BIGINT) % 3) AS subscription_id, NULL AS user_id, user_identifier AS stitched_user_id FROM raw_goals)")
+    + [o.touches()] + o.goals(conv="raw_goals") + [o.journeys()], f"{o.PATH_SELECT} FROM journeys"), ["revenue"])
+def q_conversions_from_events(spark, sf_dir):
+    """O1 into O15: conversions extracted from raw events, built into paths."""
+    inp = fx.load_inputs(spark, sf_dir, with_spend=False)
+    raw = fx.raw_events(spark, sf_dir)
+    conversions = sub.conversions_for_run(sub.extract_conversions(raw, fx.FIXTURE_CONVERSION_DEFS, fx.FIXTURE_PASSTHROUGHS), None)
+    return _paths_df(Pipeline(fx.Inputs(views=inp.views, conversions=conversions, user_mapping=inp.user_mapping, spend=None), BASE_CFG))

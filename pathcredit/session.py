@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,33 +22,6 @@ RECOMMENDED_CONF = {
 }
 
 
-def cluster_conf(shuffle_bytes: int, executor_cores: int = 4, target_partition_mb: int = 256) -> dict[str, str]:
-    """Settings for a large cluster, sized from the expected bytes of the
-    widest shuffle (the conversion x touchpoint pairs before the path
-    aggregation). Partitions of ~256 MB fit comfortably in executor memory
-    and spill cleanly; AQE coalesces below that and splits skewed partitions
-    above ``skewedPartitionFactor`` x median. Apply with ``spark.conf.set``
-    (or at submit time)."""
-    target = target_partition_mb << 20
-    partitions = max(200, -(-shuffle_bytes // target))
-    return {
-        **RECOMMENDED_CONF,
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 2}m",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
-        # Broadcast only what AQE measured to be small.
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-        "spark.sql.autoBroadcastJoinThreshold": "64m",
-        "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
-        "spark.task.maxFailures": "8",
-        "spark.executor.cores": str(executor_cores),
-    }
-
-
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
                   app: str = "pathcredit") -> SparkSession:
     """A local session for tests and the benchmark (not for clusters)."""
@@ -72,21 +46,28 @@ def apply_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+_LOCAL_DIRS: dict[str, str] = {}  # of local sessions without the setting, by application
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created
-    and registered, so later calls in the same session reuse it.
+    Where it is unset, a local session (tests) gets a scratch folder of its
+    own; on a cluster that would scatter files over the machines' own disks,
+    so there it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="pathcredit-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    if d:
+        return d
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="pathcredit-ckpt-")
+        sc.setCheckpointDir(_LOCAL_DIRS[sc.applicationId])
+    return _LOCAL_DIRS[sc.applicationId]
 
 
 def new_state_dir(spark: SparkSession, label: str) -> str:
@@ -114,16 +95,3 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(jp):
         fs.delete(jp, True)
-
-
-def checked_broadcast(df: DataFrame, label: str, max_rows: int = 1_000_000,
-                      track: list[str] | None = None) -> DataFrame:
-    """Store a small derived table, count it, and mark it for broadcast only
-    if the count is within ``max_rows``; otherwise return it unmarked (a
-    shuffle join). Used for tables whose size is bounded by a label
-    cardinality (one row per channel / campaign), never by event volume."""
-    from pyspark.sql import functions as F
-
-    stored = materialize(df, label, track)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
-

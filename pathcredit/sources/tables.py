@@ -1,35 +1,37 @@
-"""Stored tables of the incremental pipeline: date-partitioned parquet
-directories under one root on shared storage, with a keyed upsert.
-
-MERGE INTO needs a lakehouse catalog (Delta / Iceberg), which is not
-available here; on plain parquet the upsert (O32) is expressed with the
-DataFrame API and rewrites only the partitions it changes:
-
-1. affected partitions = partitions of the updates, plus partitions that
-   hold an older row of an updated key (read through a semi join on the
-   partition column, so dynamic partition pruning skips the rest);
-2. new content of those partitions = their rows without the updated keys,
-   union the updates (``allowMissingColumns`` appends new columns, O33);
-3. the new content is written to a staging folder, then moved in with a
-   dynamic partition overwrite; partitions left empty are removed. Only
-   that last write is partitioned (a partitioned write of small data costs
-   several times a plain one).
-
-A run that fails between steps can simply be repeated: the upsert is
-idempotent and the manifest only advances after every table is written.
+"""Stored tables of the incremental pipeline: date-partitioned Parquet folders
+under one root on shared storage, with a keyed upsert.
+
+MERGE INTO needs a lakehouse catalog (Delta / Iceberg), which is not available
+here; on plain Parquet the upsert (O32) is a DataFrame expression over the
+partitions it changes, and its result becomes visible at once:
+
+1. affected partitions = those of the updates, plus those within the updates'
+   date range that hold an older row of an updated key;
+2. their new content = their rows without the updated keys, union the updates
+   (new columns are appended, O33), written to folders of its own;
+3. one small pointer file, written last, names the folder that now holds each
+   partition and the table's schema.
+
+Readers follow the newest pointer. Until it is written they see the table as
+it was; a run that stops earlier leaves only unreferenced folders, and can be
+repeated. Folders that neither of the two newest pointers names are deleted
+at the start of the next write.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 # Directory name Spark gives the partition of null values (fixed value).
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+VERSION = "_version"  # first folder level: the write that made it
+POINTERS = "_pointers"
 
 
 class TableStore:
@@ -37,104 +39,145 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- paths and file system ------------------------------------------------
+    # -- file system ----------------------------------------------------------
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def exists(self, name: str) -> bool:
-        fs, p = self._fs(self.path(name))
-        if not fs.exists(p):
-            return False
-        # A table exists once at least one committed data file is present.
-        return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+    def _list(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
     def _delete(self, path: str) -> None:
         fs, p = self._fs(path)
         if fs.exists(p):
             fs.delete(p, True)
 
+    # -- pointers -------------------------------------------------------------
+    def _pointer_names(self, name: str) -> list[str]:
+        return [x for x in self._list(f"{self.path(name)}/{POINTERS}") if x.endswith(".json")]
+
+    def _pointer(self, name: str, which: str | None = None) -> dict | None:
+        names = self._pointer_names(name)
+        if not names:
+            return None
+        fs, p = self._fs(f"{self.path(name)}/{POINTERS}/{which or names[-1]}")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, name: str, pointer: dict) -> None:
+        """Write the next pointer under a temporary name and rename it: the only step that readers see."""
+        names = self._pointer_names(name)
+        following = int(names[-1].removesuffix(".json")) + 1 if names else 0
+        fs, temporary = self._fs(f"{self.path(name)}/{POINTERS}/.{uuid.uuid4().hex}")
+        out = fs.create(temporary)
+        out.write(bytearray(json.dumps(pointer).encode()))
+        out.close()
+        if not fs.rename(temporary, self._fs(f"{self.path(name)}/{POINTERS}/{following:010d}.json")[1]):
+            raise RuntimeError(f"{name}: another write published first")
+
+    def _tidy(self, name: str) -> None:
+        """Delete pointers but the two newest, and the versions that those don't name."""
+        names = self._pointer_names(name)
+        named = {v for x in names[-2:] for v in self._pointer(name, x)["parts"].values()}
+        for x in names[:-2]:
+            self._delete(f"{self.path(name)}/{POINTERS}/{x}")
+        for x in self._list(self.path(name)):
+            if x.startswith(f"{VERSION}=") and x.split("=", 1)[1] not in named:
+                self._delete(f"{self.path(name)}/{x}")
+
     # -- read / write ---------------------------------------------------------
+    def exists(self, name: str) -> bool:
+        return bool(self._pointer_names(name))
+
+    def drop(self, name: str) -> None:
+        self._delete(self.path(name))
+
     def read(self, name: str) -> DataFrame | None:
-        if not self.exists(name):
+        """The table as of its newest pointer, ``None`` if it was never written. The stored schema spares
+        readers the footers of all files; columns that older files lack are null."""
+        pointer = self._pointer(name)
+        if pointer is None:
             return None
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
+        schema = T.StructType.fromJson(pointer["schema"])
+        base = self.path(name)
+        folders = [f"{base}/{VERSION}={v}" + (f"/{part}" if part else "") for part, v in sorted(pointer["parts"].items())]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        whole = T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])
+        return self.spark.read.schema(whole).option("basePath", base).parquet(*folders).select(*schema.names)
+
+    def _write(self, df: DataFrame, name: str, partition_by: str | None) -> tuple[str, list[str]]:
+        """A new version: its name and its partition folders ("" without partitions)."""
+        version = uuid.uuid4().hex[:12]
+        where = f"{self.path(name)}/{VERSION}={version}"
+        if partition_by is None:
+            df.write.parquet(where)
+            return version, [""]
+        # REBALANCE on the partition column: AQE coalesces small output
+        # partitions (few files per date) and splits skewed ones (a date
+        # holding a large share of rows is written by several tasks).
+        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(where)
+        return version, [x for x in self._list(where) if x.startswith(f"{partition_by}=")]
 
     def overwrite(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Replace the whole table (the table of this run's events)."""
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(self.path(name))
+        self._tidy(name)
+        version, parts = self._write(df, name, partition_by)
+        self._publish(name, {"schema": df.schema.jsonValue(), "parts": {p: version for p in parts}})
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path(name))
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once beside the tables and read back; ``clear_stages`` removes it."""
+        where = f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(where)
+        return self.spark.read.schema(df.schema).parquet(where)
 
-    def _write_partitioned(self, df: DataFrame, path: str, partition_by: str, mode: str = "errorifexists",
-                           dynamic: bool = False) -> None:
-        # REBALANCE on the partition column: AQE coalesces small output
-        # partitions (few files per date) and splits skewed ones (a date
-        # holding a large share of rows is written by several tasks).
-        w = df.hint("rebalance", partition_by).write.mode(mode)
-        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        w.partitionBy(partition_by).parquet(path)
+    def clear_stages(self) -> None:
+        self._delete(f"{self.root}/_staging")
 
     def upsert(self, name: str, updates: DataFrame, key: Sequence[str], partition_by: str,
                stable_partition: bool = False) -> DataFrame:
-        """Replace whole rows whose key is in ``updates``, insert the
-        others, delete nothing. Returns the table as read back.
-
-        ``stable_partition``: a key's partition value never changes (it is a
-        function of an immutable column), so older rows of an updated key can
-        only sit in the updates' own partitions and the target need not be
-        scanned to find them."""
+        """Replace whole rows whose key is in ``updates`` (a staged
+        table: it is read several times), insert the others, delete nothing.
+        Returns the table as read back.
+
+        Older rows of an updated key are looked for in the partitions from the
+        updates' first date to their last, as a date-limited merge does; with
+        ``stable_partition`` (a key never changes its date) in the updates'
+        own partitions only, without a scan to find them."""
         key = list(key)
+        self._tidy(name)
         target = self.read(name)
         if target is None:
-            self._write_partitioned(updates, self.path(name), partition_by, mode="overwrite")
-            return self.read(name)
-        run = uuid.uuid4().hex[:12]
-        # Stage the updates once (plain files: only the final write needs the
-        # partition layout); everything below reads them back instead of
-        # re-running their lineage.
-        upd_name = f"_staging/{name}-{run}-updates"
-        updates.write.parquet(self.path(upd_name))
-        staged_updates = self.spark.read.parquet(self.path(upd_name))
-        upd_parts = self._values(staged_updates, partition_by)
-        if not upd_parts:  # no updates
-            self._delete(self.path(upd_name))
+            return self.overwrite(name, updates, partition_by)
+        pointer = self._pointer(name)
+        dates = self._values(updates, partition_by)
+        if not dates:  # no updates
             return target
-        upd_keys = staged_updates.select(*key).distinct()
-        # Affected partitions: those of the updates plus those holding an
-        # older row of an updated key. Dates, so a small driver-side list;
-        # as a literal filter it prunes the target scan statically.
-        old_parts = set() if stable_partition else self._values(
-            target.select(*key, partition_by).join(upd_keys, key, "left_semi"), partition_by)
-        touched = old_parts | upd_parts
-        values = sorted(v for v in touched if v is not None)
-        in_touched = F.col(partition_by).cast("string").isin(values)
-        if None in touched:
-            in_touched = in_touched | F.col(partition_by).isNull()
-        affected = target.filter(in_touched)
-        kept = affected.join(upd_keys, key, "left_anti")
-        new_content = kept.unionByName(staged_updates, allowMissingColumns=True)
-        new_name = f"_staging/{name}-{run}-content"
-        new_content.write.parquet(self.path(new_name))
-        staged = self.spark.read.parquet(self.path(new_name))
-        # Only partitions that held old rows but get no update can end up
-        # empty; look at the staged content only if there are any.
-        maybe_empty = old_parts - upd_parts
-        emptied = maybe_empty - self._values(staged, partition_by) if maybe_empty else set()
-        self._write_partitioned(staged, self.path(name), partition_by, mode="overwrite", dynamic=True)
-        for v in emptied:
-            self._delete(f"{self.path(name)}/{partition_by}={NULL_PARTITION if v is None else v}")
-        self._delete(self.path(upd_name))
-        self._delete(self.path(new_name))
+        keys = updates.select(*key).distinct()
+        if not stable_partition:
+            known = [d for d in dates if d is not None]
+            near = F.col(partition_by).isNull()
+            if known:
+                near = near | F.col(partition_by).cast("string").between(min(known), max(known))
+            dates |= self._values(target.filter(near).select(*key, partition_by).join(keys, key, "left_semi"), partition_by)
+        known = sorted(d for d in dates if d is not None)
+        touched = F.col(partition_by).cast("string").isin(known)
+        if None in dates:
+            touched = touched | F.col(partition_by).isNull()
+        kept = target.filter(touched).join(keys, key, "left_anti")
+        content = kept.unionByName(updates, allowMissingColumns=True)
+        version, parts = self._write(content, name, partition_by)
+        gone = {f"{partition_by}={NULL_PARTITION if d is None else d}" for d in dates}
+        held = {p: v for p, v in pointer["parts"].items() if p not in gone} | {p: version for p in parts}
+        self._publish(name, {"schema": content.schema.jsonValue(), "parts": held})
         return self.read(name)
 
     @staticmethod
@@ -159,3 +202,10 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     on ``cv_id`` and the user mapping on ``user_identifier``; duplicates fan
     out joins). An aggregate, so it runs distributed; callers take a few."""
     return df.groupBy(*key).count().filter(F.col("count") > 1)
+
+
+def require_unique(df: DataFrame, key: Sequence[str], what: str) -> None:
+    """Raise if a key occurs twice, naming a few."""
+    found = duplicate_keys(df.select(*key), key).limit(3).collect()
+    if found:
+        raise ValueError(f"{what}: {', '.join(key)} must be unique; repeated: " + "; ".join(str(tuple(r)[:-1]) for r in found))

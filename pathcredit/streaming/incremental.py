@@ -35,10 +35,11 @@ from ..operators import paths as pth
 from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
 from ..sources.fixtures import Inputs
-from ..sources.tables import TableStore, upsert_frames
+from ..sources.tables import TableStore, require_unique, upsert_frames
 
 SUBSCRIPTIONS_MARK = "subscriptions"
 ATTRIBUTION_MARK = "attribution"
+PATHS_MARK = "paths"  # latest path start stored
 
 THIS_RUN = "subscription_events_this_run"
 SUBSCRIPTIONS = "subscriptions"
@@ -55,31 +56,27 @@ MANIFEST_SCHEMA = T.StructType([
 
 
 class Manifest:
-    """Run high-water marks as an append-only log; the current mark of
-    a model is its largest ``last_success`` (so an advance is
-    ``greatest(old, new)`` and a failed run that never appended changes
-    nothing)."""
+    """Run high-water marks, one row per model, replaced as a whole when
+    a run has written all its tables. An advance is ``greatest(old, new)``;
+    a failed run never gets to it and changes nothing."""
 
     def __init__(self, store: TableStore):
         self.store = store
 
     def read(self) -> dict[str, dt.datetime]:
         df = self.store.read(MANIFEST)
-        if df is None:
-            return {}
-        rows = df.groupBy("model").agg(F.max("last_success").alias("m")).collect()
-        return {r["model"]: r["m"] for r in rows if r["m"] is not None}
+        return {r["model"]: r["last_success"] for r in df.collect()} if df is not None else {}
 
     def current(self) -> DataFrame | None:
         df = self.store.read(MANIFEST)
-        if df is None:
-            return None
-        return df.groupBy("model").agg(F.max("last_success").alias("last_success"))
+        return None if df is None else df.select("model", "last_success")
 
     def advance(self, marks: dict[str, dt.datetime | None], run_id: str) -> None:
-        rows = [(k, v, run_id) for k, v in marks.items() if v is not None]
+        old = self.read()
+        new = {k: max(v, old.get(k, v)) for k, v in marks.items() if v is not None}
+        rows = [(k, v, run_id) for k, v in {**old, **new}.items()]
         if rows:
-            self.store.append(MANIFEST, self.store.spark.createDataFrame(rows, MANIFEST_SCHEMA))
+            self.store.overwrite(MANIFEST, self.store.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1))
 
 
 def high_water(df: DataFrame | None, col: str) -> dt.datetime | None:
@@ -117,29 +114,29 @@ def subscription_stage(spark: SparkSession, store: TableStore, inputs: Inputs, c
     touched = sub.touched_subscriptions(inputs.conversions, mark, cfg)
     this_run = sub.subscription_events(inputs.conversions, touched, cfg)
     this_run = store.overwrite(THIS_RUN, this_run.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
-    updates = sub.build_subscriptions(this_run, cfg).withColumn(
-        "subscription_start_date", F.to_date("subscription_start_tstamp"))
+    updates = store.stage(SUBSCRIPTIONS, sub.build_subscriptions(this_run, cfg).withColumn(
+        "subscription_start_date", F.to_date("subscription_start_tstamp")))
     subs = store.upsert(SUBSCRIPTIONS, updates, [cfg.subscription_id], "subscription_start_date")
     return this_run, updates, subs
 
 
 def paths_updates(inputs: Inputs, cfg: AttributionConfig, this_run: DataFrame, subs: DataFrame,
-                  existing: DataFrame | None) -> DataFrame:
+                  existing: DataFrame | None, mark: dt.datetime | None = None) -> DataFrame:
     """O12-O21 for one run: rows to upsert into the paths table.
 
-    First build: every ordinary conversion and every subscription touched
-    this run. Incremental (M = max ``cv_path_start_tstamp`` stored): ordinary
+    First build (or the table was dropped): every ordinary conversion and
+    every stored subscription. Incremental (M = max ``cv_path_start_tstamp`` stored): ordinary
     conversions since ``M - 6h``, touchpoints since ``M - lookback``,
     subscriptions touched and not yet stored, plus the stored paths of
     touched subscriptions re-emitted with current revenue (SURVEY 2.6).
     """
     mapping = inputs.user_mapping
-    if existing is None:
+    if existing is None or mark is None:
         ordinary = pth.ordinary_conversions(inputs.conversions, mapping, cfg)
         tps = tpo.touchpoints(inputs.views, mapping, cfg)
-        new_subs = pth.new_subscription_conversions(subs, this_run, mapping, cfg)
+        new_subs = pth.new_subscription_conversions(subs, None, mapping, cfg)
         return pth.paths_to_conversion(ordinary.unionByName(new_subs), tps, cfg)
-    m = high_water(existing, "cv_path_start_tstamp")
+    m = mark
     since_cv = m - dt.timedelta(hours=cfg.lookback_window_hours)
     since_tp = m - dt.timedelta(days=cfg.path_lookback_days)
     ordinary = pth.ordinary_conversions(inputs.conversions, mapping, cfg, since=since_cv)
@@ -179,33 +176,38 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
     this_run, _, subs = subscription_stage(spark, store, inputs, cfg, sub_mark)
     lap("subscriptions")
 
+    if inputs.user_mapping is not None:
+        require_unique(inputs.user_mapping, ["user_identifier"], "user mapping")
     existing = store.read(PATHS)
-    updates = paths_updates(inputs, cfg, this_run, subs, existing)
+    path_mark = marks.get(PATHS_MARK) if existing is not None else None
+    updates = store.stage(PATHS, paths_updates(inputs, cfg, this_run, subs, existing, path_mark)
+                          .withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
+    require_unique(updates, ["cv_id"], "paths of this run")
     # cv_tstamp of a stored conversion never changes (refreshes keep it), so
     # its date partition is stable.
-    paths = store.upsert(PATHS, updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")),
-                         ["cv_id"], "cv_tstamp_date", stable_partition=True)
+    paths = store.upsert(PATHS, updates, ["cv_id"], "cv_tstamp_date", stable_partition=True)
     lap("paths")
 
+    # Everything stored later than an older mark came in with some run's updates,
+    # so the new marks follow from the old ones and this run's updates.
     attr_mark = marks.get(ATTRIBUTION_MARK)
-    if paths is not None:
-        scope = att.attribution_scope(paths.select(*pth.PATH_COLUMNS), this_run, attr_mark, cfg)
-        for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
-            # Keyed by cv_id the partition is stable; composite keys can
-            # collide across conversions, so then scan.
-            store.upsert(table, att.attribute(scope, dim, cfg), attribution_key(cfg), "cv_tstamp_date",
-                         stable_partition=cfg.attribution_replace_by_conversion)
-            lap(f"{dim}_attributions")
+    scope = store.stage("scope", att.attribution_scope(paths, updates, this_run, attr_mark, cfg))
+    for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
+        # A conversion keeps its date, so keyed by cv_id the partition is stable;
+        # composite keys can collide across conversions: look through the updates' dates.
+        rows = store.stage(table, att.attribute(scope, dim, cfg))
+        store.upsert(table, rows, attribution_key(cfg), "cv_tstamp_date",
+                     stable_partition=cfg.attribution_replace_by_conversion)
+        lap(f"{dim}_attributions")
 
     new_sub_mark = high_water(this_run, "cv_tstamp")
     new_sub_mark = max(sub_mark, new_sub_mark) if new_sub_mark is not None else sub_mark
-    new_attr_mark = path_mark = None
-    if paths is not None:  # both marks of the paths table in one pass
-        r = paths.agg(F.max("cv_tstamp").alias("a"), F.max("cv_path_start_tstamp").alias("p")).collect()[0]
-        new_attr_mark, path_mark = r["a"], r["p"]
-    manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: new_attr_mark}, run_id)
+    r = updates.agg(F.max("cv_tstamp").alias("a"), F.max("cv_path_start_tstamp").alias("p")).collect()[0]
+    manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: r["a"], PATHS_MARK: r["p"]}, run_id)
+    store.clear_stages()
     lap("manifest_advance")
-    return RunReport(run_id, new_sub_mark, path_mark, new_attr_mark, existing is None, timings)
+    now = manifest.read()
+    return RunReport(run_id, new_sub_mark, now.get(PATHS_MARK), now.get(ATTRIBUTION_MARK), existing is None, timings)
 
 
 @dataclass
@@ -237,14 +239,14 @@ def plan_run(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: Attributi
                          sub_updates, [sid])
     existing = store.read(PATHS)
     existing_core = existing.select(*pth.PATH_COLUMNS) if existing is not None else None
-    updates = paths_updates(inputs, cfg, this_run, subs, existing)
+    updates = paths_updates(inputs, cfg, this_run, subs, existing, marks.get(PATHS_MARK))
     refresh = None
     if existing_core is not None:
         new_subs = pth.new_subscription_conversions(subs, this_run, inputs.user_mapping, cfg,
                                                     existing_paths=existing_core)
         refresh = pth.refresh_revenue(existing_core, subs, this_run, new_subs, cfg)
     paths = upsert_frames(existing_core, updates, ["cv_id"])
-    scope = att.attribution_scope(paths, this_run, marks.get(ATTRIBUTION_MARK), cfg)
+    scope = att.attribution_scope(paths, updates, this_run, marks.get(ATTRIBUTION_MARK), cfg)
     return RunPlan(this_run, sub_updates, subs, updates, refresh, paths, scope)
 
 
