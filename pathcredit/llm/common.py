@@ -40,7 +40,7 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(key) <= self.widest:
+        if not hasattr(key, "__len__") or len(key) <= self.widest:
             if len(self) >= self.most:
                 self.clear()
             self[key] = value

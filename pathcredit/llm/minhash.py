@@ -15,11 +15,11 @@ Nodes that agree in a whole band share a bucket. Each member of a bucket is
 held against the bucket's least node, exactly, by shingles. Members of
 a bucket of three or more that are in different components after this are then
 compared with each other by their signatures, in blocks of bounded size, and
-the pairs that may reach the similarity are held against each other exactly:
-first the best few of each two components, and only of those that stay apart
-the rest. So no link is lost that a band shows (1 - (1 - 0.8^6)^21 = 0.998 of
-pairs at 0.8, more above), and a bucket of thousands of like texts costs a row
-for each, not its pairs. Components of the verified links are the classes.
+the pairs that may reach the similarity are held against each other exactly,
+in the task that has them; only links that join components leave it. So no
+link is lost that a band shows (1 - (1 - 0.8^6)^21 = 0.998 of pairs at 0.8,
+more above), and a bucket of thousands of like texts costs a row for each in
+each block, not its pairs. Components of the verified links are the classes.
 
 Defined results: texts without words (null, empty, white space) are like
 nothing, each its own class. Texts under five words have one shingle, the
@@ -62,8 +62,6 @@ class MinHashParams:
     weighted: bool = False
     slack: float = 0.1  # two members of a bucket are verified if their signatures agree in similarity - slack: 2.8 standard errors at the similarity
     block: int = 1024  # members of a bucket in one block; a task compares two blocks
-    #: Best pairs of two groups that are verified in each round; the last round takes all that are left.
-    best: tuple[int, ...] = (16, 256, 4096)
 
     @property
     def coordinates(self) -> int:
@@ -241,25 +239,34 @@ def verified(pairs: DataFrame, docs: DataFrame, p: MinHashParams) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def apart_pairs(members: DataFrame, p: MinHashParams, low: int, high: int | None) -> DataFrame:
-    """Pairs (a < b) of one bucket that are in different groups and whose signatures agree well: of each two
-    groups those from the ``low``-th to before the ``high``-th best. A pair of nulls tells that more are left.
+def apart_links(members: DataFrame, p: MinHashParams) -> DataFrame:
+    """Links (a < b) between members of one bucket that were in different groups.
 
-    ``members``: band, n (members of the bucket), node, grp, signature. A bucket over ``block`` members is
-    cut into blocks; each task sees two of them.
+    ``members``: band, n (members of the bucket), node, grp, signature, shingles. A bucket over ``block``
+    members is cut into blocks; each task sees two of them. Pairs whose signatures agree well are held against
+    each other by their shingles where they are, the likeliest first; a pair whose groups earlier links
+    have joined is passed over, so what leaves the task joins groups: fewer rows than it has members.
     """
     blocks = F.ceil(F.col("n") / p.block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("s")).cast("int")
     dealt = (
         members.withColumn("s", blocks).withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "grp", "signature")
+        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "grp", "signature", "shingles")
     )
     least = math.ceil((p.similarity - p.slack) * p.coordinates)
 
     def each(key: tuple, rows: pa.Table):
         node, grp, block = (rows.column(c).to_numpy() for c in ("node", "grp", "own"))
         sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(node), p.coordinates)
+        text = rows.column("shingles")
+        joined = {g: g for g in set(grp.tolist())}
+
+        def root(g: int) -> int:
+            while joined[g] != g:
+                joined[g] = g = joined[joined[g]]
+            return g
+
         found = [], [], []
         for k in range(len(node)):
             later = np.flatnonzero(grp[k + 1 :] != grp[k]) + k + 1
@@ -267,26 +274,18 @@ def apart_pairs(members: DataFrame, p: MinHashParams, low: int, high: int | None
                 later = later[block[later] != block[k]]
             agree = (sig[later] == sig[k]).sum(1)
             at = np.flatnonzero(agree >= least)
-            for held_, new in zip(found, (np.full(len(at), k), later[at], agree[at])):
+            for held_, new in zip(found, (np.full(len(at), k, np.int32), later[at].astype(np.int32), agree[at].astype(np.int16))):
                 held_.append(new)
-        x, y, agree = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in found)
-        # a pair that meets in several bands is told in the first only
-        shared = (sig[x] == sig[y]).reshape(len(x), p.bands, p.rows).all(2).argmax(1) if len(x) else x
-        keys = np.stack([band_keys(one, p) for one in sig])
-        here = keys[x, shared] == key[0]
-        x, y, agree = x[here], y[here], agree[here]
-        if not len(x):
-            return
-        one, two = np.minimum(grp[x], grp[y]), np.maximum(grp[x], grp[y])
-        order = np.lexsort((node[y], node[x], -agree, two, one))
-        new = np.flatnonzero((np.diff(one[order], prepend=-1) != 0) | (np.diff(two[order], prepend=-1) != 0))
-        rank = np.arange(len(order)) - np.repeat(new, np.diff(np.append(new, len(order))))
-        chosen = order[(rank >= low) & (rank < (high or len(order)))]
-        yield from zip(np.minimum(node[x], node[y])[chosen].tolist(), np.maximum(node[x], node[y])[chosen].tolist())
-        if high and rank.max() >= high:
-            yield None, None
-
-    return by_group(dealt, ["band", "i", "j"], each, pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a long, b long").distinct()
+        x, y, agree = (np.concatenate(v) for v in found)
+        opened = Memo(lambda k: np.frombuffer(text[k[0]].as_py(), np.uint32), most=4096)
+        for at in np.lexsort((node[y], node[x], -agree)).tolist():
+            i, j = int(x[at]), int(y[at])
+            one, two = root(int(grp[i])), root(int(grp[j]))
+            if one != two and similarity(opened[(i,)], opened[(j,)], p.weighted) >= p.similarity:
+                joined[max(one, two)] = min(one, two)
+                yield min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))
+
+    return by_group(dealt, ["band", "i", "j"], each, pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) -> DataFrame:
@@ -303,22 +302,13 @@ def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams()) ->
     links = materialize(verified(star, docs, p), "links")
 
     # what the least nodes left apart: members of a bucket that are in different components so far
-    bands = led.filter("n > 2")
-    low = 0
-    tried = star
-    for high in (*p.best, None):
-        groups = components(links, "a", "b").select(F.col("vertex").alias("node"), F.col("component").alias("grp"))
-        grouped = bands.join(groups, "node", "left").select("band", "n", "node", F.coalesce("grp", "node").alias("grp"))
-        torn = grouped.groupBy("band").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("band")
-        open_ = grouped.join(torn, "band").join(found.select(F.col("doc_id").alias("node"), "signature").dropDuplicates(["node"]), "node")
-        more = materialize(apart_pairs(open_, p, low, high), "more")
-        new = more.filter("a is not null").join(tried, ["a", "b"], "left_anti")
-        if not new.isEmpty():
-            links = links.unionByName(materialize(verified(new, docs, p), "links"))
-            tried = tried.unionByName(new)
-        if more.filter("a is null").isEmpty():
-            break
-        low = high
+    groups = components(links, "a", "b").select(F.col("vertex").alias("node"), F.col("component").alias("grp"))
+    grouped = led.filter("n > 2").join(groups, "node", "left").select("band", "n", "node", F.coalesce("grp", "node").alias("grp"))
+    torn = grouped.groupBy("band").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("band")
+    open_ = materialize(grouped.join(torn, "band"), "open")
+    texts = open_.select("node").distinct().hint("merge").join(held(docs, p).withColumnRenamed("doc_id", "node"), "node") \
+        .join(found.select(F.col("doc_id").alias("node"), "signature"), "node").dropDuplicates(["node"])
+    links = links.unionByName(materialize(apart_links(open_.join(texts, "node"), p), "links"))
 
     named = components(links.unionByName(members.filter("doc_id != node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))), "a", "b")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
