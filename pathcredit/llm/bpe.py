@@ -4,7 +4,7 @@ For every byte prefix of a piece exactly one vocabulary token can be the last
 of its encoding. It is found from the suffixes of the prefix that are tokens:
 the one that may follow the (already known) last token of what is before it.
 Two tokens may follow each other if merging the bytes of both gives just
-those two. The table of last tokens is the encoding of every prefix at once,
+those two, which the merges at the border of both tell. The table of last tokens is the encoding of every prefix at once,
 so bytes are appended without looking back further than the longest token,
 and after an edit only the positions from the edit on are computed, until the
 table agrees with the old one over a longest token's length.
@@ -50,6 +50,8 @@ class Encoder:
         self.token = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._fit: dict[tuple[int, int], bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        self._edges: dict[tuple[int, bool], list[tuple[bytes, int, int]]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Ids by the definition: again and again the leftmost pair of least rank is joined."""
@@ -61,14 +63,52 @@ class Encoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.rank[p] for p in parts]
 
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for a byte, or a token that no merges make."""
+        if token not in self._halves:
+            parts = [self.token[token][i : i + 1] for i in range(len(self.token[token]))]
+            while len(parts) > 2:
+                rank, at = min((self.rank.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
+                if rank == 1 << 60:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            self._halves[token] = (self.rank[parts[0]], self.rank[parts[1]]) if len(parts) == 2 else None
+        return self._halves[token]
+
+    def edge(self, token: int, right: bool) -> list[tuple[bytes, int, int]]:
+        """What stands at one end of a token while it is built: bytes, the rank at which they form, and the rank
+        at which they are merged into something longer."""
+        key = token, right
+        if key not in self._edges:
+            out, end, at = [], 1 << 60, token
+            while True:
+                data = self.token[at]
+                out.append((data, at if len(data) > 1 else -1, end))
+                halves = self.halves(at)
+                if halves is None:
+                    break
+                end, at = at, halves[right]
+            self._edges[key] = out
+        return self._edges[key]
+
     def fits(self, before: int, last: int) -> bool:
-        """May ``last`` follow ``before`` (-1: nothing)?"""
+        """May ``last`` follow ``before`` (-1: nothing)? Not if, while both are built, something at the border
+        would merge across it. (Of equal merges the left one comes first: at the border that is the one across
+        it rather than the one to its right.)"""
         key = before, last
         known = self._fit.get(key)
         if known is None:
             if len(self._fit) >= 2_000_000:
                 self._fit.clear()
-            known = self._fit[key] = self.merge(self.token.get(before, b"") + self.token[last]) == ([last] if before < 0 else [before, last])
+            known = len(self.token[last]) == 1 or self.halves(last) is not None
+            if known and before >= 0:
+                for x, x_from, x_to in self.edge(before, True):
+                    for y, y_from, y_to in self.edge(last, False):
+                        if max(x_from, y_from) < min(x_to, y_to):
+                            rank = self.rank.get(x + y)
+                            if rank is not None and rank < x_to and rank <= y_to:
+                                known = False
+            self._fit[key] = known
         return known
 
     def extend(self, data: bytes, table: list[int], until: int | None = None) -> list[int]:
