@@ -194,7 +194,7 @@ def learn(ruled: DataFrame, p: UrlParams = UrlParams()) -> tuple[Suffixes, Trees
         stats.append({r["bucket"]: (r["n"], r["known"], r["blocked"]) for r in rows})
     found = Suffixes(*stats, p.buckets)
     sample = ruled.filter("verdict is not null").orderBy(F.xxhash64("url"), "url").limit(p.sample).select("url", "host", "path", "verdict").collect()
-    x = np.array([lexical(r["url"], r["host"], r["path"]) + found.of(r["host"]) for r in sample]).reshape(len(sample), -1)
+    x = np.array([lexical(r["url"], r["host"], r["path"]) + found.of(r["host"]) for r in sample]).reshape(len(sample), len(lexical("", "", "")) + 4)
     return found, Trees(p).fit(x, np.array([float(r["verdict"] == "block") for r in sample]))
 
 
