@@ -5,8 +5,8 @@ MERGE INTO needs a lakehouse catalog (Delta / Iceberg), which is not available
 here; on plain Parquet the upsert (O32) is a DataFrame expression over the
 partitions it changes, and its result becomes visible at once:
 
-1. affected partitions = those of the updates, plus those within the updates'
-   date range that hold an older row of an updated key;
+1. affected partitions = those of the updates, plus those that hold an older
+   row of an updated key;
 2. their new content = their rows without the updated keys, union the updates
    (new columns are appended, O33), written to folders of its own;
 3. one small pointer file, written last, names the folder that now holds each
@@ -143,15 +143,16 @@ class TableStore:
         self._delete(f"{self.root}/_staging")
 
     def upsert(self, name: str, updates: DataFrame, key: Sequence[str], partition_by: str,
-               stable_partition: bool = False) -> DataFrame:
+               stable_partition: bool = False, date_limited: bool = False) -> DataFrame:
         """Replace whole rows whose key is in ``updates`` (a staged
         table: it is read several times), insert the others, delete nothing.
         Returns the table as read back.
 
-        Older rows of an updated key are looked for in the partitions from the
-        updates' first date to their last, as a date-limited merge does; with
-        ``stable_partition`` (a key never changes its date) in the updates'
-        own partitions only, without a scan to find them."""
+        Older rows of an updated key are looked for in the whole table (of which
+        only the key is read); with ``date_limited`` in the partitions from the
+        updates' first date to their last; with ``stable_partition`` (a key
+        never changes its date) in the updates' own partitions only, without a
+        scan to find them."""
         key = list(key)
         self._tidy(name)
         target = self.read(name)
@@ -164,10 +165,11 @@ class TableStore:
         keys = updates.select(*key).distinct()
         if not stable_partition:
             known = [d for d in dates if d is not None]
-            near = F.col(partition_by).isNull()
-            if known:
-                near = near | F.col(partition_by).cast("string").between(min(known), max(known))
-            dates |= self._values(target.filter(near).select(*key, partition_by).join(keys, key, "left_semi"), partition_by)
+            near = target
+            if date_limited:
+                within = F.col(partition_by).cast("string").between(min(known), max(known)) if known else F.lit(False)
+                near = target.filter(within | F.col(partition_by).isNull())
+            dates |= self._values(near.select(*key, partition_by).join(keys, key, "left_semi"), partition_by)
         known = sorted(d for d in dates if d is not None)
         touched = F.col(partition_by).cast("string").isin(known)
         if None in dates:

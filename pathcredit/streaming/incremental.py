@@ -197,7 +197,7 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
         # composite keys can collide across conversions: look through the updates' dates.
         rows = store.stage(table, att.attribute(scope, dim, cfg))
         store.upsert(table, rows, attribution_key(cfg), "cv_tstamp_date",
-                     stable_partition=cfg.attribution_replace_by_conversion)
+                     stable_partition=cfg.attribution_replace_by_conversion, date_limited=True)
         lap(f"{dim}_attributions")
 
     new_sub_mark = high_water(this_run, "cv_tstamp")

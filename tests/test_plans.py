@@ -6,9 +6,12 @@ from __future__ import annotations
 import contextlib
 
 import pytest
+from pyspark.sql import functions as F
 
+from pathcredit.operators import attribution as att
 from pathcredit.operators import overview as ov
 from pathcredit.operators import paths as pth
+from pathcredit.operators import touchpoints as tpo
 from pathcredit.plans import queries as Q
 from pathcredit.plans.pipeline import Pipeline
 from pathcredit.session import new_state_dir
@@ -35,7 +38,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def pipe(spark, sf_small):
-    return Pipeline(fx.load_inputs(spark, sf_small), Q.BASE_CFG, Q.LAST_SUCCESS, materialize=False)
+    return Pipeline(fx.load_inputs(spark, sf_small), Q.BASE_CFG, materialize=False)
 
 
 def test_path_join_is_keyed_on_customer_and_bucket(spark, pipe):
@@ -55,14 +58,31 @@ def test_no_window_operators_and_no_python(spark, pipe):
         assert f"{op} " not in p and f"{op}[" not in p, op
 
 
-def test_spend_per_touch_point_is_broadcast_by_proof(spark, pipe):
+def test_spend_meets_the_finished_report(spark, pipe):
+    """The spend join sees one row per touch point: it stands above the report's aggregate."""
     with static_plans(spark):
         w = ov.window_bound(pipe.campaign_attributions, pipe.cfg)
         sp = ov.scoped_spend(pipe.inputs.spend, pipe.channel_attributions, "channel", pipe.cfg)
-        prep = ov.overview_prep(pipe.channel_attributions, "channel", pipe.subscriptions, sp, w, pipe.cfg,
-                                spend_touch_bound=ov.touch_point_bound(pipe.inputs.spend, "channel"))
-        p = plan(prep)
-    assert any("BroadcastHashJoin" in line and "_sp_touch" in line for line in p.splitlines()), p
+        prep = ov.overview_prep(pipe.channel_attributions, "channel", pipe.subscriptions, w, pipe.cfg)
+        lines = plan(ov.touch_point_report(prep, "channel", pipe.cfg, sp)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line and "_sp_touch" in line)
+    report = next(i for i, line in enumerate(lines) if "HashAggregate(keys=[channel" in line and "min(cv_tstamp" in line)
+    assert join < report
+    assert not any("Broadcast" in line for line in lines)
+
+
+def test_incremental_scope_and_views_prune_partitions(spark, sf_small, tmp_path):
+    state = new_state_dir(spark, "test-scope")
+    inputs = fx.load_inputs(spark, sf_small)
+    inc.run_incremental(spark, inputs, state, Q.BASE_CFG, "r")
+    paths = inc.read_table(spark, state, inc.PATHS)
+    inputs.views.withColumn("derived_tstamp_date", F.to_date("derived_tstamp")).write.partitionBy("derived_tstamp_date").parquet(str(tmp_path / "v"))
+    with static_plans(spark):
+        scope = plan(att.attribution_scope(paths, None, None, Q.LAST_SUCCESS, Q.BASE_CFG.with_(path_lookback_days=3)))
+        views = plan(tpo.touchpoints(spark.read.parquet(str(tmp_path / "v")), inputs.user_mapping, Q.BASE_CFG, since=Q.LAST_SUCCESS))
+    assert "(cv_tstamp_date#" in scope.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "Join" not in scope
+    assert "(derived_tstamp_date#" in views.split("PartitionFilters: [")[1].split("PushedFilters")[0]
 
 
 def test_filters_reach_the_scan(spark, pipe):

@@ -16,17 +16,21 @@ from pathcredit.streaming import incremental as inc
 
 @pytest.fixture(scope="module")
 def pipe(spark, sf_small):
-    return Pipeline(fx.load_inputs(spark, sf_small), Q.BASE_CFG, Q.LAST_SUCCESS)
+    return Pipeline(fx.load_inputs(spark, sf_small), Q.BASE_CFG)
 
 
 def test_fixture_counts(pipe):
     # FIXTURES.md, sf0.001 column.
     assert pipe.inputs.views.count() == 398
     assert pipe.inputs.conversions.count() == 401
-    assert pipe.this_run.count() == 131
-    assert pipe.subscriptions.count() == 30
-    assert pipe.paths.count() == 250
-    assert pipe.channel_attributions.count() == 4158
+    assert pipe.this_run.count() == 162
+    assert pipe.subscriptions.count() == 43
+    assert pipe.paths.count() == 261
+    assert pipe.channel_attributions.count() == 4248
+    marked = Pipeline(pipe.inputs, Q.BASE_CFG, Q.LAST_SUCCESS)
+    assert marked.this_run.count() == 131
+    assert marked.subscriptions.count() == 30
+    marked.cleanup()
 
 
 def test_weights_sum_to_one(pipe):
