@@ -23,7 +23,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_state_dir(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
-    return warc.read_archive(spark, path)
+    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +72,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+#: Least vertex reachable over ``links`` (x, y in both directions).
+REACH = """reach(v, m) AS (SELECT x, x FROM links UNION SELECT l.y, r.m FROM reach r JOIN links l ON l.x = r.v),
+least AS (SELECT v, min(m) AS m FROM reach GROUP BY v)"""
+
+#: The operators that SQL can express, by brute force; the tests hold the others against plain versions.
+ORACLE: dict[str, str] = {
+    "op1_warc": """WITH held AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)
+                        for i in range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM held""",
+    "op6_embeddings": f"""WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+{REACH}
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id) AS n_links, coalesce(m, vec_id) AS component_id, coalesce(m, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON v = vec_id""",
+    "op8_minhash": rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)]
+                                          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE k >= 0.8 * (p.n + q.n - k)),
+{REACH}
+SELECT doc_id, coalesce(m, doc_id) AS class_id, coalesce(m, doc_id) = doc_id AS kept FROM documents LEFT JOIN least ON v = doc_id""",
+}
