@@ -13,8 +13,9 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as se  # noqa: E402
 from compare_oracle import digest  # noqa: E402
+from pathcredit.plans.queries import ORACLE, QUERIES  # noqa: E402
 
-KEYS = sorted(se.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +26,7 @@ def duck(sf_small):
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.oracle_sql()) == set(se.queries())
+    assert set(ORACLE) == set(QUERIES) <= set(se.queries())
     assert len(KEYS) >= 35
 
 
