@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import batches
+from pathcredit.llm.common import batches, smallest
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MOST_RULES = 500
@@ -193,7 +193,8 @@ def learn(ruled: DataFrame, p: UrlParams = UrlParams()) -> tuple[Suffixes, Trees
             F.count("*").alias("n"), F.count("verdict").alias("known"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked")).collect()
         stats.append({r["bucket"]: (r["n"], r["known"], r["blocked"]) for r in rows})
     found = Suffixes(*stats, p.buckets)
-    sample = ruled.filter("verdict is not null").orderBy(F.xxhash64("url"), "url").limit(p.sample).select("url", "host", "path", "verdict").collect()
+    labelled = sum(known for _, known, _ in stats[0].values())
+    sample = smallest(ruled.filter("verdict is not null"), "url", labelled, p.sample).select("url", "host", "path", "verdict").collect()
     x = np.array([lexical(r["url"], r["host"], r["path"]) + found.of(r["host"]) for r in sample]).reshape(len(sample), len(lexical("", "", "")) + 4)
     return found, Trees(p).fit(x, np.array([float(r["verdict"] == "block") for r in sample]))
 
