@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Memo, batches, fold, strings
+from pathcredit.llm.common import Memo, batches, fold, smallest, strings
 
 SCORE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 #: Odd multipliers that reorder hashes.
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     texts: dict[int, list[str]] = {0: [], 1: []}
     wanted = None
     for y, most in ((1, params.max_toxic), (0, params.max_ordinary)):
-        part = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
+        part = smallest(known.filter(F.col("y") == y), "id", counts.get(y, 0), most)
         wanted = part if wanted is None else wanted.unionByName(part)
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("id"), "text")
