@@ -84,7 +84,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def by_group(df: DataFrame, keys: list[str], each: Callable[[tuple, pa.Table], Iterable[tuple]], out: pa.Schema, out_sql: str) -> DataFrame:
+def by_group(df: DataFrame, keys: list[str], each: Callable[[tuple, pa.Table], Iterable[tuple]], out: pa.Schema, out_sql: str,
+             rows_a_batch: int = 4096) -> DataFrame:
     """``each(key, rows)`` for every group of ``keys`` (the first columns of df): tuples of ``out``.
 
     Groups stream through sorted partitions, so a partition of very many small groups costs no call into
@@ -112,6 +113,6 @@ def by_group(df: DataFrame, keys: list[str], each: Callable[[tuple, pa.Table], I
             if held:
                 yield last, pa.concat_tables(held)
 
-        yield from batches((row for key, own in groups() for row in each(key, own)), out)
+        yield from batches((row for key, own in groups() for row in each(key, own)), out, rows_a_batch)
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, out_sql)
