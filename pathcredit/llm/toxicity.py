@@ -35,11 +35,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Memo, batches, fold, smallest, strings
+from pathcredit.llm.common import Memo, batches, fold, mix64, smallest, strings
 
 SCORE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-#: Odd multipliers that reorder hashes.
-MARKS = tuple(2654435761 + 2 * 40503 * i for i in range(16))
+#: What tells the hash functions of a text's marks apart.
+MARKS = tuple((2654435761 + 2 * 40503 * i) << 24 for i in range(16))
 #: ASCII bytes other than letters and digits part words.
 PARTS = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 #: Frames of a word, in the dictionaries and in a window: a whole word that a dictionary holds is one match with both its frames.
@@ -124,18 +124,24 @@ def score_text(model: ToxicityModel, text: str | None) -> float:
     return probability(model.weights, features(sum(map(saved.__getitem__, found)), len(found)))
 
 
+def marks(w: list[bytes]) -> np.ndarray:
+    """Minima of the text's hashed three-word runs under 16 hash functions."""
+    runs = np.fromiter((zlib.crc32(b" ".join(w[i : i + 3])) for i in range(max(1, len(w) - 2))), np.uint64)
+    return np.array([mix64(runs ^ np.uint64(m)).min() for m in MARKS])
+
+
 def distinct_texts(texts: list[str]) -> list[list[bytes]]:
-    """The words of each text, leaving out texts that share a minimum of their hashed
-    three-word runs with an earlier one: copies would count one author's words many times."""
-    seen: set[tuple[int, int]] = set()
-    kept = []
+    """The words of each text, leaving out copies, which would count one author's words many times: texts whose
+    marks agree with those of one text before them, itself not left out, in more than half of the places (about
+    a Jaccard similarity of one half). A passage that many texts share makes no copies of them."""
+    held = np.zeros((len(texts), len(MARKS)), np.uint64)
+    kept: list[list[bytes]] = []
     for text in texts:
         w = words(text)
-        runs = np.fromiter((zlib.crc32(b" ".join(w[i : i + 3])) for i in range(max(1, len(w) - 2))), np.uint64)
-        marks = {(m, int(((runs * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min())) for m in MARKS}
-        if not marks & seen:
+        own = marks(w)
+        if not (2 * (held[: len(kept)] == own).sum(1) > len(MARKS)).any():
+            held[len(kept)] = own
             kept.append(w)
-        seen |= marks
     return kept
 
 

@@ -94,6 +94,14 @@ def test_toxicity_learns_and_leaves_clean_documents(spark):
     assert kept.columns == docs.columns and kept.filter(f"doc_id >= {len(toxic)}").count() >= 0.99 * len(plain)
 
 
+def test_a_shared_passage_makes_no_copies():
+    r = random.Random(5)
+    passage = " ".join(f"licence{i}" for i in range(20))
+    texts = [" ".join([passage, *(f"w{r.randint(0, 10**6)}" for _ in range(60))]) for _ in range(200)]
+    copies = [texts[0], texts[1].upper(), texts[2] + " and more", *["", ""], *["short"] * 2]
+    assert toxicity.distinct_texts([*texts, *copies]) == [*map(toxicity.words, texts), [], [b"short"]]
+
+
 def test_toxicity_without_labels(spark):
     importable(spark)
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
