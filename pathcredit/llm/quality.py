@@ -14,9 +14,11 @@ each task, then summed by key; only common words and bounded bins come to the
 driver), one judges each whole text without a shuffle.
 
 Defined results: a null or empty text has no words, all counts 0 and fails the
-base rule. A document whose ``lang`` has no reference (under ``least_share``
-of the documents) isn't judged by divergence; one without ``lang`` is held
-against the nearest reference. Without any reference only the base rules act.
+base rule. A ``lang`` has a reference from ``least_share`` of the documents
+on, or from ``least_chars`` characters in ``least_docs`` documents on. A
+document of any other ``lang`` is held against the nearest reference with
+limits ``wider`` times as far, one without ``lang`` with the plain limits.
+Without any reference only the base rules act.
 Repeated rows are judged each; other columns are neither read nor changed.
 """
 
@@ -50,7 +52,11 @@ JUDGED_SQL = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup
 
 @dataclass(frozen=True)
 class QualityParams:
-    least_share: float = 0.01  # of the documents, for a language to have a reference: at most 100 have one
+    least_share: float = 0.01  # of the documents, for a language to have a reference; fewer do if it has
+    least_chars: int = 200_000  # this many characters, some 30,000 words,
+    least_docs: int = 50  # in this many documents, for the median
+    most_languages: int = 100  # with a reference: those of most characters
+    wider: float = 2.0  # limits of documents whose language has no reference
     common: float = 1.5e-4  # occurrences per character of the language, for a word to be common: bounds their number
     least_words: int = 50
     class_start: float = 0.08
@@ -171,12 +177,13 @@ class Judge:
         counts, number, times = base_counts(text)
         failed = base_fails(counts)
         n = counts[0]
-        if failed or not self.refs.languages or n < self.p.least_words or (lang is not None and lang not in self.refs.languages):
+        if failed or not self.refs.languages or n < self.p.least_words:
             return *counts, failed, not failed, None, None, None
         by_class, by_word = self.distances(text, number, times)
         at = int(np.argmin(by_class + by_word))
-        near = (by_class[at] <= self.p.class_start + self.p.class_slope / n**0.5
-                and by_word[at] <= self.p.word_start + self.p.word_slope / n**0.5)
+        wide = 1.0 if lang is None or lang in self.refs.languages else self.p.wider
+        near = (by_class[at] <= wide * (self.p.class_start + self.p.class_slope / n**0.5)
+                and by_word[at] <= wide * (self.p.word_start + self.p.word_slope / n**0.5))
         return *counts, failed, not failed and bool(near), self.refs.languages[at], float(by_class[at]), float(by_word[at])
 
 
@@ -185,7 +192,9 @@ def learn(docs: DataFrame, params: QualityParams = QualityParams()) -> Reference
     sizes = docs.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")) \
         .filter("lang is not null")
     total = docs.agg(F.count("*").alias("n")).first()["n"]
-    sizes = {r["lang"]: r["chars"] or 0 for r in sizes.filter(F.col("n") >= max(1, params.least_share * total)).collect()}
+    enough = (F.col("n") >= max(1, params.least_share * total)) | ((F.col("chars") >= params.least_chars) & (F.col("n") >= params.least_docs))
+    most = sizes.filter(enough).orderBy(F.desc_nulls_last("chars"), "lang").limit(params.most_languages)
+    sizes = {r["lang"]: r["chars"] or 0 for r in most.collect()}
     if not sizes:
         return References((), (), ())
 

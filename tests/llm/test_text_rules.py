@@ -73,6 +73,23 @@ def test_quality_defined_cases(spark):
     assert quality.learn(nothing) == quality.References((), (), ()) and quality.judge(nothing, quality.learn(nothing)).count() == 0
 
 
+def test_quality_judges_rare_languages(spark):
+    importable(spark)
+    r = random.Random(2)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "nrsl"][::6]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    make = lambda n: " ".join(r.choices(vocabulary, weights, k=n)).capitalize() + "."
+    rows = [(i, make(200), "aa") for i in range(160)] + [(200 + i, make(1000), "rare") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = quality.learn(docs, quality.QualityParams(least_share=0.5))
+    assert refs.languages == ("aa", "rare")  # 27 % of the documents, but enough characters
+    judge = quality.Judge(quality.learn(docs.filter("lang = 'aa'")), quality.QualityParams())
+    junk = " ".join("".join(r.choices("#$%&0123456789XQZ|", k=r.randint(2, 9))) for _ in range(200))
+    kept = lambda text, lang: judge(text, lang)[6]
+    assert [kept(make(200), x) for x in ("aa", "zz", None)] == [True] * 3
+    assert [kept(junk, x) for x in ("aa", "zz", None)] == [False] * 3
+
+
 def toxic_corpus(n: int = 400) -> tuple[list[str], list[str]]:
     r = random.Random(3)
     plain = ["alpha", "beta", "gamma", "delta", "house", "tree", "river", "stone", *(f"w{r.randint(0, 3000)}" for _ in range(800))]
