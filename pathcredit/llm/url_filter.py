@@ -184,7 +184,8 @@ def with_rules(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def learn(ruled: DataFrame, p: UrlParams = UrlParams()) -> tuple[Suffixes, Trees]:
-    """Suffix statistics of all URLs, and trees from the labelled URLs of smallest hash."""
+    """Suffix statistics of all URLs, and trees from the distinct labelled URLs of smallest hash, each once: a rule
+    labels all copies of a URL alike."""
     last = F.element_at(F.split("host", "[.]"), -1)
     two = F.when(F.contains(F.col("host"), F.lit(".")), F.concat(F.element_at(F.split("host", "[.]"), -2), F.lit("."), last)).otherwise(last)
     stats = []
@@ -193,8 +194,9 @@ def learn(ruled: DataFrame, p: UrlParams = UrlParams()) -> tuple[Suffixes, Trees
             F.count("*").alias("n"), F.count("verdict").alias("known"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked")).collect()
         stats.append({r["bucket"]: (r["n"], r["known"], r["blocked"]) for r in rows})
     found = Suffixes(*stats, p.buckets)
-    labelled = sum(known for _, known, _ in stats[0].values())
-    sample = smallest(ruled.filter("verdict is not null"), "url", labelled, p.sample).select("url", "host", "path", "verdict").collect()
+    labelled = ruled.filter("verdict is not null").select("url", "host", "path", "verdict")
+    n = labelled.agg(F.approx_count_distinct("url", 0.02).alias("n")).first()["n"]
+    sample = smallest(labelled.distinct(), "url", n, p.sample).collect()  # the bound on the hash comes before the shuffle
     x = np.array([lexical(r["url"], r["host"], r["path"]) + found.of(r["host"]) for r in sample]).reshape(len(sample), len(lexical("", "", "")) + 4)
     return found, Trees(p).fit(x, np.array([float(r["verdict"] == "block") for r in sample]))
 

@@ -203,3 +203,15 @@ def test_warc_verifies_and_takes_empty_tables(spark):
     path = new_state_dir(spark, "warc")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read_archive(spark, path).count() == 0
+
+
+def test_url_sample_is_of_distinct_urls(spark, monkeypatch):
+    importable(spark)
+    rule = url_filter.RULES[0]
+    url = lambda i: f"http://{rule.host}{rule.path}{'x' * i}"
+    rows = [(i, url(0)) for i in range(3000)] + [(i, url(1 + i % 300)) for i in range(600)]
+    ruled = url_filter.with_rules(spark.createDataFrame(rows, "page_id long, url string"), url_filter.RULES)
+    seen = []
+    monkeypatch.setattr(url_filter.Trees, "fit", lambda self, x, y: seen.append(x[:, 0].tolist()) or self)
+    url_filter.learn(ruled, url_filter.UrlParams(sample=100))
+    assert len(seen[0]) == len(set(seen[0])) == 100
