@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import bpe, embeddings, maxent, minhash, packing, quality, token_counts, toxicity, url_filter, warc
+from pathcredit.llm import bpe, embeddings, maxent, minhash, packing, pieces, quality, token_counts, toxicity, url_filter, warc
 from pathcredit.llm.common import fold, table
 from pathcredit.session import new_state_dir
 
@@ -59,6 +59,10 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op12_sentencepiece": op12_sentencepiece,
 }
 
 #: Least vertex reachable over ``links`` (x, y in both directions).
