@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import bpe, embeddings, maxent, minhash, packing, pieces, quality, token_counts, toxicity, url_filter, warc
+from pathcredit.llm import bpe, embeddings, maxent, minhash, packing, periodic, pieces, quality, token_counts, toxicity, url_filter, warc
 from pathcredit.llm.common import fold, table
 from pathcredit.session import new_state_dir
 
@@ -59,6 +60,22 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def with_period(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words that op11 judges: a tenth of the documents repeats some of its own from a place on."""
+    n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    start, period = g % n, 1 + (n - g % n) // (3 + g % 8)
+    own = words[start : start + period]
+    times = (n - start) // len(own) + 1
+    return words[:start] + (own * times)[: n - start]
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.described(periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=with_period))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
 
@@ -74,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic": op11_periodic,
     "op12_sentencepiece": op12_sentencepiece,
 }
 
