@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.llm import bpe, embeddings, maxent, minhash, packing, periodic, pieces, quality, token_counts, toxicity, url_filter, warc
+from pathcredit.llm import alignment, bpe, embeddings, maxent, minhash, packing, periodic, pieces, quality, token_counts, toxicity, url_filter, warc
 from pathcredit.llm.common import fold, table
 from pathcredit.session import new_state_dir
 
@@ -80,6 +80,11 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.corpus_alignment(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_periodic": op11_periodic,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_alignment": op13_alignment,
 }
 
 #: Least vertex reachable over ``links`` (x, y in both directions).
