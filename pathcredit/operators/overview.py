@@ -11,44 +11,44 @@ from ..config import AttributionConfig
 from ..functions.columns import day_number, ts_lit
 
 WEIGHT_MODELS = ("first_touch", "last_touch", "linear", "position_based")
+
+
+def spend_islands(attributions: DataFrame, dim: str, cfg: AttributionConfig) -> DataFrame:
+    """One row per touch point: the times at which a spend counts, as disjoint open intervals in order.
+
+    A conversion at ``c`` makes spend count in ``(c - D days, c)``. Those of one day overlap, so a day gives one
+    interval, from its first conversion's to its last conversion; in the order of days both ends rise, so an
+    island begins where an interval does not begin before the end of the one before it. Days are summed map-side:
+    the table is bounded by touch points x calendar days, a row by the calendar.
+    """
+    D = cfg.spend_lookback_days
+    days = (attributions.filter(F.col(dim).isNotNull())
+            .groupBy(F.col(dim).alias("_tp"), day_number(F.col("cv_tstamp")).alias("_day"))
+            .agg((F.min("cv_tstamp") - F.make_dt_interval(F.lit(D))).alias("opens"), F.max("cv_tstamp").alias("closes"))
+            .filter(F.lit(D > 0)))
+    one = days.groupBy("_tp").agg(F.array_sort(F.collect_list(F.struct("opens", "closes"))).alias("_days"))
+    n = F.size("_days")
+    first = F.filter("_days", lambda x, i: (i == 0) | (x["opens"] >= F.get("_days", i - 1)["closes"]))
+    last = F.filter("_days", lambda x, i: (i == n - 1) | (F.get("_days", i + 1)["opens"] >= x["closes"]))
+    return one.select("_tp", F.zip_with(first, last, lambda a, b: F.struct(
+        a["opens"].alias("opens"), b["closes"].alias("closes"))).alias("_islands"))
+
+
 def scoped_spend(spend: DataFrame, attributions: DataFrame, dim: str, cfg: AttributionConfig) -> DataFrame:
     """Total spend per touch point, counting a spend row (once) only if
     some attributed conversion of the same touch point falls strictly inside
     ``(spend_tstamp, spend_tstamp + lookback)``.
 
     No range join over the few touch-point keys (that would pair every spend
-    row with every conversion of its channel). The conversions are first
-    reduced to one row per (touch point, day) with that day's earliest and
-    latest conversion time, a table bounded by touch points x calendar days.
-    Each such day ``e`` is spread to the spend days ``d`` in ``[e-D, e]`` it can
-    qualify (D = lookback days) and folded per (touch point, d) into three
-    facts: the latest conversion on ``d``, whether any conversion falls on
-    ``d+1..d+D-1``, and the earliest one on ``d+D``. A spend row on day ``d``
-    qualifies iff the latest on ``d`` is after it, or a middle day has one, or
-    the earliest on ``d+D`` is before ``spend_tstamp + D days``. The spend
-    rows then meet that table on an equi-join of (touch point, day).
+    row with every conversion of its channel), and no spread over the days of
+    the lookback: the conversions' intervals are merged to disjoint islands,
+    one row per touch point, which a spend row meets once.
     """
-    D = cfg.spend_lookback_days
-    days = (attributions.filter(F.col(dim).isNotNull())
-            .select(F.col(dim).alias("_tp"), "cv_tstamp")
-            .groupBy("_tp", day_number(F.col("cv_tstamp")).alias("_e"))
-            .agg(F.min("cv_tstamp").alias("_day_min"), F.max("cv_tstamp").alias("_day_max")))
-    spread = days.withColumn("_d", F.explode(F.sequence(F.col("_e") - D, F.col("_e"))))
-    facts = spread.groupBy("_tp", "_d").agg(
-        F.max(F.when(F.col("_e") == F.col("_d"), F.col("_day_max"))).alias("_same_day_max"),
-        F.max(F.when((F.col("_e") > F.col("_d")) & (F.col("_e") < F.col("_d") + D), F.lit(True))).alias("_mid"),
-        F.min(F.when(F.col("_e") == F.col("_d") + D, F.col("_day_min"))).alias("_end_day_min"),
-    )
-    s = (spend.filter(F.col(dim).isNotNull())
-         .select(F.col(dim).alias("_tp"), "spend_tstamp", "spend", day_number(F.col("spend_tstamp")).alias("_d")))
-    j = s.join(facts, ["_tp", "_d"], "inner")
-    qualifies = (
-        (F.col("_same_day_max") > F.col("spend_tstamp"))
-        | F.col("_mid").isNotNull()
-        | (F.col("_end_day_min") < F.col("spend_tstamp") + F.make_dt_interval(F.lit(D)))
-    )
-    return (j.filter(qualifies).groupBy("_tp").agg(F.sum("spend").alias("spend"))
-            .withColumnRenamed("_tp", dim))
+    islands = spend_islands(attributions, dim, cfg)
+    s = spend.filter(F.col(dim).isNotNull()).select(F.col(dim).alias("_tp"), "spend_tstamp", "spend")
+    at = F.col("spend_tstamp")
+    inside = F.exists("_islands", lambda x: (x["opens"] < at) & (at < x["closes"]))
+    return s.join(islands, "_tp", "inner").filter(inside).groupBy("_tp").agg(F.sum("spend").alias("spend")).withColumnRenamed("_tp", dim)
 
 
 def window_bound(campaign_attributions: DataFrame, cfg: AttributionConfig) -> Column:
