@@ -44,15 +44,27 @@ def campaign_label(mkt_campaign: Column) -> Column:
     return F.when(mkt_campaign.isNull() | (mkt_campaign == ""), F.lit(NO_CAMPAIGN)).otherwise(mkt_campaign)
 
 
+#: A separator's sign that stands alone in a label, with the escape signs before it.
+_ALONE = r"(?<=^| )(\\*)>(?=$| )"
+_ESCAPED = r"(?<=^| )\\(\\*)>(?=$| )"
+
+
 def path_to_string(arr: Column) -> Column:
-    """Array path -> ``' > '``-joined string (nulls skipped)."""
-    return F.array_join(arr, PATH_SEPARATOR)
+    """Array path -> ``' > '``-joined string (nulls skipped).
+
+    The text can be read back whatever the labels hold: where the separator's sign stands alone in a label
+    (between spaces or at its ends) an escape sign is put before it, and before the ones already there.
+    Labels without such a sign, all ordinary ones, are written as they are."""
+    plain = F.array_join(arr, PATH_SEPARATOR)
+    escaped = F.array_join(F.transform(arr, lambda x: F.regexp_replace(x, _ALONE, r"\\$1>")), PATH_SEPARATOR)
+    return F.when(F.exists(arr, lambda x: F.contains(x, F.lit(">"))), escaped).otherwise(plain)
 
 
 def string_to_path(s: Column) -> Column:
-    """``' > '``-joined string -> array (an empty string is one empty
+    """The labels of a path's text, as they were before ``path_to_string`` (an empty string is one empty
     element, a null string a null array)."""
-    return F.split(s, re.escape(PATH_SEPARATOR))
+    labels = F.split(s, re.escape(PATH_SEPARATOR))
+    return F.when(F.contains(s, F.lit("\\")), F.transform(labels, lambda x: F.regexp_replace(x, _ESCAPED, "$1>"))).otherwise(labels)
 
 
 # --- path transforms (O18) ----------------------------------------------------
