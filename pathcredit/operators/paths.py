@@ -3,14 +3,13 @@
 A path is the time-ordered list of a customer's touchpoints in the
 ``path_lookback_days`` calendar days up to (and including) the conversion.
 
-Physical plan (see README "Scale"): the range join is an equi-join on
-``(customer_id, bucket)`` where ``bucket`` is a fixed-width block of days.
-Each conversion is replicated to the few buckets its window overlaps
-(``ceil((L+1)/B)+1`` at most) and the exact calendar bound and the
-``visit <= conversion`` bound are residual predicates. This keeps the candidate
-pairs within about ``(L+B)/L`` of the real output, never all pairs of a
-customer, and spreads a customer with very many touchpoints over as many join
-keys as it has buckets.
+Physical plan (see README "Scale"): the touches of a customer within a block of
+``join_bucket_days`` days are sorted once into one array row. A conversion is
+replicated to the few blocks that its window overlaps (``ceil((L+1)/B)+1`` at
+most), joins their rows on ``(customer_id, block)`` and cuts its part out of the
+first and the last of them by binary search; those between lie in the window as
+a whole. So what is shuffled afterwards is a row for each conversion and block,
+never one for each conversion and touch, and no path is sorted again.
 """
 
 from __future__ import annotations
@@ -51,7 +50,7 @@ def new_subscription_conversions(subscriptions: DataFrame, this_run: DataFrame |
                                  existing_paths: DataFrame | None = None) -> DataFrame:
     """Subscriptions touched this run (without ``this_run``: all) that
     have no path yet. The whole subscription is one conversion at its start
-    time."""
+    time. Of the existing paths only the ids of touched subscriptions are needed."""
     sid = cfg.subscription_id
     s = subscriptions if this_run is None else subscriptions.join(this_run.select(sid), sid, "left_semi")
     if existing_paths is not None:
@@ -74,40 +73,69 @@ def _non_empty(arr: Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
-def path_pairs(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """O15 join: one row per (conversion, touchpoint on its path)."""
+TOUCH = ("visit_start_tstamp", "view_id", "channel", "campaign")  # in path order
+
+
+def _blocks_of(convs: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """One row per conversion and block of days that its window overlaps."""
     L, B = cfg.path_lookback_days, cfg.join_bucket_days
+    cv = convs.withColumn("_cv_day", day_number(F.col("cv_tstamp")))
+    return cv.withColumn("_block", F.explode(F.sequence(F.floor((F.col("_cv_day") - L) / B), F.floor(F.col("_cv_day") / B))))
+
+
+def touch_blocks(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """One row per customer and block of days with its touches in path order, of the blocks that some conversion
+    needs (a visitor of very many touches and no conversion fills no row)."""
     tp = touchpoints
     tf = touch_filters(cfg)
     if tf is not None:
         tp = tp.filter(tf)
-    tp = tp.select(
-        F.col("customer_id").alias("_tp_customer"),
-        "visit_start_tstamp", "view_id", "channel", "campaign",
-        day_number(F.col("visit_start_tstamp")).alias("_visit_day"),
-    ).withColumn("_bucket", F.floor(F.col("_visit_day") / B))
-    cv = convs.withColumn("_cv_day", day_number(F.col("cv_tstamp")))
-    cv = cv.withColumn("_bucket", F.explode(F.sequence(
-        F.floor((F.col("_cv_day") - L) / B), F.floor(F.col("_cv_day") / B))))
-    cond = [
-        cv["customer_id"] == tp["_tp_customer"],
-        cv["_bucket"] == tp["_bucket"],
-        tp["_visit_day"] >= cv["_cv_day"] - L,
-        tp["visit_start_tstamp"] <= cv["cv_tstamp"],
-    ]
-    return cv.join(tp, cond, "inner").drop(tp["_bucket"])
+    tp = tp.select(F.col("customer_id").alias("_customer"), *TOUCH,
+                   F.floor(day_number(F.col("visit_start_tstamp")) / cfg.join_bucket_days).alias("_block"))
+    needed = _blocks_of(convs, cfg).select(F.col("customer_id").alias("_customer"), "_block").distinct()
+    return (tp.join(needed, ["_customer", "_block"], "left_semi").groupBy("_customer", "_block")
+            .agg(F.array_sort(F.collect_list(F.struct(*TOUCH))).alias("_touches")))
+
+
+def _leading(touches: Column, holds) -> Column:
+    """How many of the sorted touches lie before the first for which ``holds`` fails, by binary search."""
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["low"] + span["high"], 1)
+        inside = holds(F.get(touches, middle)["visit_start_tstamp"])
+        return F.when(span["low"] >= span["high"], span).otherwise(F.struct(
+            F.when(inside, middle + 1).otherwise(span["low"]).alias("low"),
+            F.when(inside, span["high"]).otherwise(middle).alias("high")))
+
+    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(touches))).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(touches).alias("high")), halve, lambda span: span["low"])
+
+
+def path_segments(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """O15 join: one row per conversion and block that holds touches of its path, with those touches in order."""
+    L, B = cfg.path_lookback_days, cfg.join_bucket_days
+    cv, blocks = _blocks_of(convs, cfg), touch_blocks(convs, touchpoints, cfg)
+    both = cv.join(blocks, (cv["customer_id"] == blocks["_customer"]) & (cv["_block"] == blocks["_block"]), "inner").drop(blocks["_block"])
+    touches = F.col("_touches")
+    opens = F.date_sub(F.to_date("cv_tstamp"), L).cast("timestamp_ntz")  # calendar days: from midnight on
+    before = F.when(F.col("_block") * B < F.col("_cv_day") - L, _leading(touches, lambda visit: visit < opens)).otherwise(0)
+    until = (F.when((F.col("_block") + 1) * B > F.col("_cv_day"), _leading(touches, lambda visit: visit <= F.col("cv_tstamp")))
+             .otherwise(F.size(touches)))
+    cut = both.select(*CONVERSION_COLUMNS, "_block", "_touches", before.alias("_before"), until.alias("_until"))
+    return cut.filter(F.col("_until") > F.col("_before")).select(
+        *CONVERSION_COLUMNS, "_block", F.slice("_touches", F.col("_before") + 1, F.col("_until") - F.col("_before")).alias("_segment"))
 
 
 def paths_to_conversion(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """The ordered channel and campaign path of every conversion that
     has at least one touchpoint, as arrays (see ``paths_as_strings``).
 
-    Both paths come from ONE struct sort (visit time, then view id), so they
-    are aligned element by element even when visit times tie.
+    Both paths come from the same sorted touches (visit time, then view id), so
+    they are aligned element by element even when visit times tie.
     """
-    pairs = path_pairs(convs, touchpoints, cfg)
-    grouped = pairs.groupBy(*CONVERSION_COLUMNS).agg(
-        F.array_sort(F.collect_list(F.struct("visit_start_tstamp", "view_id", "channel", "campaign"))).alias("_t"))
+    grouped = path_segments(convs, touchpoints, cfg).groupBy(*CONVERSION_COLUMNS).agg(
+        F.array_sort(F.collect_list(F.struct("_block", "_segment"))).alias("_t"))
+    grouped = grouped.withColumn("_t", F.flatten(F.transform("_t", lambda x: x["_segment"])))
     out = grouped.select(
         *CONVERSION_COLUMNS,
         _non_empty(F.transform("_t", lambda x: x["channel"])).alias("channel_path"),
@@ -143,14 +171,18 @@ def paths_as_strings(paths: DataFrame) -> DataFrame:
     return out
 
 
-def refresh_revenue(existing_paths: DataFrame, subscriptions: DataFrame, this_run: DataFrame,
-                    new_subs: DataFrame, cfg: AttributionConfig) -> DataFrame:
+def refresh_revenue(existing_paths: DataFrame, subscriptions: DataFrame, dates: DataFrame,
+                    cfg: AttributionConfig) -> DataFrame:
     """Paths of subscriptions already attributed and touched again this
     run are re-emitted with the subscription's current revenue; path, time
-    and customer stay as they were."""
+    and customer stay as they were.
+
+    ``dates`` has the id and the date partition of those stored paths. Their
+    distinct dates (bounded by the calendar, hence the broadcast) prune the
+    stored paths when the query runs, so only these partitions are read."""
     sid = cfg.subscription_id
-    touched = existing_paths.join(this_run.select(F.col(sid).alias("cv_id")), "cv_id", "left_semi")
-    touched = touched.join(new_subs.select("cv_id"), "cv_id", "left_anti")
+    days = F.broadcast(dates.groupBy("cv_tstamp_date").count().filter(F.col("count") > 0).select("cv_tstamp_date"))
+    touched = existing_paths.join(days, "cv_tstamp_date", "left_semi").join(dates, ["cv_tstamp_date", "cv_id"], "left_semi")
     subs = subscriptions.select(F.col(sid).alias("_sub_id"), F.col("revenue").cast("double").alias("_sub_revenue"))
     out = touched.join(subs, touched["cv_id"] == subs["_sub_id"], "left")
     return out.withColumn("revenue", F.col("_sub_revenue")).drop("_sub_id", "_sub_revenue").select(*PATH_COLUMNS)

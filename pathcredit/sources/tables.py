@@ -1,138 +1,149 @@
-"""Stored tables of the incremental pipeline: date-partitioned Parquet folders
-under one root on shared storage, with a keyed upsert.
+"""Stored tables of the incremental pipeline: Parquet folders written and read
+by plain DataFrame writes and reads, with a keyed upsert.
+
+    <root>/<table>/write=<n>/<date column>=<date>/   rows of the n-th write to the folder
+    <root>/_contents/write=<n>/                      the write that holds each partition of each table at a run's end
+    <root>/manifest/write=<n>/                       the high-water marks of that run, written last
 
 MERGE INTO needs a lakehouse catalog (Delta / Iceberg), which is not available
-here; on plain Parquet the upsert (O32) is a DataFrame expression over the
-partitions it changes, and its result becomes visible at once:
-
-1. affected partitions = those of the updates, plus those that hold an older
-   row of an updated key;
-2. their new content = their rows without the updated keys, union the updates
-   (new columns are appended, O33), written to folders of its own;
-3. one small pointer file, written last, names the folder that now holds each
-   partition and the table's schema.
-
-Readers follow the newest pointer. Until it is written they see the table as
-it was; a run that stops earlier leaves only unreferenced folders, and can be
-repeated. Folders that neither of the two newest pointers names are deleted
-at the start of the next write.
+here. The upsert (O32) is a DataFrame expression over the date partitions that
+it changes: their rows without the updated keys, union the updates (new columns
+are appended, O33), written under the next number. Readers take each partition
+from the write that the contents of the last finished run name, a filter on the
+two partition columns. A run that stops before its manifest is there changes
+nothing that readers see, and its repetition has the same numbers and
+overwrites what it left. One run at a time writes to a state folder.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import delete_path
+
 # Directory name Spark gives the partition of null values (fixed value).
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-VERSION = "_version"  # first folder level: the write that made it
-POINTERS = "_pointers"
+WRITE = "write"  # first folder level: the number of the write
+CONTENTS = "_contents"
+MANIFEST = "manifest"
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("model", T.StringType()),
+    T.StructField("last_success", T.TimestampNTZType()),
+    T.StructField("run_id", T.StringType()),
+])
+CONTENTS_SCHEMA = "name string, schema string, date_column string, part string, held_by int"
+#: Up to so many updated keys are looked for by equality, which the Bloom filters of stored files answer.
+FEW_KEYS = 500
+
+
+@dataclass(frozen=True)
+class Stored:
+    """A table: its schema, its date column, and the write that holds each partition."""
+
+    schema: str
+    date_column: str | None
+    parts: dict[str | None, int]
 
 
 class TableStore:
+    """The tables as of the last finished run, and what the run in progress has written. ``commit`` ends it."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        numbered = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField(WRITE, T.IntegerType())])
+        told = self._rows(MANIFEST, numbered)
+        self.commits = sorted({r[WRITE] for r in told})  # the last two or three
+        done = self.commits[-1] if told else 0
+        self.number = done + 1
+        self.marks = [tuple(r)[:-1] for r in told if r[WRITE] == done]
+        self.tables = self._contents(done)
+
+    # -- what is there ----------------------------------------------------------
+    def _rows(self, where: str, schema) -> list:
+        """A small table (marks, contents: bounded by tables x calendar); none where nothing was written."""
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{where}").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
+    def _contents(self, number: int) -> dict[str, Stored]:
+        out: dict[str, Stored] = {}
+        for r in self._rows(f"{CONTENTS}/{WRITE}={number}", CONTENTS_SCHEMA) if number else []:
+            held = out.setdefault(r["name"], Stored(r["schema"], r["date_column"], {}))
+            if r["held_by"] is not None:
+                held.parts[r["part"]] = r["held_by"]
+        return out
+
+    def exists(self, name: str) -> bool:
+        return name in self.tables
 
-    # -- file system ----------------------------------------------------------
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _list(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-    def _delete(self, path: str) -> None:
-        fs, p = self._fs(path)
-        if fs.exists(p):
-            fs.delete(p, True)
-
-    # -- pointers -------------------------------------------------------------
-    def _pointer_names(self, name: str) -> list[str]:
-        return [x for x in self._list(f"{self.path(name)}/{POINTERS}") if x.endswith(".json")]
-
-    def _pointer(self, name: str, which: str | None = None) -> dict | None:
-        names = self._pointer_names(name)
-        if not names:
-            return None
-        fs, p = self._fs(f"{self.path(name)}/{POINTERS}/{which or names[-1]}")
-        stream = fs.open(p)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _publish(self, name: str, pointer: dict) -> None:
-        """Write the next pointer under a temporary name and rename it: the only step that readers see."""
-        names = self._pointer_names(name)
-        following = int(names[-1].removesuffix(".json")) + 1 if names else 0
-        fs, temporary = self._fs(f"{self.path(name)}/{POINTERS}/.{uuid.uuid4().hex}")
-        out = fs.create(temporary)
-        out.write(bytearray(json.dumps(pointer).encode()))
-        out.close()
-        if not fs.rename(temporary, self._fs(f"{self.path(name)}/{POINTERS}/{following:010d}.json")[1]):
-            raise RuntimeError(f"{name}: another write published first")
-
-    def _tidy(self, name: str) -> None:
-        """Delete pointers but the two newest, and the versions that those don't name."""
-        names = self._pointer_names(name)
-        named = {v for x in names[-2:] for v in self._pointer(name, x)["parts"].values()}
-        for x in names[:-2]:
-            self._delete(f"{self.path(name)}/{POINTERS}/{x}")
-        for x in self._list(self.path(name)):
-            if x.startswith(f"{VERSION}=") and x.split("=", 1)[1] not in named:
-                self._delete(f"{self.path(name)}/{x}")
-
-    # -- read / write ---------------------------------------------------------
-    def exists(self, name: str) -> bool:
-        return bool(self._pointer_names(name))
-
-    def drop(self, name: str) -> None:
-        self._delete(self.path(name))
+    def _held(self, stored: Stored, number: int) -> Column:
+        """The partitions that a write holds, as a filter on partition columns only."""
+        if stored.date_column is None:
+            return F.col(WRITE) == number
+        day = F.col(stored.date_column)
+        kind = T.StructType.fromJson(json.loads(stored.schema))[stored.date_column].dataType
+        days = [F.lit(p).cast(kind) for p, n in sorted(stored.parts.items(), key=str) if n == number and p is not None]
+        tests = ([day.isin(*days)] if days else []) + ([day.isNull()] if stored.parts.get(None) == number else [])
+        return (F.col(WRITE) == number) & reduce(or_, tests)
 
     def read(self, name: str) -> DataFrame | None:
-        """The table as of its newest pointer, ``None`` if it was never written. The stored schema spares
-        readers the footers of all files; columns that older files lack are null."""
-        pointer = self._pointer(name)
-        if pointer is None:
+        """The table, ``None`` if it was never written. The stored schema spares readers the footers of all files;
+        columns that older files lack are null."""
+        stored = self.tables.get(name)
+        if stored is None:
             return None
-        schema = T.StructType.fromJson(pointer["schema"])
-        base = self.path(name)
-        folders = [f"{base}/{VERSION}={v}" + (f"/{part}" if part else "") for part, v in sorted(pointer["parts"].items())]
-        if not folders:
+        schema = T.StructType.fromJson(json.loads(stored.schema))
+        writes = sorted(set(stored.parts.values()))
+        if not writes:
             return self.spark.createDataFrame([], schema)
-        whole = T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])
-        return self.spark.read.schema(whole).option("basePath", base).parquet(*folders).select(*schema.names)
-
-    def _write(self, df: DataFrame, name: str, partition_by: str | None) -> tuple[str, list[str]]:
-        """A new version: its name and its partition folders ("" without partitions)."""
-        version = uuid.uuid4().hex[:12]
-        where = f"{self.path(name)}/{VERSION}={version}"
-        if partition_by is None:
-            df.write.parquet(where)
-            return version, [""]
-        # REBALANCE on the partition column: AQE coalesces small output
-        # partitions (few files per date) and splits skewed ones (a date
-        # holding a large share of rows is written by several tasks).
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(where)
-        return version, [x for x in self._list(where) if x.startswith(f"{partition_by}=")]
-
-    def overwrite(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Replace the whole table (the table of this run's events)."""
-        self._tidy(name)
-        version, parts = self._write(df, name, partition_by)
-        self._publish(name, {"schema": df.schema.jsonValue(), "parts": {p: version for p in parts}})
+        whole = T.StructType([*schema.fields, T.StructField(WRITE, T.IntegerType())])
+        base = self.path(name)
+        rows = self.spark.read.schema(whole).option("basePath", base).parquet(*[f"{base}/{WRITE}={n}" for n in writes])
+        return rows.filter(reduce(or_, [self._held(stored, n) for n in writes])).select(*schema.names)
+
+    # -- writes -----------------------------------------------------------
+    def _write(self, df: DataFrame, name: str, date_column: str | None, key: Sequence[str] = ()) -> None:
+        where = f"{self.path(name)}/{WRITE}={self.number}"
+        if date_column is not None:
+            # REBALANCE on the partition column: AQE coalesces small output
+            # partitions (few files per date) and splits skewed ones (a date
+            # holding a large share of rows is written by several tasks).
+            df = df.hint("rebalance", date_column)
+        writer = df.write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
+        for k in key:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
+        (writer.partitionBy(date_column) if date_column else writer).parquet(where)
+
+    def _now(self, name: str, schema: T.StructType, date_column: str | None, parts: dict[str | None, int]) -> DataFrame:
+        self.tables[name] = Stored(json.dumps(schema.jsonValue()), date_column, parts)
+        self.number += 1
         return self.read(name)
 
+    def overwrite(self, name: str, df: DataFrame, date_column: str | None = None, key: Sequence[str] = ()) -> DataFrame:
+        """Replace the whole table (the table of this run's events)."""
+        self._write(df, name, date_column, key)
+        if date_column is None:
+            return self._now(name, df.schema, None, {None: self.number})
+        written = self.spark.read.schema(df.schema).parquet(f"{self.path(name)}/{WRITE}={self.number}")
+        return self._now(name, df.schema, date_column, dict.fromkeys(self._values(written, date_column), self.number))
+
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written once beside the tables and read back; ``clear_stages`` removes it."""
         where = f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:12]}"
@@ -140,10 +151,10 @@ class TableStore:
         return self.spark.read.schema(df.schema).parquet(where)
 
     def clear_stages(self) -> None:
-        self._delete(f"{self.root}/_staging")
+        delete_path(self.spark, f"{self.root}/_staging")
 
-    def upsert(self, name: str, updates: DataFrame, key: Sequence[str], partition_by: str,
-               stable_partition: bool = False, date_limited: bool = False) -> DataFrame:
+    def upsert(self, name: str, updates: DataFrame, key: Sequence[str], date_column: str,
+               stable_partition: bool = False, date_limited: bool = False, unique: str | None = None) -> DataFrame:
         """Replace whole rows whose key is in ``updates`` (a staged
         table: it is read several times), insert the others, delete nothing.
         Returns the table as read back.
@@ -152,14 +163,15 @@ class TableStore:
         only the key is read); with ``date_limited`` in the partitions from the
         updates' first date to their last; with ``stable_partition`` (a key
         never changes its date) in the updates' own partitions only, without a
-        scan to find them."""
+        scan to find them. With ``unique`` (what the updates are) a key that
+        occurs twice among them is an error; the keys' join counts them."""
         key = list(key)
-        self._tidy(name)
         target = self.read(name)
         if target is None:
-            return self.overwrite(name, updates, partition_by)
-        pointer = self._pointer(name)
-        dates = self._values(updates, partition_by)
+            if unique:
+                require_unique(updates, key, unique)
+            return self.overwrite(name, updates, date_column, key)
+        dates = self._values(updates, date_column)
         if not dates:  # no updates
             return target
         keys = updates.select(*key).distinct()
@@ -167,20 +179,21 @@ class TableStore:
             known = [d for d in dates if d is not None]
             near = target
             if date_limited:
-                within = F.col(partition_by).cast("string").between(min(known), max(known)) if known else F.lit(False)
-                near = target.filter(within | F.col(partition_by).isNull())
-            dates |= self._values(near.select(*key, partition_by).join(keys, key, "left_semi"), partition_by)
+                within = F.col(date_column).cast("string").between(min(known), max(known)) if known else F.lit(False)
+                near = target.filter(within | F.col(date_column).isNull())
+            dates |= self._values(rows_of_keys(near.select(*key, date_column), keys, key), date_column)
         known = sorted(d for d in dates if d is not None)
-        touched = F.col(partition_by).cast("string").isin(known)
+        touched = F.col(date_column).cast("string").isin(known)
         if None in dates:
-            touched = touched | F.col(partition_by).isNull()
-        kept = target.filter(touched).join(keys, key, "left_anti")
+            touched = touched | F.col(date_column).isNull()
+        seen = Observation()
+        counted = updates.groupBy(*key).count().observe(seen, F.max("count").alias("most")).select(*key)
+        kept = target.filter(touched).join(counted, key, "left_anti")
         content = kept.unionByName(updates, allowMissingColumns=True)
-        version, parts = self._write(content, name, partition_by)
-        gone = {f"{partition_by}={NULL_PARTITION if d is None else d}" for d in dates}
-        held = {p: v for p, v in pointer["parts"].items() if p not in gone} | {p: version for p in parts}
-        self._publish(name, {"schema": content.schema.jsonValue(), "parts": held})
-        return self.read(name)
+        self._write(content, name, date_column, key)
+        if unique and (seen.get["most"] or 0) > 1:
+            require_unique(updates, key, unique)
+        return self._now(name, content.schema, date_column, self.tables[name].parts | dict.fromkeys(dates, self.number))
 
     @staticmethod
     def _values(df: DataFrame, col: str) -> set[str | None]:
@@ -188,6 +201,48 @@ class TableStore:
         calendar), as partition directory strings; ``None`` for null."""
         return {None if r[0] is None else str(r[0]) for r in df.select(col).distinct().collect()}
 
+    # -- the end of a run -----------------------------------------------------------
+    def commit(self, marks: Sequence[tuple] | None = None) -> None:
+        """End a run: its contents, then its marks (those of the run before where none are given), are written, and
+        readers see its tables. What neither this run nor the one before it holds is deleted afterwards."""
+        marks = [tuple(m) for m in (self.marks if marks is None else marks)] or [(None, None, None)]
+        rows = [(name, t.schema, t.date_column, part, n) for name, t in self.tables.items() for part, n in (t.parts or {None: None}).items()]
+        for kind, values, schema in ((CONTENTS, rows, CONTENTS_SCHEMA), (MANIFEST, marks, MANIFEST_SCHEMA)):
+            self.spark.createDataFrame(values, schema).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{kind}/{WRITE}={self.number}")
+        self.commits.append(self.number)
+        self.marks, self.number = marks, self.number + 1
+        self._tidy()
+
+    def _tidy(self) -> None:
+        while len(self.commits) > 2:
+            old = self.commits.pop(0)
+            kept = self._contents(self.commits[0])
+            for name, t in self._contents(old).items():
+                for part, n in t.parts.items():
+                    if name not in kept or kept[name].parts.get(part) != n:
+                        folder = "" if t.date_column is None else f"/{t.date_column}={NULL_PARTITION if part is None else part}"
+                        delete_path(self.spark, f"{self.path(name)}/{WRITE}={n}{folder}")
+            for kind in (MANIFEST, CONTENTS):
+                delete_path(self.spark, f"{self.root}/{kind}/{WRITE}={old}")
+
+    def drop(self, name: str) -> None:
+        """Forget a table, as a run of its own."""
+        if self.tables.pop(name, None) is not None:
+            self.commit()
+
+
+def rows_of_keys(rows: DataFrame, keys: DataFrame, key: Sequence[str], few: int = FEW_KEYS) -> DataFrame:
+    """The rows whose key is among ``keys``. A few keys are read on the driver and become equality tests, which
+    skip every stored row group whose Bloom filter lacks them; more are joined."""
+    first = key[0]
+    told = keys.select(first).distinct().limit(few + 1).collect()
+    if len(told) <= few:
+        values = [r[0] for r in told if r[0] is not None]
+        # tests of ten, as many as are pushed to the files one by one
+        tests = [F.col(first).isin(*values[a : a + 10]) for a in range(0, len(values), 10)]
+        rows = rows.filter(reduce(or_, tests, F.lit(False)) if tests else F.lit(False))
+    return rows.join(keys, list(key), "left_semi")
+
 
 def upsert_frames(target: DataFrame | None, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """The upsert as a pure DataFrame expression (no storage): the target's

@@ -25,9 +25,8 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import AttributionConfig
 from ..operators import attribution as att
@@ -35,7 +34,7 @@ from ..operators import paths as pth
 from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
 from ..sources.fixtures import Inputs
-from ..sources.tables import TableStore, require_unique, upsert_frames
+from ..sources.tables import MANIFEST_SCHEMA, TableStore, require_unique, rows_of_keys, upsert_frames
 
 SUBSCRIPTIONS_MARK = "subscriptions"
 ATTRIBUTION_MARK = "attribution"
@@ -46,45 +45,33 @@ SUBSCRIPTIONS = "subscriptions"
 PATHS = "paths_to_conversion"
 CHANNEL_ATTR = "channel_attributions"
 CAMPAIGN_ATTR = "campaign_attributions"
-MANIFEST = "manifest"
-
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("model", T.StringType()),
-    T.StructField("last_success", T.TimestampNTZType()),
-    T.StructField("run_id", T.StringType()),
-])
 
 
 class Manifest:
-    """Run high-water marks, one row per model, replaced as a whole when
-    a run has written all its tables. An advance is ``greatest(old, new)``;
-    a failed run never gets to it and changes nothing."""
+    """Run high-water marks, one row per model, written when a run has
+    written all its tables, which makes them visible. An advance is
+    ``greatest(old, new)``; a failed run never gets to it and changes nothing."""
 
     def __init__(self, store: TableStore):
         self.store = store
 
     def read(self) -> dict[str, dt.datetime]:
-        df = self.store.read(MANIFEST)
-        return {r["model"]: r["last_success"] for r in df.collect()} if df is not None else {}
+        return {model: mark for model, mark, _ in self.store.marks if model is not None}
 
     def current(self) -> DataFrame | None:
-        df = self.store.read(MANIFEST)
-        return None if df is None else df.select("model", "last_success")
+        rows = [r for r in self.store.marks if r[0] is not None]
+        return self.store.spark.createDataFrame(rows, MANIFEST_SCHEMA).select("model", "last_success") if rows else None
 
     def advance(self, marks: dict[str, dt.datetime | None], run_id: str) -> None:
         old = self.read()
         new = {k: max(v, old.get(k, v)) for k, v in marks.items() if v is not None}
-        rows = [(k, v, run_id) for k, v in {**old, **new}.items()]
-        if rows:
-            self.store.overwrite(MANIFEST, self.store.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1))
+        self.store.commit([(k, v, run_id) for k, v in {**old, **new}.items()])
 
 
-def high_water(df: DataFrame | None, col: str) -> dt.datetime | None:
-    """Max of a column as a driver-side literal (one row), so that the
-    bounds it feeds reach the parquet scan and prune partitions."""
-    if df is None:
-        return None
-    return df.agg(F.max(col).alias("m")).collect()[0]["m"]
+def observed(df: DataFrame, **columns: str) -> tuple[DataFrame, Observation]:
+    """``df`` with the greatest value of each named column observed while it is written: no job of its own."""
+    seen = Observation()
+    return df.observe(seen, *[F.max(c).alias(k) for k, c in columns.items()]), seen
 
 
 def low_water(df: DataFrame | None, col: str) -> dt.datetime | None:
@@ -108,27 +95,35 @@ class RunReport:
 
 
 def subscription_stage(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: AttributionConfig,
-                       mark: dt.datetime) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """O2-O6 + O32/O34: returns (this run's events, subscription updates,
-    subscriptions table after the upsert)."""
+                       mark: dt.datetime) -> tuple[DataFrame, DataFrame, DataFrame, dt.datetime | None]:
+    """O2-O6 + O32/O34: returns (this run's events, subscription updates, subscriptions table after the upsert,
+    the time of the run's latest event)."""
     touched = sub.touched_subscriptions(inputs.conversions, mark, cfg)
-    this_run = sub.subscription_events(inputs.conversions, touched, cfg)
+    this_run, seen = observed(sub.subscription_events(inputs.conversions, touched, cfg), latest="cv_tstamp")
     this_run = store.overwrite(THIS_RUN, this_run.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
     updates = store.stage(SUBSCRIPTIONS, sub.build_subscriptions(this_run, cfg).withColumn(
         "subscription_start_date", F.to_date("subscription_start_tstamp")))
     subs = store.upsert(SUBSCRIPTIONS, updates, [cfg.subscription_id], "subscription_start_date")
-    return this_run, updates, subs
+    return this_run, updates, subs, seen.get["latest"]
+
+
+def stored_dates(existing: DataFrame, this_run: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """Id and date partition of the stored paths whose id is a subscription touched this run: of the stored paths
+    only the ids are read, where few are touched only of the row groups whose Bloom filter has one."""
+    ids = this_run.select(F.col(cfg.subscription_id).alias("cv_id")).distinct()
+    return rows_of_keys(existing.select("cv_id", "cv_tstamp_date"), ids, ["cv_id"])
 
 
 def paths_updates(inputs: Inputs, cfg: AttributionConfig, this_run: DataFrame, subs: DataFrame,
-                  existing: DataFrame | None, mark: dt.datetime | None = None) -> DataFrame:
+                  existing: DataFrame | None, mark: dt.datetime | None = None, dates: DataFrame | None = None) -> DataFrame:
     """O12-O21 for one run: rows to upsert into the paths table.
 
     First build (or the table was dropped): every ordinary conversion and
     every stored subscription. Incremental (M = max ``cv_path_start_tstamp`` stored): ordinary
     conversions since ``M - 6h``, touchpoints since ``M - lookback``,
     subscriptions touched and not yet stored, plus the stored paths of
-    touched subscriptions re-emitted with current revenue (SURVEY 2.6).
+    touched subscriptions re-emitted with current revenue (SURVEY 2.6); which
+    those are, and in which partitions, ``dates`` tells (``stored_dates``).
     """
     mapping = inputs.user_mapping
     if existing is None or mark is None:
@@ -140,8 +135,8 @@ def paths_updates(inputs: Inputs, cfg: AttributionConfig, this_run: DataFrame, s
     since_cv = m - dt.timedelta(hours=cfg.lookback_window_hours)
     since_tp = m - dt.timedelta(days=cfg.path_lookback_days)
     ordinary = pth.ordinary_conversions(inputs.conversions, mapping, cfg, since=since_cv)
-    existing_core = existing.select(*pth.PATH_COLUMNS)
-    new_subs = pth.new_subscription_conversions(subs, this_run, mapping, cfg, existing_paths=existing_core)
+    dates = dates if dates is not None else stored_dates(existing, this_run, cfg)
+    new_subs = pth.new_subscription_conversions(subs, this_run, mapping, cfg, existing_paths=dates)
     if cfg.pad_touchpoints:
         # Cover the whole window of the oldest conversion in scope.
         oldest = low_water(new_subs, "cv_tstamp")
@@ -149,7 +144,7 @@ def paths_updates(inputs: Inputs, cfg: AttributionConfig, this_run: DataFrame, s
         since_tp = min(since_tp, first - dt.timedelta(days=cfg.path_lookback_days + 1))
     tps = tpo.touchpoints(inputs.views, mapping, cfg, since=since_tp)
     fresh = pth.paths_to_conversion(ordinary.unionByName(new_subs), tps, cfg)
-    refreshed = pth.refresh_revenue(existing_core, subs, this_run, new_subs, cfg)
+    refreshed = pth.refresh_revenue(existing, subs, dates, cfg)
     return fresh.unionByName(refreshed)
 
 
@@ -173,19 +168,20 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
     sub_mark = marks.get(SUBSCRIPTIONS_MARK, cfg.start_date)
     lap("manifest")
 
-    this_run, _, subs = subscription_stage(spark, store, inputs, cfg, sub_mark)
+    this_run, _, subs, latest = subscription_stage(spark, store, inputs, cfg, sub_mark)
     lap("subscriptions")
 
     if inputs.user_mapping is not None:
         require_unique(inputs.user_mapping, ["user_identifier"], "user mapping")
     existing = store.read(PATHS)
     path_mark = marks.get(PATHS_MARK) if existing is not None else None
-    updates = store.stage(PATHS, paths_updates(inputs, cfg, this_run, subs, existing, path_mark)
-                          .withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
-    require_unique(updates, ["cv_id"], "paths of this run")
+    dates = store.stage("dates", stored_dates(existing, this_run, cfg)) if path_mark is not None else None
+    updates, seen = observed(paths_updates(inputs, cfg, this_run, subs, existing, path_mark, dates),
+                             last="cv_tstamp", start="cv_path_start_tstamp")
+    updates = store.stage(PATHS, updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
     # cv_tstamp of a stored conversion never changes (refreshes keep it), so
     # its date partition is stable.
-    paths = store.upsert(PATHS, updates, ["cv_id"], "cv_tstamp_date", stable_partition=True)
+    paths = store.upsert(PATHS, updates, ["cv_id"], "cv_tstamp_date", stable_partition=True, unique="paths of this run")
     lap("paths")
 
     # Everything stored later than an older mark came in with some run's updates,
@@ -200,10 +196,8 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
                      stable_partition=cfg.attribution_replace_by_conversion, date_limited=True)
         lap(f"{dim}_attributions")
 
-    new_sub_mark = high_water(this_run, "cv_tstamp")
-    new_sub_mark = max(sub_mark, new_sub_mark) if new_sub_mark is not None else sub_mark
-    r = updates.agg(F.max("cv_tstamp").alias("a"), F.max("cv_path_start_tstamp").alias("p")).collect()[0]
-    manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: r["a"], PATHS_MARK: r["p"]}, run_id)
+    new_sub_mark = max(sub_mark, latest) if latest is not None else sub_mark
+    manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: seen.get["last"], PATHS_MARK: seen.get["start"]}, run_id)
     store.clear_stages()
     lap("manifest_advance")
     now = manifest.read()
@@ -242,9 +236,7 @@ def plan_run(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: Attributi
     updates = paths_updates(inputs, cfg, this_run, subs, existing, marks.get(PATHS_MARK))
     refresh = None
     if existing_core is not None:
-        new_subs = pth.new_subscription_conversions(subs, this_run, inputs.user_mapping, cfg,
-                                                    existing_paths=existing_core)
-        refresh = pth.refresh_revenue(existing_core, subs, this_run, new_subs, cfg)
+        refresh = pth.refresh_revenue(existing, subs, stored_dates(existing, this_run, cfg), cfg)
     paths = upsert_frames(existing_core, updates, ["cv_id"])
     scope = att.attribution_scope(paths, updates, this_run, marks.get(ATTRIBUTION_MARK), cfg)
     return RunPlan(this_run, sub_updates, subs, updates, refresh, paths, scope)

@@ -41,16 +41,34 @@ def pipe(spark, sf_small):
     return Pipeline(fx.load_inputs(spark, sf_small), Q.BASE_CFG, materialize=False)
 
 
-def test_path_join_is_keyed_on_customer_and_bucket(spark, pipe):
+def test_path_join_is_keyed_on_customer_and_block(spark, pipe):
     with static_plans(spark):
         convs = pipe.ordinary.unionByName(pipe.new_subscriptions)
         p = plan(pth.paths_to_conversion(convs, pipe.touchpoints, pipe.cfg))
-    smj = [line for line in p.splitlines() if "SortMergeJoin" in line and "_bucket" in line]
+    smj = [line for line in p.splitlines() if "SortMergeJoin" in line and "_block" in line]
     assert smj, p
     assert "customer_id" in smj[0] and "Inner" in smj[0]
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+def test_no_row_for_each_conversion_and_touch(spark, pipe):
+    """What is shuffled after the path join is a row for each conversion and block: the touches come as one array
+    row per customer and block, made before the join, and are cut by position, not exploded and collected again."""
+    convs = pipe.ordinary.unionByName(pipe.new_subscriptions)
+    with static_plans(spark):
+        p = plan(pth.paths_to_conversion(convs, pipe.touchpoints, pipe.cfg))
+    lines = p.splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "_block" in line and "Inner" in line)
+    above, below = lines[:join], lines[join:]
+    assert sum("Exchange" in line for line in above) == 1 and not any("Generate" in line for line in above)
+    assert any("slice(_touches" in line for line in above)
+    assert any("collect_list" in line and "visit_start_tstamp" in line for line in below)
+    blocks = -(-(pipe.cfg.path_lookback_days + 1) // pipe.cfg.join_bucket_days) + 1
+    segments = pth.path_segments(convs, pipe.touchpoints, pipe.cfg)
+    sizes = segments.agg(F.count("*").alias("rows"), F.sum(F.size("_segment")).alias("touches"), F.countDistinct("cv_id").alias("paths")).first()
+    assert sizes.rows <= blocks * sizes.paths and sizes.touches > 4 * sizes.rows
+
+
 def test_no_window_operators_and_no_python(spark, pipe):
     with static_plans(spark):
         p = plan(pipe.overview(with_spend=True))
@@ -99,3 +117,57 @@ def test_stored_tables_prune_partitions(spark, sf_small):
     with static_plans(spark):
         p = plan(attr.filter(ov.window_bound(attr, Q.BASE_CFG.with_(conversion_window_days=3))))
     assert "PartitionFilters: [isnotnull(cv_tstamp_date" in p and "cv_tstamp_date#" in p, p
+
+
+def test_revenue_refresh_reads_only_the_dates_of_touched_subscriptions(spark, sf_small):
+    state = new_state_dir(spark, "test-refresh")
+    inputs = fx.load_inputs(spark, sf_small)
+    inc.run_incremental(spark, Q._cut_inputs(inputs, Q.CUT), state, Q.BASE_CFG, "run1")
+    store = inc.TableStore(spark, state)
+    paths, subs = store.read(inc.PATHS), store.read(inc.SUBSCRIPTIONS)
+    one = store.read(inc.THIS_RUN).orderBy("subscription_id").limit(1)
+    dates = store.stage("dates", inc.stored_dates(paths, one, Q.BASE_CFG))
+    refreshed = pth.refresh_revenue(paths, subs, dates, Q.BASE_CFG)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the plan's text ends within the filters
+    scan = next(line for line in plan(refreshed).splitlines() if "FileScan" in line and "cv_path_start_tstamp" in line)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "dynamicpruningexpression(cv_tstamp_date#" in scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert [r.cv_id for r in refreshed.collect()] == [r.cv_id for r in dates.collect()]
+    with static_plans(spark):  # which dates those are is read from the ids alone
+        ids = plan(inc.stored_dates(paths, store.read(inc.THIS_RUN), Q.BASE_CFG))
+    assert "ReadSchema: struct<cv_id:string>" in ids
+
+
+def test_marks_and_uniqueness_come_with_the_writes(spark, sf_small):
+    """The run's marks are observed while its tables are written: no scan of the run's events or paths for a maximum."""
+    state = new_state_dir(spark, "test-jobs")
+    inputs = fx.load_inputs(spark, sf_small)
+    inc.run_incremental(spark, Q._cut_inputs(inputs, Q.CUT), state, Q.BASE_CFG, "run1")
+    seen = []
+    whole = type(spark.range(1)).agg
+
+    def agg(self, *exprs):
+        seen.append([str(e) for e in exprs])
+        return whole(self, *exprs)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(spark.range(1)), "agg", agg)
+        inc.run_incremental(spark, inputs, state, Q.BASE_CFG, "run2")
+    assert not any("max(cv_tstamp)" in e or "max(cv_path_start" in e for es in seen for e in es)
+    store = inc.TableStore(spark, state)
+    latest = store.read(inc.PATHS).agg(F.max("cv_tstamp"), F.max("cv_path_start_tstamp")).first()
+    marks = inc.Manifest(store).read()
+    assert (marks[inc.ATTRIBUTION_MARK], marks[inc.PATHS_MARK]) == tuple(latest)
+
+
+def test_a_run_refuses_repeated_conversions(spark, sf_small):
+    """Found by the key's count in the upsert's own join, before the run is visible."""
+    state = new_state_dir(spark, "test-repeated")
+    inputs = fx.load_inputs(spark, sf_small)
+    inc.run_incremental(spark, Q._cut_inputs(inputs, Q.CUT), state, Q.BASE_CFG, "run1")
+    before = inc.read_table(spark, state, inc.PATHS).count()
+    late = inputs.conversions.filter("cv_type = 'signup'").orderBy(F.col("cv_tstamp").desc()).limit(1)
+    twice = inputs.conversions.unionByName(late.withColumn("event_id", F.lit("another")))
+    with pytest.raises(ValueError, match="cv_id must be unique"):
+        inc.run_incremental(spark, fx.Inputs(views=inputs.views, conversions=twice, user_mapping=inputs.user_mapping, spend=None), state, Q.BASE_CFG, "run2")
+    assert inc.read_table(spark, state, inc.PATHS).count() == before

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pathcredit.config import AttributionConfig
 from pathcredit.functions.columns import path_to_string, string_to_path
 from pathcredit.session import new_state_dir
 from pathcredit.sources import fixtures as fx
-from pathcredit.sources.tables import TableStore, require_unique
+from pathcredit.sources.tables import TableStore, require_unique, rows_of_keys
 from pathcredit.streaming import incremental as inc
 
 CFG = AttributionConfig()
@@ -25,10 +27,12 @@ def content(store):
     return sorted((r.k, r.d.day, r.v) for r in store.read("t").collect())
 
 
-@pytest.mark.parametrize("step", ["_write", "_publish"])
+@pytest.mark.parametrize("step", ["_write", "commit"])
 def test_a_stopped_upsert_changes_nothing_and_can_be_repeated(spark, monkeypatch, step):
-    store = TableStore(spark, new_state_dir(spark, "test-stop"))
+    root = new_state_dir(spark, "test-stop")
+    store = TableStore(spark, root)
     store.upsert("t", rows(spark, [("a", 1, 1), ("b", 1, 1), ("c", 2, 1)]), ["k"], "d")
+    store.commit()
     before = content(store)
     updates = store.stage("u", rows(spark, [("a", 2, 9), ("d", 1, 9)]))
 
@@ -43,21 +47,65 @@ def test_a_stopped_upsert_changes_nothing_and_can_be_repeated(spark, monkeypatch
         m.setattr(TableStore, step, stop)
         with pytest.raises(RuntimeError):
             store.upsert("t", updates, ["k"], "d")
+            store.commit()
+    store = TableStore(spark, root)
     assert content(store) == before
     store.upsert("t", updates, ["k"], "d")
-    assert content(store) == [("a", 2, 9), ("b", 1, 1), ("c", 2, 1), ("d", 1, 9)]
+    store.commit()
+    assert content(TableStore(spark, root)) == [("a", 2, 9), ("b", 1, 1), ("c", 2, 1), ("d", 1, 9)]
 
 
-def test_a_reader_keeps_its_version_and_old_ones_go(spark):
-    store = TableStore(spark, new_state_dir(spark, "test-versions"))
-    store.upsert("t", rows(spark, [("a", 1, 1)]), ["k"], "d")
+def test_a_reader_keeps_its_version_and_old_ones_go(spark, tmp_path):
+    root = str(tmp_path / "state")
+    store = TableStore(spark, root)
+    store.upsert("t", rows(spark, [("a", 1, 1), ("z", 9, 1)]), ["k"], "d")
+    store.commit()
     held = store.read("t")
-    for v in range(2, 5):
+    for v in range(2, 6):
         store.upsert("t", store.stage("u", rows(spark, [("a", 1, v)])), ["k"], "d")
+        store.commit()
         if v == 2:
-            assert [r.v for r in held.collect()] == [1]
-    assert content(store) == [("a", 1, 4)]
-    assert len([x for x in store._list(store.path("t")) if x.startswith("_version=")]) <= 3
+            assert [r.v for r in held.filter("k = 'a'").collect()] == [1]
+    assert content(TableStore(spark, root)) == [("a", 1, 5), ("z", 9, 1)]
+    files = sorted(str(p.relative_to(tmp_path / "state" / "t").parent) for p in (tmp_path / "state" / "t").rglob("*.parquet"))
+    assert len(files) == 3 and sum("d=2024-01-09" in f for f in files) == 1  # two versions of one date, one of the other
+
+
+def test_only_written_dates_are_written_anew(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "state"))
+    store.upsert("t", rows(spark, [(f"k{d}", d, 1) for d in range(1, 9)]), ["k"], "d")
+    store.upsert("t", store.stage("u", rows(spark, [("k3", 5, 2)])), ["k"], "d")
+    written = {p.parent.name for p in (tmp_path / "state" / "t" / "write=2").rglob("*.parquet")}
+    assert written == {"d=2024-01-05"}  # the 3rd is left without rows
+    assert content(store) == [(f"k{d}", d, 1) for d in (1, 2)] + [("k3", 5, 2)] + [(f"k{d}", d, 1) for d in range(4, 9)]
+
+
+def test_older_rows_of_few_keys_are_found_by_bloom_filters(spark, tmp_path):
+    """Row groups whose filter lacks the keys aren't read, though their range of keys covers them."""
+    store = TableStore(spark, str(tmp_path / "state"))
+    every = spark.range(40_000).selectExpr("sha1(string(id)) as k", "date_add(date'2024-01-01', cast(id % 20 as int)) as d", "cast(id as int) as v")
+    store.upsert("t", every, ["k"], "d")
+    keys = store.stage("u", every.filter("v in (7, 11)")).select("k")
+    found = rows_of_keys(store.read("t").select("k", "d"), keys, ["k"])
+    assert sorted(str(r.d) for r in found.collect()) == ["2024-01-08", "2024-01-12"]
+
+    def scanned(df) -> int:
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+        leaves, most = plan.collectLeaves(), 0
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            leaf = leaf.plan() if "QueryStage" in leaf.getClass().getSimpleName() else leaf
+            inner = leaf.collectLeaves()
+            for j in range(inner.size()):
+                metrics = inner.apply(j).metrics()
+                if metrics.contains("numOutputRows"):
+                    most = max(most, metrics.apply("numOutputRows").value())
+        return most
+
+    assert scanned(rows_of_keys(store.read("t").select("k", "d"), keys, ["k"])) <= 4_000
+    assert scanned(rows_of_keys(store.read("t").select("k", "d"), keys, ["k"], few=1)) == 40_000
 
 
 def test_empty_tables(spark):
@@ -86,9 +134,17 @@ def test_repeated_keys_are_refused(spark):
 
 
 def test_path_strings_round_trip(spark):
-    df = spark.createDataFrame([(["a", "b c", "d"],), (["x"],), (None,)], "p array<string>")
-    got = df.select("p", string_to_path(path_to_string(F.col("p"))).alias("q")).collect()
-    assert all(r.p == r.q for r in got)
+    """Any labels come back, those with the separator, its sign or the escape sign too; ordinary ones are written as they are."""
+    r = random.Random(1)
+    parts = [" > ", ">", " ", "\\", "a", "b", "\\>", " \\> ", "> ", " >", "$1", ""]
+    values = [["a", "b c", "d"], ["x"], ["a>b", "c->d", "\\"], *([("".join(r.choice(parts) for _ in range(r.randint(0, 5)))) for _ in range(r.randint(1, 4))]
+                                                         for _ in range(3000))]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "p array<string>")
+    got = df.select("p", path_to_string(F.col("p")).alias("s")).withColumn("q", string_to_path(F.col("s"))).collect()
+    assert all(r.p == r.q for r in got) and got[-1].s is None
+    assert [r.s for r in got[:3]] == ["a > b c > d", "x", "a>b > c->d > \\"]
+    plain = [r for r in got[:-1] if not any(re.search(r"(^| )\\*>( |$)", x) for x in r.p)]
+    assert len(plain) > 100 and all(r.s == " > ".join(r.p) for r in plain)
 
 
 def test_settings_from_plain_values():
