@@ -11,7 +11,9 @@ table agrees with the old one over a longest token's length.
 
 ``encode`` runs over whole texts in one pass without a shuffle; pieces are
 the matches of the pattern, each distinct piece is encoded once while it is
-remembered (a bounded number are).
+remembered (a bounded number are). The tables of a batch's new pieces are
+filled side by side, one byte of each a step; an automaton over the tokens
+tells which of them end there.
 
 Defined results: a null or empty text has no ids and decodes to no bytes.
 Repeated rows are encoded each. Other columns are not read.
@@ -23,15 +25,16 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Memo, batches, strings
+from pathcredit.llm.automaton import Automaton, Known, Tables, heaps
+from pathcredit.llm.common import batches, strings
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -153,16 +156,34 @@ class Encoder:
 
 
 class TextEncoder:
-    """Whole texts: pieces of the pattern, remembered."""
+    """Whole texts, many at a time: pieces of the pattern, the new ones with their prefix tables side by side."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoder = Encoder(ranks)
         self.pieces = regex.compile(pattern).findall
-        self.memo = Memo(lambda piece: tuple(self.encoder.piece(piece.encode())))
+        self.size = 1 + max(ranks.values())
+        length = [len(self.encoder.token.get(i, b"")) for i in range(self.size)]
+        self.tables = Tables(Automaton(ranks.items(), 256, self.size), length, self._fits, self.size)
+        self.known = Known(self._ids)
         self.decimal = {i: str(i) for i in self.encoder.token}
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.memo.__getitem__, self.pieces(text))))
+    def _fits(self, before: int, last: int) -> bool:
+        return self.encoder.fits(-1 if before == self.size else before, last)
+
+    def _ids(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        raw, rank = [p.encode() for p in pieces], self.encoder.rank.get
+        out: list = [None if whole is None else (whole,) for whole in map(rank, raw)]
+        built = [i for i, ids in enumerate(out) if ids is None]
+        symbols = np.frombuffer(b"".join([raw[i] for i in built]), np.uint8)
+        tokens, counts = self.tables.encode(symbols, np.fromiter((len(raw[i]) for i in built), np.int64, len(built)))
+        tokens, at = tokens.tolist(), 0
+        for i, n in zip(built, counts.tolist()):
+            out[i] = tuple(tokens[at : at + n])
+            at += n
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        return self.known(list(map(self.pieces, texts)))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.encoder.token.__getitem__, ids))
@@ -181,11 +202,11 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers
         own = text_encoder(ranks, pattern)
 
         def made(batch):
-            for doc_id, text in zip(batch.column(0).to_pylist(), strings(batch.column(1))):
-                ids = own.encode(text)
-                row = (doc_id, len(ids), hashlib.sha256(",".join(map(own.decimal.__getitem__, ids)).encode()).hexdigest(),
-                       hashlib.sha256(own.decode(ids)).hexdigest())
-                yield (*row, ids) if with_ids else row
+            for rows in heaps(zip(batch.column(0).to_pylist(), strings(batch.column(1)))):
+                for (doc_id, _), ids in zip(rows, own.encode([text for _, text in rows])):
+                    row = (doc_id, len(ids), hashlib.sha256(",".join(map(own.decimal.__getitem__, ids)).encode()).hexdigest(),
+                           hashlib.sha256(own.decode(ids)).hexdigest())
+                    yield (*row, ids) if with_ids else row
 
         for batch in rows:
             yield from batches(made(batch), schema, 1024)
