@@ -2,9 +2,10 @@
 
     python -m pathcredit run    --state PATH (--fixtures SF_DIR | --views P --mapping P (--conversions P | --events P))
                                 [--config FILE] [--start-date 2024-01-01] [--lookback-days 30] [--window-hours 6]
-    python -m pathcredit report --state PATH [--spend P | --fixtures SF_DIR] [--out PATH]
+    python -m pathcredit report --state PATH [--spend P | --fixtures SF_DIR] [--out PATH_OR_TABLE]
 
-Inputs are parquet paths with the schemas of FIXTURES.md section 1, or the
+Inputs are Parquet paths or table names of the session's catalog (one to three
+words: ``db.views``) with the schemas of FIXTURES.md section 1, or the
 driver's test tables through the fixture adapter (``--fixtures``). The
 session comes from ``SparkSession.builder.getOrCreate()``, so ``spark-submit``
 settings (master, executors) apply. ``--config`` is a JSON file with any
@@ -27,6 +28,7 @@ from .functions.columns import collapse_repeats, unique_path
 from .operators.overview import attribution_overview
 from .operators.subscriptions import conversions_for_run, extract_conversions
 from .sources import fixtures as fx
+from .sources.catalog import read_source, write_sink
 from .streaming import incremental as inc
 
 
@@ -64,9 +66,9 @@ def _conversions(spark: SparkSession, args: argparse.Namespace, events: dict, ma
     """Conversions as stored, or extracted from raw events (O1): the file's ``events`` part gives
     ``definitions`` ([name, condition, value] each), ``passthroughs`` ([expression, name]), ``event_id`` and ``tstamp``."""
     if not args.events:
-        return spark.read.parquet(args.conversions)
+        return read_source(spark, args.conversions)
     found = extract_conversions(
-        spark.read.parquet(args.events), [ConversionDef(*d) for d in events.get("definitions", [])],
+        read_source(spark, args.events), [ConversionDef(*d) for d in events.get("definitions", [])],
         [tuple(x) for x in events.get("passthroughs", [])], events.get("event_id", "event_id"), events.get("tstamp", "derived_tstamp"))
     return conversions_for_run(found, mapping)
 
@@ -79,7 +81,9 @@ def _inputs(spark: SparkSession, args: argparse.Namespace, events: dict, need_pa
     missing = [n for n in ("views", "conversions", "mapping") if not (getattr(args, n) or n == "conversions" and args.events)]
     if missing:
         raise SystemExit(f"missing inputs: {', '.join('--' + m for m in missing)} (or --fixtures)")
-    read = spark.read.parquet
+    def read(told: str) -> DataFrame:
+        return read_source(spark, told)
+
     mapping = read(args.mapping)
     return fx.Inputs(views=read(args.views), conversions=_conversions(spark, args, events, mapping), user_mapping=mapping,
                      spend=read(args.spend) if args.spend else None)
@@ -103,7 +107,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--window-hours", type=int)
         p.add_argument("--report-days", type=int)
         if name == "report":
-            p.add_argument("--out", help="write the report as parquet here instead of printing it")
+            p.add_argument("--out", help="write the report to this Parquet path or table instead of printing it")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     cfg, events = _config(args)
@@ -117,11 +121,11 @@ def main(argv: list[str] | None = None) -> int:
     if any(v is None for v in tables.values()):
         raise SystemExit(f"no stored tables under {args.state}: run first")
     inputs = _inputs(spark, args, events, need_paths=False)
-    spend = spark.read.parquet(args.spend) if args.spend else (inputs.spend if inputs else None)
+    spend = read_source(spark, args.spend) if args.spend else (inputs.spend if inputs else None)
     report = attribution_overview(tables[inc.CHANNEL_ATTR], tables[inc.CAMPAIGN_ATTR], tables[inc.SUBSCRIPTIONS],
                                   spend, cfg)
     if args.out:
-        report.write.mode("overwrite").parquet(args.out)
+        write_sink(report, args.out)
     else:
         for row in report.toLocalIterator():  # the report is one row per touch point and model
             print(json.dumps(row.asDict(), default=str))

@@ -23,7 +23,8 @@ from ..operators import overview as ov
 from ..operators import paths as pth
 from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
-from ..session import delete_path, materialize
+from ..session import delete_path, materialize, new_state_dir
+from ..sources.catalog import bucketed, forget
 from ..sources.fixtures import Inputs
 from ..sources.tables import require_unique
 
@@ -40,6 +41,7 @@ class Pipeline:
         self.last_success = last_success if last_success is not None else cfg.start_date
         self._materialize = materialize
         self._stage_dirs: list[str] = []
+        self._names: list[str] = []
 
     def _stage(self, df: DataFrame, label: str) -> DataFrame:
         # The reference stores these stages as tables; so do we (shared
@@ -50,6 +52,8 @@ class Pipeline:
         """Delete the stage folders this build wrote (after its DataFrames
         are no longer needed)."""
         spark = self.inputs.conversions.sparkSession
+        while self._names:
+            forget(spark, self._names.pop())
         while self._stage_dirs:
             delete_path(spark, self._stage_dirs.pop())
 
@@ -65,23 +69,34 @@ class Pipeline:
     def subscriptions(self) -> DataFrame:
         return self._stage(sub.build_subscriptions(self.this_run, self.cfg), "subscriptions")
 
+    @cached_property
+    def mapping(self) -> DataFrame | None:
+        """The assignment of devices to customers, stored once by buckets of the device: views, conversions and
+        subscriptions join it without shuffling it again."""
+        m = self.inputs.user_mapping
+        if m is None or self.cfg.conversion_stitching or not self._materialize:
+            return m
+        path = new_state_dir(m.sparkSession, "stage-mapping")
+        held, name = bucketed(m.select("user_identifier", "user_id"), "user_identifier", "pathcredit_mapping", "user mapping", path)
+        self._stage_dirs.append(path)
+        self._names.append(name)
+        return held
+
     @cached_property
     def touchpoints(self) -> DataFrame:
-        return tpo.touchpoints(self.inputs.views, self.inputs.user_mapping, self.cfg)
+        return tpo.touchpoints(self.inputs.views, self.mapping, self.cfg)
 
     @cached_property
     def ordinary(self) -> DataFrame:
-        return pth.ordinary_conversions(self.inputs.conversions, self.inputs.user_mapping, self.cfg)
+        return pth.ordinary_conversions(self.inputs.conversions, self.mapping, self.cfg)
 
     @cached_property
     def new_subscriptions(self) -> DataFrame:
-        return pth.new_subscription_conversions(self.subscriptions, self.this_run,
-                                                self.inputs.user_mapping, self.cfg)
+        return pth.new_subscription_conversions(self.subscriptions, self.this_run, self.mapping, self.cfg)
 
     @cached_property
     def paths(self) -> DataFrame:
         convs = self.ordinary.unionByName(self.new_subscriptions)
-        require_unique(self.inputs.user_mapping, ["user_identifier"], "user mapping")
         require_unique(convs, ["cv_id"], "conversions")
         return self._stage(pth.paths_to_conversion(convs, self.touchpoints, self.cfg), "paths")
 

@@ -16,8 +16,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import AttributionConfig
-from ..functions.columns import collapse_repeats, unique_path
+from ..config import AttributionConfig, ChannelRule
+from ..functions.columns import collapse_repeats, string_to_path, unique_path
 from ..operators import attribution as att
 from ..operators import overview as ov
 from ..operators import paths as pth
@@ -25,6 +25,7 @@ from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
 from ..session import new_state_dir
 from ..sources import fixtures as fx
+from ..sources.catalog import read_source, write_sink
 from ..streaming import incremental as inc
 from . import oracle as o
 from .pipeline import Pipeline
@@ -264,6 +265,25 @@ def q_paths_stitched(spark, sf_dir):
     return _paths_df(_pipe(spark, sf_dir, conversion_stitching=True))
 
 
+#: Labels that hold the separator, its sign or the escape sign, and what stands for them in a path's text.
+_ODD_LABELS = {"Paid_Search": ("Paid > Search", r"Paid \> Search"), "Email": (r"\> Email >", r"\\> Email \>"), "Social": (">", r"\>")}
+
+
+def _odd(side: int) -> str:
+    names = " ".join(f"WHEN '{k}' THEN '{v[side]}'" for k, v in _ODD_LABELS.items())
+    return f"list_transform(channels, lambda c: CASE c {names} ELSE c END)"
+
+
+@register("paths_reversible", o.with_ctes(_path_steps(), f"""SELECT cv_id, array_to_string({_odd(1)}, ' > ') AS channel_path,
+       CAST(len(channels) AS BIGINT) AS n_labels, array_to_string({_odd(0)}, '|') AS labels FROM journeys"""))
+def q_paths_reversible(spark, sf_dir):
+    """O19 both ways: channels with the separator in their names, written as one text and read back from it."""
+    rules = tuple(ChannelRule(r.condition, _ODD_LABELS[r.label][0]) for r in BASE_CFG.channel_rules)
+    text = pth.paths_as_strings(_pipe(spark, sf_dir, channel_rules=rules).paths).select("cv_id", "channel_path")
+    back = string_to_path(F.col("channel_path"))
+    return text.select("cv_id", "channel_path", F.size(back).cast("long").alias("n_labels"), F.array_join(back, "|").alias("labels"))
+
+
 # --- O22-O25 attributions -----------------------------------------------------
 
 @register("channel_attributions", o.with_ctes(_credit_steps(), "FROM channel_credits"), ATTR_DOUBLES)
@@ -361,6 +381,21 @@ def q_overview_roas(spark, sf_dir):
         "path_type", "attribution_type", "touch_point", "attributed_revenue", "spend", "ROAS")
 
 
+@register("overview_from_tables", _report_sql(), REPORT_DOUBLES + ["ROAS"])
+def q_overview_from_tables(spark, sf_dir):
+    """2.2 scans and sinks by table name: the inputs are written to tables of the session's catalog, read from there
+    by name, and the report is written to a table and read back."""
+    path = new_state_dir(spark, "catalog")
+    db = "pathcredit_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
+    inp = fx.load_inputs(spark, sf_dir)
+    for name, partition_by in (("views", None), ("conversions", "cv_tstamp_date"), ("user_mapping", None), ("spend", None)):
+        write_sink(getattr(inp, name), f"{db}.{name}", partition_by)
+    read = fx.Inputs(**{name: read_source(spark, f"{db}.{name}") for name in ("views", "conversions", "user_mapping", "spend")})
+    write_sink(Pipeline(read, BASE_CFG).overview(), f"{db}.report")
+    return read_source(spark, f"{db}.report")
+
+
 # --- O20-O22, O32-O36: the two-run incremental scenario -----------------------
 # Run 1 is a first build over the data before CUT; run 2 sees everything and
 # works from run 1's stored tables (FIXTURES.md: at sf0.01 run 1 knows 380

@@ -144,9 +144,12 @@ class TableStore:
         written = self.spark.read.schema(df.schema).parquet(f"{self.path(name)}/{WRITE}={self.number}")
         return self._now(name, df.schema, date_column, dict.fromkeys(self._values(written, date_column), self.number))
 
+    def stage_path(self, name: str) -> str:
+        return f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:12]}"
+
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written once beside the tables and read back; ``clear_stages`` removes it."""
-        where = f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:12]}"
+        where = self.stage_path(name)
         df.write.parquet(where)
         return self.spark.read.schema(df.schema).parquet(where)
 

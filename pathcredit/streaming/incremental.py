@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +33,9 @@ from ..operators import attribution as att
 from ..operators import paths as pth
 from ..operators import subscriptions as sub
 from ..operators import touchpoints as tpo
+from ..sources.catalog import bucketed, forget
 from ..sources.fixtures import Inputs
-from ..sources.tables import MANIFEST_SCHEMA, TableStore, require_unique, rows_of_keys, upsert_frames
+from ..sources.tables import MANIFEST_SCHEMA, TableStore, rows_of_keys, upsert_frames
 
 SUBSCRIPTIONS_MARK = "subscriptions"
 ATTRIBUTION_MARK = "attribution"
@@ -171,8 +172,12 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
     this_run, _, subs, latest = subscription_stage(spark, store, inputs, cfg, sub_mark)
     lap("subscriptions")
 
-    if inputs.user_mapping is not None:
-        require_unique(inputs.user_mapping, ["user_identifier"], "user mapping")
+    # Devices are assigned to customers once, by buckets that views, conversions and subscriptions join unshuffled.
+    assigned = None
+    if inputs.user_mapping is not None and not cfg.conversion_stitching:
+        mapping, assigned = bucketed(inputs.user_mapping.select("user_identifier", "user_id"), "user_identifier", "pathcredit_mapping",
+                                     "user mapping", store.stage_path("mapping"))
+        inputs = replace(inputs, user_mapping=mapping)
     existing = store.read(PATHS)
     path_mark = marks.get(PATHS_MARK) if existing is not None else None
     dates = store.stage("dates", stored_dates(existing, this_run, cfg)) if path_mark is not None else None
@@ -198,6 +203,8 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
 
     new_sub_mark = max(sub_mark, latest) if latest is not None else sub_mark
     manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: seen.get["last"], PATHS_MARK: seen.get["start"]}, run_id)
+    if assigned:
+        forget(spark, assigned)
     store.clear_stages()
     lap("manifest_advance")
     now = manifest.read()

@@ -156,3 +156,34 @@ def test_settings_from_plain_values():
     assert cfg.channel_rules[0].label == "Paid" and len(cfg.path_transforms) == 1 and cfg.conversion_stitching
     with pytest.raises(ValueError):
         config_from({"no_such": 1})
+
+
+def test_sources_and_sinks_by_name_or_path(spark, tmp_path):
+    from pathcredit.sources.catalog import is_name, read_source, write_sink
+
+    assert [is_name(x) for x in ("views", "db.views", "cat.db.views", "`odd name`.views", "./views", "/a/views", "s3://b/views", "a b")] \
+        == [True, True, True, True, False, False, False, False]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sinks LOCATION '{tmp_path}/db'")
+    for told in ("sinks.t", str(tmp_path / "t")):
+        write_sink(rows(spark, [("a", 1, 1), ("b", 2, 2)]), told, "d")
+        assert sorted(r.k for r in read_source(spark, told).collect()) == ["a", "b"]
+        write_sink(rows(spark, [("c", 3, 3)]), told, "d")
+        if told == "sinks.t":
+            spark.catalog.refreshTable(told)
+        assert [(r.k, r.v) for r in read_source(spark, told).collect()] == [("c", 3)]
+    spark.sql("DROP DATABASE sinks CASCADE")
+
+
+def test_the_command_line_reads_and_writes_tables_by_name(spark, sf_small, tmp_path, monkeypatch, capsys):
+    from pathcredit import cli
+    from pathcredit.sources.catalog import write_sink
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS told LOCATION '{tmp_path}/db'")
+    inp = fx.load_inputs(spark, sf_small)
+    for name in ("views", "conversions", "user_mapping", "spend"):
+        write_sink(getattr(inp, name), f"told.{name}")
+    state = new_state_dir(spark, "test-cli")
+    assert cli.main(["run", "--state", state, "--views", "told.views", "--conversions", "told.conversions", "--mapping", "told.user_mapping"]) == 0
+    assert cli.main(["report", "--state", state, "--spend", "told.spend", "--out", "told.report"]) == 0
+    assert spark.table("told.report").count() == 36
+    spark.sql("DROP DATABASE told CASCADE")
