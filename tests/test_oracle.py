@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import subprocess
 import sys
 
 import duckdb
@@ -55,3 +56,11 @@ def test_session_time_zone_does_not_matter(spark, duck, sf_small, key):
         spark.conf.set("spark.sql.session.timeZone", old)
     want = duck.execute(se.oracle_sql()[key]).df()
     assert len(got) == len(want) and digest(got) == digest(want)
+
+
+def test_entry_without_the_training_data_libraries():
+    """A library that only the removable subpackage needs may be absent: its queries are, the others aren't."""
+    code = ("import sys; sys.modules['public_tokenizers'] = None\n"
+            "import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') for k in e.queries()))")
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), "False"]
