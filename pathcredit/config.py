@@ -83,6 +83,13 @@ class AttributionConfig:
     # keyed on. Any width gives the same result; narrower buckets emit fewer
     # candidate pairs, wider ones replicate each conversion fewer times.
     join_bucket_days: int = 8
+    # Keep subscription events in a ledger of so many buckets by subscription
+    # (0: none, the whole history of touched subscriptions is read from the
+    # conversions in every run, as the reference does). With a ledger a run
+    # reads the conversions since its mark and the buckets of touched
+    # subscriptions only; an event that comes in later than the late-arrival
+    # window then isn't seen until a new state is built.
+    subscription_ledger_buckets: int = 0
     # Incremental runs:
     # lower the touchpoint bound so that every conversion in scope, including
     # old new-subscriptions, gets its full lookback window ...
@@ -100,6 +107,8 @@ class AttributionConfig:
             raise ValueError(f"unknown attribution models: {sorted(unknown)}")
         if self.path_lookback_days < 0 or self.join_bucket_days < 1:
             raise ValueError("lookback must be >= 0 and bucket width >= 1 day")
+        if self.subscription_ledger_buckets < 0:
+            raise ValueError("subscription_ledger_buckets must be >= 0")
 
     def with_(self, **changes) -> "AttributionConfig":
         return replace(self, **changes)

@@ -100,6 +100,18 @@ def touched_subscriptions(conversions: DataFrame, last_success: dt.datetime,
     return ev.filter(cond).select(F.col(f"ev.{sid}").alias(sid)).distinct()
 
 
+def subscription_history(conversions: DataFrame, cfg: AttributionConfig, since: dt.datetime | None = None) -> DataFrame:
+    """All subscription-type conversions in the columns of O3, or those since a time."""
+    sid = cfg.subscription_id
+    cond = _clause(cfg) & _is_subscription_event(cfg)
+    if since is not None:
+        cond = cond & (F.col("ev.cv_tstamp") >= ts_lit(since))
+        if "cv_tstamp_date" in conversions.columns:
+            cond = cond & (F.col("ev.cv_tstamp_date") >= F.lit(since.date()))
+    return conversions.alias("ev").filter(cond).select(
+        *[F.col(f"ev.{c}").alias(c) for c in ("cv_id", "event_id", sid)], *[F.col(f"ev.{c}").alias(c) for c in SUBSCRIPTION_EVENT_COLUMNS[2:]])
+
+
 def subscription_events(conversions: DataFrame, touched: DataFrame,
                         cfg: AttributionConfig) -> DataFrame:
     """O3: the full history (no time bound) of every touched subscription.
@@ -107,10 +119,20 @@ def subscription_events(conversions: DataFrame, touched: DataFrame,
     A left-semi join: only the touched id set is shuffled or broadcast (AQE
     decides from its measured size); null ids never match."""
     sid = cfg.subscription_id
-    ev = conversions.alias("ev").filter(_clause(cfg) & _is_subscription_event(cfg))
-    hist = ev.select(*[F.col(f"ev.{c}").alias(c) for c in ("cv_id", "event_id", sid)],
-                     *[F.col(f"ev.{c}").alias(c) for c in SUBSCRIPTION_EVENT_COLUMNS[2:]])
-    return hist.join(touched.select(sid), sid, "left_semi")
+    return subscription_history(conversions, cfg).join(touched.select(sid), sid, "left_semi")
+
+
+def ledger_bucket(cfg: AttributionConfig) -> Column:
+    """The ledger's partition of a subscription."""
+    return F.pmod(F.xxhash64(cfg.subscription_id), F.lit(cfg.subscription_ledger_buckets)).cast("int")
+
+
+def ledger_events(ledger: DataFrame, touched: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """O3 from the ledger: the history of every touched subscription, read from their buckets (of which there are at
+    most as many as the ledger has, so their numbers become a literal that prunes the scan)."""
+    sid = cfg.subscription_id
+    buckets = [r["bucket"] for r in touched.select(ledger_bucket(cfg).alias("bucket")).distinct().collect()]
+    return ledger.filter(F.col("bucket").isin(sorted(buckets))).join(touched.select(sid), sid, "left_semi").drop("bucket")
 
 
 def _first_event_struct() -> Column:

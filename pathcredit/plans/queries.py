@@ -496,6 +496,22 @@ def q_merge_subscriptions(spark, sf_dir):
     return _final(spark, sf_dir, inc.SUBSCRIPTIONS).select(*SUB_COLS)
 
 
+_CFG_LEDGER = BASE_CFG.with_(subscription_ledger_buckets=64)
+
+
+@register("merge_subscriptions_ledger", _two(f"SELECT {o.plan_columns()} FROM plans_now"), SUB_DOUBLES)
+def q_merge_subscriptions_ledger(spark, sf_dir):
+    """O32 with O3 from a ledger: subscriptions after two runs."""
+    return _final(spark, sf_dir, inc.SUBSCRIPTIONS, _CFG_LEDGER).select(*SUB_COLS)
+
+
+@register("subscription_events_ledger", _two("FROM billed_2"), ["cv_value"])
+def q_subscription_events_ledger(spark, sf_dir):
+    """O3 from a ledger: run 2 reads the whole history of the subscriptions it touches from their buckets."""
+    return _final(spark, sf_dir, inc.THIS_RUN, _CFG_LEDGER).select(
+        "cv_id", "event_id", "subscription_id", "user_identifier", "user_id", "stitched_user_id", "cv_tstamp", "cv_type", "cv_value")
+
+
 @register("merge_attributions", _two("FROM channel_credits_now"), ATTR_DOUBLES)
 def q_merge_attributions(spark, sf_dir):
     """Channel attributions after two runs (upsert on composite_key)."""

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
+from ..functions.columns import ts_lit
 from ..operators import attribution as att
 from ..operators import paths as pth
 from ..operators import subscriptions as sub
@@ -43,6 +44,7 @@ PATHS_MARK = "paths"  # latest path start stored
 
 THIS_RUN = "subscription_events_this_run"
 SUBSCRIPTIONS = "subscriptions"
+LEDGER = "subscription_ledger"
 PATHS = "paths_to_conversion"
 CHANNEL_ATTR = "channel_attributions"
 CAMPAIGN_ATTR = "campaign_attributions"
@@ -99,8 +101,11 @@ def subscription_stage(spark: SparkSession, store: TableStore, inputs: Inputs, c
                        mark: dt.datetime) -> tuple[DataFrame, DataFrame, DataFrame, dt.datetime | None]:
     """O2-O6 + O32/O34: returns (this run's events, subscription updates, subscriptions table after the upsert,
     the time of the run's latest event)."""
-    touched = sub.touched_subscriptions(inputs.conversions, mark, cfg)
-    this_run, seen = observed(sub.subscription_events(inputs.conversions, touched, cfg), latest="cv_tstamp")
+    if cfg.subscription_ledger_buckets:
+        events = events_by_ledger(store, inputs, cfg, mark)
+    else:
+        events = sub.subscription_events(inputs.conversions, sub.touched_subscriptions(inputs.conversions, mark, cfg), cfg)
+    this_run, seen = observed(events, latest="cv_tstamp")
     this_run = store.overwrite(THIS_RUN, this_run.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
     updates = store.stage(SUBSCRIPTIONS, sub.build_subscriptions(this_run, cfg).withColumn(
         "subscription_start_date", F.to_date("subscription_start_tstamp")))
@@ -108,6 +113,18 @@ def subscription_stage(spark: SparkSession, store: TableStore, inputs: Inputs, c
     return this_run, updates, subs, seen.get["latest"]
 
 
+def events_by_ledger(store: TableStore, inputs: Inputs, cfg: AttributionConfig, mark: dt.datetime) -> DataFrame:
+    """O2-O3 with a ledger: events since the mark go into the buckets of their subscriptions (all events where there
+    is no ledger yet), and the history of the touched ones is read from those buckets."""
+    name = f"{LEDGER}_{cfg.subscription_ledger_buckets}"  # another number of buckets is another ledger
+    since = sub.lookback_since(mark, cfg)
+    fresh = sub.subscription_history(inputs.conversions, cfg, since if store.exists(name) else None)
+    fresh = store.stage(name, fresh.filter(F.col(cfg.subscription_id).isNotNull()).withColumn("bucket", sub.ledger_bucket(cfg)))
+    ledger = store.upsert(name, fresh, ["cv_id"], "bucket", stable_partition=True)
+    touched = store.stage("touched", fresh.filter(F.col("cv_tstamp") >= ts_lit(since)).select(cfg.subscription_id).distinct())
+    return sub.ledger_events(ledger, touched, cfg)
+
+
 def stored_dates(existing: DataFrame, this_run: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """Id and date partition of the stored paths whose id is a subscription touched this run: of the stored paths
     only the ids are read, where few are touched only of the row groups whose Bloom filter has one."""
