@@ -19,11 +19,14 @@ one cell: it costs one row for each vector.
 Two vectors are linked if their cosine in double precision reaches 0.9, and
 only pairs that share a bucket are found (recall in the README).
 
-Defined results: a vector that is null, zero, of another length than most, or
-holds a null or non-finite component links with nothing and is its own
-component. Rows without a vec_id aren't compared: no links, null component,
-kept. Repeated rows of one vec_id count as one vector, the least of theirs.
-Other columns are not read.
+Vectors of different lengths are never linked; a bucket belongs to one length,
+and each length has its own number of hashes and tables.
+
+Defined results: one row for each row. A vector that is null, zero, or holds a
+null or non-finite component links with nothing and is its own component. Rows
+without a vec_id aren't compared: no links, null component, kept. Repeated
+rows of one vec_id count as one vector, the least of theirs, and each gets its
+result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -97,25 +100,28 @@ def bucket_keys(x: np.ndarray, hashes: int, tables: int) -> np.ndarray:
     return np.stack(out, 1)
 
 
-def unit_vectors(vectors: DataFrame, column: str, size: int, hashes: int, tables: int) -> DataFrame:
-    """vec_id, unit vector (bytes of doubles) and bucket keys of the rows whose vector can be linked."""
+def unit_vectors(vectors: DataFrame, column: str, plans: dict[int, tuple[int, int]]) -> DataFrame:
+    """vec_id, unit vector (bytes of doubles) and bucket keys of the rows whose vector can be linked. ``plans`` has
+    the hashes and tables of each length; keys of different lengths differ."""
+    place = {size: k for k, size in enumerate(sorted(plans))}
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            ids, raw = batch.column(0), batch.column(1)
-            if not batch.num_rows:
-                continue
-            x = np.array(raw.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, size)
-            top = np.abs(x).max(1, keepdims=True)
-            x = x / np.where(top > 0, top, 1.0)  # or squares of huge or tiny components leave the range of doubles
-            length = np.sqrt((x * x).sum(1))
-            good = np.isfinite(length) & (length > 0)
-            x = x[good] / length[good, None]
-            keys = bucket_keys(x, hashes, tables)
-            yield from batches(((i, v.tobytes(), k) for i, v, k in zip(ids.filter(pa.array(good)).to_pylist(), x, keys)), HELD)
+            sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes).tolist():
+                own = batch.filter(pa.array(sizes == size))
+                ids, raw = own.column(0), own.column(1)
+                x = np.array(raw.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, size)
+                top = np.abs(x).max(1, keepdims=True)
+                x = x / np.where(top > 0, top, 1.0)  # or squares of huge or tiny components leave the range of doubles
+                length = np.sqrt((x * x).sum(1))
+                good = np.isfinite(length) & (length > 0)
+                x = x[good] / length[good, None]
+                keys = bucket_keys(x, *plans[size]) * len(plans) + place[size]
+                yield from batches(((i, v.tobytes(), k) for i, v, k in zip(ids.filter(pa.array(good)).to_pylist(), x, keys)), HELD)
 
     whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("x")) \
-        .filter(F.col("vec_id").isNotNull() & (F.size("x") == size) & ~F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))))
+        .filter(F.col("vec_id").isNotNull() & (F.size("x") > 0) & ~F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))))
     return whole.groupBy("vec_id").agg(F.min("x").alias("x")).mapInArrow(run, "vec_id long, v binary, keys array<long>")
 
 
@@ -150,14 +156,12 @@ def dealt(rows: DataFrame, key: str, who: str) -> DataFrame:
 
 def near_vectors(vectors: DataFrame, column: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
-    sizes = vectors.filter(F.col(column).isNotNull()).groupBy(F.size(column).alias("size")).agg(F.count("*").alias("n")) \
-        .orderBy(F.desc("n"), "size").limit(1).collect()
-    ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
-    if not sizes or not sizes[0]["size"]:
+    sizes = vectors.filter(F.size(column) > 0).groupBy(F.size(column).alias("size")).agg(F.count("*").alias("n")).collect()
+    ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
+    if not sizes:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    size, total = sizes[0]["size"], sizes[0]["n"]
     angle = math.acos(cosine)
-    held = materialize(unit_vectors(vectors, column, size, *plan(total, size, cosine)), "vectors")
+    held = materialize(unit_vectors(vectors, column, {r["size"]: plan(r["n"], r["size"], cosine) for r in sizes}), "vectors")
 
     # cells, from the first table's buckets; a crowded bucket is cut by hash, which makes more cells and loses nothing
     first = held.select(F.col("keys")[0].alias("key"), "vec_id", "v")
@@ -229,9 +233,10 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", cosine: float =
     whole = pairs.filter("all").select("a", "b")
     sums = whole.unionByName(whole.select(F.col("b").alias("a"), F.col("a").alias("b"))) \
         .join(about.select(F.col("cell").alias("b"), "size"), "b").groupBy(F.col("a").alias("cell")).agg(F.sum("size").alias("others"))
-    edges = whole.unionByName(cells.filter("vec_id != cell").select(F.col("cell").alias("a"), F.col("vec_id").alias("b")))
-    edges = edges if links is None else edges.unionByName(links)
-    named = components(edges, "a", "b").withColumnRenamed("vertex", "vec_id")
+    # components of cells; the leader of a cell has its least vec_id
+    edges = whole if links is None else whole.unionByName(links)
+    named = cells.select("vec_id", "cell").join(components(edges, "a", "b").withColumnRenamed("vertex", "cell"), "cell", "left").select(
+        "vec_id", F.coalesce("component", "cell").alias("component"))
     counted = cells.join(about.select("cell", "size"), "cell").join(sums, "cell", "left")
     counted = counted.withColumn("some", F.lit(0)) if counts is None else counted.join(counts, "vec_id", "left")
     counted = counted.select("vec_id", (F.col("size") - 1 + F.coalesce("others", F.lit(0)) + F.coalesce("some", F.lit(0))).cast("long").alias("n_links"))

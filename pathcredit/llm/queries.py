@@ -115,7 +115,7 @@ SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM held""",
     "op6_embeddings": f"""WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL),
-links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.vec_id <> b.vec_id AND CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) END >= 0.9),
 {REACH}
 SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id) AS n_links, coalesce(m, vec_id) AS component_id, coalesce(m, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN least ON v = vec_id""",

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pathcredit.llm import embeddings, maxent, minhash, packing, quality, toxicity
+from pathcredit.llm import embeddings, maxent, minhash, packing, quality, queries, toxicity
 from pathcredit.llm.common import importable, table
 
 
@@ -133,6 +133,27 @@ def test_embedding_links(spark):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_every_length_and_every_row(spark):
+    """Mixed lengths against the query's own SQL; rows of one id each have its result."""
+    import duckdb
+
+    importable(spark)
+    rng = np.random.default_rng(7)
+    rows = []
+    for size, n in ((16, 40), (15, 12), (3, 9), (1, 5)):
+        bases = rng.normal(size=(3, size))
+        for k in range(n):
+            rows.append((len(rows), [float(v) for v in bases[k % 3] + 0.02 * rng.normal(size=size)]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    con = duckdb.connect()
+    con.register("embeddings", df.toPandas())
+    want = sorted(con.execute(queries.ORACLE["op6_embeddings"]).fetchall())
+    assert sorted(map(tuple, embeddings.near_vectors(df).collect())) == want
+    assert sum(n for _, n, _, _ in want) > 300 and len({c for _, _, c, _ in want}) > 6
+    twice = embeddings.near_vectors(df.unionByName(df.limit(10)).unionByName(spark.createDataFrame([(None, [1.0])] * 2, df.schema))).collect()
+    assert len(twice) == len(rows) + 12 and sorted({tuple(r) for r in twice if r.vec_id is not None}) == want
+
+
 def test_embedding_recall_at_the_cosine():
     rng = np.random.default_rng(4)
     a = rng.normal(size=(800, 64))
