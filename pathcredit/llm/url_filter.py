@@ -6,7 +6,9 @@ label, fragment, and statistics of its host's last one and two labels: how
 many URLs share them and what share of those a rule blocks. The suffix
 statistics are counted over all URLs, in hashed buckets of a fixed number, so
 they stay small whatever the hosts. The trees learn from URLs that a rule
-labels, of which a bounded sample is read (``UrlParams.sample``).
+labels, of which a bounded sample is read (``UrlParams.sample``); a URL of the
+sample has its suffixes' statistics without those of its own fold of hosts, so
+that its label, or its host's, isn't among what it is learnt from.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
 path, fits no rule and is judged by the trees like any other. If the rules
@@ -59,6 +61,7 @@ RULES = (Rule("allow", "com/"), Rule("block", "example.com/en/"), Rule("allow",
 class UrlParams:
     sample: int = 20_000  # labelled URLs the trees learn from, at most
     buckets: int = 1024  # of hashed suffixes
+    folds: int = 5  # of hosts
     trees: int = 40
     depth: int = 3
     rate: float = 0.3
@@ -99,20 +102,17 @@ def lexical(url: str, host: str, path: str) -> list[float]:
 
 
 class Suffixes:
-    """Smoothed statistics of hashed suffixes: rows of (bucket, urls, labelled, blocked) for one and two labels."""
+    """Smoothed statistics of hashed suffixes, from counts (urls, labelled, blocked) by bucket for one and two labels."""
 
-    def __init__(self, one: dict[int, tuple], two: dict[int, tuple], buckets: int):
-        self.buckets = buckets
+    def __init__(self, one: np.ndarray, two: np.ndarray):
+        self.buckets = len(one)
         self.tables = [self.table(x) for x in (one, two)]
 
-    def table(self, found: dict[int, tuple]) -> np.ndarray:
-        out = np.zeros((self.buckets, 2))
-        labelled, blocked = sum(x[1] for x in found.values()), sum(x[2] for x in found.values())
-        prior = (blocked + 0.5) / (labelled + 1)
-        out[:, 1] = prior
-        for bucket, (n, known, bad) in found.items():
-            out[bucket] = math.log1p(n), (bad + 10 * prior) / (known + 10)
-        return out
+    @staticmethod
+    def table(counts: np.ndarray) -> np.ndarray:
+        n, known, blocked = counts.T
+        prior = (blocked.sum() + 0.5) / (known.sum() + 1)
+        return np.stack([np.log1p(n), (blocked + 10 * prior) / (known + 10)], 1)
 
     def of(self, host: str) -> list[float]:
         return [float(x) for t, b in zip(self.tables, suffixes(host, self.buckets)) for x in t[b]]
@@ -188,16 +188,22 @@ def learn(ruled: DataFrame, p: UrlParams = UrlParams()) -> tuple[Suffixes, Trees
     labels all copies of a URL alike."""
     last = F.element_at(F.split("host", "[.]"), -1)
     two = F.when(F.contains(F.col("host"), F.lit(".")), F.concat(F.element_at(F.split("host", "[.]"), -2), F.lit("."), last)).otherwise(last)
-    stats = []
+    fold = F.crc32(F.concat(F.lit("fold "), "host").cast("binary")) % p.folds
+    counts = []
     for name in (last, two):
-        rows = ruled.groupBy((F.crc32(name.cast("binary")) % p.buckets).alias("bucket")).agg(
+        rows = ruled.groupBy((F.crc32(name.cast("binary")) % p.buckets).alias("bucket"), fold.alias("fold")).agg(
             F.count("*").alias("n"), F.count("verdict").alias("known"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked")).collect()
-        stats.append({r["bucket"]: (r["n"], r["known"], r["blocked"]) for r in rows})
-    found = Suffixes(*stats, p.buckets)
+        held = np.zeros((p.folds, p.buckets, 3), np.int64)
+        for r in rows:
+            held[r["fold"], r["bucket"]] = r["n"], r["known"], r["blocked"]
+        counts.append(held)
+    found = Suffixes(*(c.sum(0) for c in counts))
+    without = [Suffixes(*(c.sum(0) - c[k] for c in counts)) for k in range(p.folds)]
     labelled = ruled.filter("verdict is not null").select("url", "host", "path", "verdict")
     n = labelled.agg(F.approx_count_distinct("url", 0.02).alias("n")).first()["n"]
     sample = smallest(labelled.distinct(), "url", n, p.sample).collect()  # the bound on the hash comes before the shuffle
-    x = np.array([lexical(r["url"], r["host"], r["path"]) + found.of(r["host"]) for r in sample]).reshape(len(sample), len(lexical("", "", "")) + 4)
+    own = lambda host: without[zlib.crc32(f"fold {host}".encode()) % p.folds]
+    x = np.array([lexical(r["url"], r["host"], r["path"]) + own(r["host"]).of(r["host"]) for r in sample]).reshape(len(sample), len(lexical("", "", "")) + 4)
     return found, Trees(p).fit(x, np.array([float(r["verdict"] == "block") for r in sample]))
 
 

@@ -158,12 +158,30 @@ def test_url_rules(spark, sf_small):
     assert url_filter.judge(none).count() == 0
 
 
+def test_suffix_statistics_are_learnt_from_other_hosts(spark):
+    """Where each host alone tells its label, its own labels aren't in its features: trees can't repeat them, and
+    URLs of hosts that no rule knows are judged by what other hosts have in common."""
+    importable(spark)
+    r = random.Random(4)
+    hosts = [f"h{i}.{'bad' if i % 2 else 'good'}" for i in range(60)]
+    rules = tuple(url_filter.Rule("block" if h.endswith("bad") else "allow", h + "/") for h in hosts[:40])
+    rows = [(k, f"http://{r.choice(hosts)}/{r.randint(0, 999)}") for k in range(1500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {x.page_id: x for x in url_filter.judge(pages, rules).collect()}
+    held_out = [x for x in got.values() if x.rule is None]
+    assert len(held_out) > 300 and all((x.verdict == "block") == x.host.endswith("bad") for x in held_out)
+    alone = tuple(url_filter.Rule("block" if i % 3 == 0 else "allow", f"x{i}.s{i}/") for i in range(40))
+    pages = spark.createDataFrame([(k, f"http://x{k % 60}.s{k % 60}/a") for k in range(1200)], "page_id long, url string")
+    scores = [x.score for x in url_filter.judge(pages, alone).collect() if x.rule is None]
+    assert max(scores) < 0.5  # with the hosts' own shares as features, trees would tell labels of single hosts apart by them
+
+
 def test_trees_learn_held_out_urls():
     r = random.Random(5)
     urls = [(f"http://h{r.randint(0, 99)}.x/{r.randint(0, 9)}", 0.0) for _ in range(600)] + \
            [(f"http://h-{r.randint(0, 10**9)}-{r.randint(0, 10**9)}.x/a/b/c?{'&'.join('k=1' for _ in range(r.randint(2, 6)))}", 1.0) for _ in range(600)]
     r.shuffle(urls)
-    none = url_filter.Suffixes({}, {}, 8)
+    none = url_filter.Suffixes(np.zeros((8, 3), int), np.zeros((8, 3), int))
     rows = [url_filter.lexical(u, *plain_rule(u)[:2]) + none.of(plain_rule(u)[0]) for u, _ in urls]
     x, y = np.array(rows), np.array([v for _, v in urls])
     p = url_filter.Trees(url_filter.UrlParams()).fit(x[:800], y[:800]).predict(x[800:])
