@@ -3,7 +3,12 @@ near-duplicate group stays, and what is left is packed into sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's docs. All but the last return
-the columns of ``documents``.
+the columns of ``documents``, whatever others the table has besides.
+
+Defined results: documents with a null, empty or blank text fail the base rules
+of the second stage, like any of under 50 words; rows without a doc_id are
+judged by their text and all stay where it passes; of rows with one doc_id the
+third stage keeps one; empty tables give no rows. Long texts are judged whole.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pathcredit.llm import minhash, packing, quality, toxicity
 from pathcredit.llm.common import importable, table
-from pathcredit.session import materialize
+from pathcredit.session import delete_path, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +49,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize(stage(spark, docs, sf_dir), name, written)
+    for done in written[:-1]:  # every stage is written in full
+        delete_path(spark, done)
     return docs
