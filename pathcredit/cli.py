@@ -115,7 +115,7 @@ def main(argv: list[str] | None = None) -> int:
         rep = inc.run_incremental(spark, _inputs(spark, args, events), args.state, cfg)
         print(json.dumps({"run_id": rep.run_id, "first_paths_build": rep.first_paths_build,
                           "subscriptions_mark": str(rep.subscriptions_mark),
-                          "attribution_mark": str(rep.attribution_mark), "timings": rep.timings}))
+                          "attribution_mark": str(rep.attribution_mark), "timings": rep.timings, "notes": rep.notes}))
         return 0
     tables = {t: inc.read_table(spark, args.state, t) for t in (inc.CHANNEL_ATTR, inc.CAMPAIGN_ATTR, inc.SUBSCRIPTIONS)}
     if any(v is None for v in tables.values()):

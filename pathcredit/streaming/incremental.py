@@ -95,6 +95,7 @@ class RunReport:
     attribution_mark: dt.datetime | None
     first_paths_build: bool
     timings: dict[str, float]
+    notes: tuple[str, ...] = ()
 
 
 def subscription_stage(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: AttributionConfig,
@@ -225,7 +226,22 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
     store.clear_stages()
     lap("manifest_advance")
     now = manifest.read()
-    return RunReport(run_id, new_sub_mark, now.get(PATHS_MARK), now.get(ATTRIBUTION_MARK), existing is None, timings)
+    return RunReport(run_id, new_sub_mark, now.get(PATHS_MARK), now.get(ATTRIBUTION_MARK), existing is None, timings,
+                     notes_on(cfg) if existing is not None else ())
+
+
+def notes_on(cfg: AttributionConfig) -> tuple[str, ...]:
+    """What the settings kept for parity mean for a run that merges into stored tables."""
+    out = []
+    if not cfg.attribution_replace_by_conversion:
+        out.append("attributions are merged by composite key: where late views changed a conversion's path, its old rows can stay beside "
+                   "the new ones and its credit exceed 1; attribution_replace_by_conversion replaces whole conversions")
+    if not cfg.pad_touchpoints:
+        out.append("conversions before the latest path start lack touches of before the bound, and their stored paths are replaced by such "
+                   "shorter ones; pad_touchpoints reads every conversion's whole window")
+    if cfg.subscription_ledger_buckets:
+        out.append("subscription events later than the late-arrival window aren't in the ledger")
+    return tuple(out)
 
 
 @dataclass

@@ -84,7 +84,7 @@ def test_first_run_builds_everything(spark, sf_small):
     inputs = fx.load_inputs(spark, sf_small)
     state = new_state_dir(spark, "test-first")
     rep = inc.run_incremental(spark, inputs, state, Q.BASE_CFG, "only")
-    assert rep.first_paths_build
+    assert rep.first_paths_build and rep.notes == ()
     subs = inc.read_table(spark, state, inc.SUBSCRIPTIONS)
     assert subs.count() == 43  # every subscription (FIXTURES.md: 43 distinct at sf0.001)
 
@@ -147,3 +147,9 @@ def test_cli_run_and_report(spark, sf_small, capsys):
     rows = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
     assert rows and {"path_type", "attribution_type", "touch_point", "ROAS"} <= set(rows[0])
     assert {r["attribution_type"] for r in rows} == set(Q.MODELS)
+
+
+def test_a_merging_run_notes_what_parity_means(spark, sf_small):
+    assert len(inc.notes_on(Q.BASE_CFG)) == 2 and "composite key" in inc.notes_on(Q.BASE_CFG)[0]
+    assert inc.notes_on(Q.BASE_CFG.with_(attribution_replace_by_conversion=True, pad_touchpoints=True)) == ()
+    assert "ledger" in inc.notes_on(Q.BASE_CFG.with_(subscription_ledger_buckets=8))[-1]
