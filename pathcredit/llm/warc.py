@@ -125,8 +125,8 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0, date: str =
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """header and (compressed) payload of every record, joined by digest; a payload that is missing is null."""
-    return spark.read.parquet(f"{path}/headers").join(spark.read.parquet(f"{path}/payloads"), "sha256", "left").select("header", "payload")
+    """header, (compressed) payload and its key of every record, joined by the key; a payload that is missing is null."""
+    return spark.read.parquet(f"{path}/headers").join(spark.read.parquet(f"{path}/payloads"), "sha256", "left").select("header", "payload", "sha256")
 
 
 def rebuilt(head: bytes, payload: bytes) -> tuple[bytes, dict[str, str]]:
@@ -140,10 +140,12 @@ def rebuilt(head: bytes, payload: bytes) -> tuple[bytes, dict[str, str]]:
     return head[:start] + block + b"\r\n\r\n", fields
 
 
-def _whole(head: bytes, packed: bytes | None) -> tuple[bytes, bytes, dict[str, str]]:
+def _whole(head: bytes, packed: bytes | None, key: bytes) -> tuple[bytes, bytes, dict[str, str]]:
     if packed is None:
         raise ValueError("a record's payload is missing from the archive")
     payload = zstandard.ZstdDecompressor().decompress(packed)
+    if hashlib.sha256(payload).digest() != key:
+        raise ValueError(f"the payload stored under {key.hex()} has another SHA-256")
     return (payload, *rebuilt(head, payload))
 
 
@@ -152,8 +154,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(batch):
-            for head, packed in zip(batch.column(0), batch.column(1)):
-                payload, record, told = _whole(head.as_py(), packed.as_py())
+            for row in zip(*batch.columns):
+                payload, record, told = _whole(*(x.as_py() for x in row))
                 yield (_number(told.get("x-page-id")), len(payload), told["warc-payload-digest"].removeprefix("sha1:"), told["warc-type"],
                        _number(told.get("x-refers-to-page-id")), told.get("warc-target-uri"), len(record))
 
@@ -169,7 +171,7 @@ def export(spark: SparkSession, path: str, out: str, records_a_file: int = 10_00
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("record", pa.binary())])
         for batch in rows:
-            yield from batches(((_whole(h.as_py(), p.as_py())[1][:-1],) for h, p in zip(batch.column(0), batch.column(1))), schema, 1024)
+            yield from batches(((_whole(*(x.as_py() for x in row))[1][:-1],) for row in zip(*batch.columns)), schema, 1024)
 
     records(spark, path).mapInArrow(run, "record binary").select(F.col("record").cast("string")) \
         .write.option("compression", "gzip").option("maxRecordsPerFile", records_a_file).text(out)

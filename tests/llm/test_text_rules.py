@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from pathcredit.llm import quality, toxicity, url_filter, warc
 from pathcredit.llm.common import importable, table
@@ -218,6 +219,12 @@ def test_warc_verifies_and_takes_empty_tables(spark):
     assert warc.rebuilt(head, b"x")[0].endswith(b"x\r\n\r\n")
     with pytest.raises(ValueError, match="digest"):
         warc.rebuilt(head, b"y")
+    same = zstandard.ZstdCompressor().compress(b"x")
+    assert warc._whole(head, same, hashlib.sha256(b"x").digest())[0] == b"x"
+    with pytest.raises(ValueError, match="another SHA-256"):  # though the header's own digest fits
+        warc._whole(head, same, hashlib.sha256(b"y").digest())
+    with pytest.raises(ValueError, match="missing"):
+        warc._whole(head, None, b"")
     path = new_state_dir(spark, "warc")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read_archive(spark, path).count() == 0
