@@ -171,8 +171,19 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
                     run_id: str | None = None) -> RunReport:
     """One scheduled run over the inputs, merging into the tables in
     ``state_dir``. Safe to repeat after a failure."""
-    run_id = run_id or uuid.uuid4().hex[:12]
     store = TableStore(spark, state_dir)
+    if inputs.user_mapping is None or cfg.conversion_stitching:
+        return _run(spark, store, inputs, cfg, run_id or uuid.uuid4().hex[:12])
+    # Devices are assigned to customers once, by buckets that views, conversions and subscriptions join unshuffled.
+    mapping, assigned = bucketed(inputs.user_mapping.select("user_identifier", "user_id"), "user_identifier", "pathcredit_mapping",
+                                 "user mapping", store.stage_path("mapping"))
+    try:
+        return _run(spark, store, replace(inputs, user_mapping=mapping), cfg, run_id or uuid.uuid4().hex[:12])
+    finally:
+        forget(spark, assigned)
+
+
+def _run(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: AttributionConfig, run_id: str) -> RunReport:
     manifest = Manifest(store)
     timings: dict[str, float] = {}
     clock = time.perf_counter()
@@ -190,12 +201,6 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
     this_run, _, subs, latest = subscription_stage(spark, store, inputs, cfg, sub_mark)
     lap("subscriptions")
 
-    # Devices are assigned to customers once, by buckets that views, conversions and subscriptions join unshuffled.
-    assigned = None
-    if inputs.user_mapping is not None and not cfg.conversion_stitching:
-        mapping, assigned = bucketed(inputs.user_mapping.select("user_identifier", "user_id"), "user_identifier", "pathcredit_mapping",
-                                     "user mapping", store.stage_path("mapping"))
-        inputs = replace(inputs, user_mapping=mapping)
     existing = store.read(PATHS)
     path_mark = marks.get(PATHS_MARK) if existing is not None else None
     dates = store.stage("dates", stored_dates(existing, this_run, cfg)) if path_mark is not None else None
@@ -221,8 +226,6 @@ def run_incremental(spark: SparkSession, inputs: Inputs, state_dir: str, cfg: At
 
     new_sub_mark = max(sub_mark, latest) if latest is not None else sub_mark
     manifest.advance({SUBSCRIPTIONS_MARK: new_sub_mark, ATTRIBUTION_MARK: seen.get["last"], PATHS_MARK: seen.get["start"]}, run_id)
-    if assigned:
-        forget(spark, assigned)
     store.clear_stages()
     lap("manifest_advance")
     now = manifest.read()
