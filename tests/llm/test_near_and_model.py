@@ -222,3 +222,19 @@ def test_pipeline_against_its_parts(spark, sf_small):
     for r in got:
         by_doc[r.doc_id] += r.length
     assert all(by_doc[i] == n for i, n in want)
+
+
+def test_counts_return_to_their_blocks_whole():
+    """Bundled by block in heaps of any size, every word's count and mark comes back."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    rows = {(int(b), int(w)): int(c) for b, w, c in zip(rng.integers(0, 9, 4000), rng.integers(0, 2000, 4000), rng.integers(0, 1 << 40, 4000))}
+    table_ = pa.table({"block": [b for b, _ in rows], "word": [w for _, w in rows], "c": list(rows.values())})
+    for most in (1, 700, 1 << 20):
+        back = {}
+        for batch in maxent.bundles(iter(table_.to_batches(max_chunksize=333)), most):
+            for block, told in zip(*(x.to_pylist() for x in batch.columns)):
+                steps, counts = maxent.unsqueezed(told)
+                back |= {(block, w): c for w, c in zip(np.cumsum(steps).tolist(), counts.tolist())}
+        assert back == rows
