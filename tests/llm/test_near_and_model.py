@@ -238,3 +238,19 @@ def test_counts_return_to_their_blocks_whole():
                 steps, counts = maxent.unsqueezed(told)
                 back |= {(block, w): c for w, c in zip(np.cumsum(steps).tolist(), counts.tolist())}
         assert back == rows
+
+
+def test_maxent_sums_and_chances_do_not_depend_on_their_pieces():
+    """All lines of features are summed at once, and chances come piece by piece, as if made whole."""
+    r = np.random.default_rng(3)
+    weights = r.normal(size=(50, 6)).astype(np.float32)
+    features = r.integers(0, 49, (4, 501))
+    chances = maxent.softmax(weights, features, most=7)
+    assert (chances == maxent.softmax(weights, features, most=10_000)).all()
+    z = weights[features].sum(0, dtype=np.float64) + weights[-1]
+    assert np.allclose(chances, np.exp(z) / np.exp(z).sum(1, keepdims=True), atol=1e-5)
+    into, wanted = np.zeros((50, 6)), np.zeros((50, 6))
+    maxent.summed(into, features, chances)
+    for f in features:
+        np.add.at(wanted, f, chances)
+    assert np.allclose(into, wanted, atol=1e-4)
