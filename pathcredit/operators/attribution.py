@@ -54,22 +54,24 @@ def attribute(paths: DataFrame, dim: str, cfg: AttributionConfig | None = None)
     """One row per (conversion, position in its transformed path)."""
     if dim not in DIMENSIONS:
         raise ValueError(f"dimension must be one of {DIMENSIONS}")
-    arr = f"{dim}_transformed_path"
-    x = paths.select(
+    arr = F.col(f"{dim}_transformed_path")
+    # a path's text and length once for each conversion, not for each of its touches
+    one = paths.select(
         "cv_id", "event_id", "customer_id", "cv_tstamp", "cv_type",
         F.col("revenue").cast("double").alias("cv_total_revenue"),
-        F.col(arr).alias("_arr"),
-        F.posexplode_outer(arr).alias("_pos", "_touch"),
+        arr.alias("_arr"),
+        path_to_string(arr).alias("_text"),
+        F.when(arr.isNotNull(), F.size(arr)).cast("bigint").alias("_n"),  # size(null) depends on the session
     )
-    idx = F.col("_pos").cast("bigint")
-    n = F.when(F.col("_arr").isNotNull(), F.size("_arr")).cast("bigint")  # size(null) depends on the session
+    x = one.select("*", F.posexplode_outer("_arr").alias("_pos", "_touch"))
+    idx, n = F.col("_pos").cast("bigint"), F.col("_n")
     w = weights(idx, n)
     out = x.select(
         F.concat(F.col("cv_id"), F.col("_touch"), idx.cast("string")).alias("composite_key"),
         "cv_id", "event_id", "customer_id", "cv_tstamp", "cv_type",
         F.to_date("cv_tstamp").alias("cv_tstamp_date"),
         "cv_total_revenue",
-        path_to_string(F.col("_arr")).alias(f"{dim}_transformed_path"),
+        F.col("_text").alias(f"{dim}_transformed_path"),
         F.col("_touch").cast("string").alias(dim),
         idx.alias("source_index"),
         n.alias("path_length"),

@@ -133,7 +133,9 @@ def paths_to_conversion(convs: DataFrame, touchpoints: DataFrame, cfg: Attributi
     Both paths come from the same sorted touches (visit time, then view id), so
     they are aligned element by element even when visit times tie.
     """
-    grouped = path_segments(convs, touchpoints, cfg).groupBy(*CONVERSION_COLUMNS).agg(
+    # the order within a segment stands: only labels are shuffled
+    labels = F.transform("_segment", lambda x: F.struct(x["channel"].alias("channel"), x["campaign"].alias("campaign")))
+    grouped = path_segments(convs, touchpoints, cfg).withColumn("_segment", labels).groupBy(*CONVERSION_COLUMNS).agg(
         F.array_sort(F.collect_list(F.struct("_block", "_segment"))).alias("_t"))
     grouped = grouped.withColumn("_t", F.flatten(F.transform("_t", lambda x: x["_segment"])))
     out = grouped.select(
