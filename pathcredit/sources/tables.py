@@ -6,9 +6,10 @@ by plain DataFrame writes and reads, with a keyed upsert.
     <root>/manifest/write=<n>/                       the high-water marks of that run, written last
 
 MERGE INTO needs a lakehouse catalog (Delta / Iceberg), which is not available
-here. The upsert (O32) is a DataFrame expression over the date partitions that
-it changes: their rows without the updated keys, union the updates (new columns
-are appended, O33), written under the next number. Readers take each partition
+here. The upsert (O32) writes the updates under the next number (new columns are
+appended, O33) and beside them, into the same folder, those rows of the date
+partitions it changes whose keys aren't updated. Which rows stay is found on
+keys alone; only rows that stay are read whole and written again. Readers take each partition
 from the write that the contents of the last finished run name, a filter on the
 two partition columns. A run that stops before its manifest is there changes
 nothing that readers see, and its repetition has the same numbers and
@@ -21,11 +22,11 @@ import json
 import uuid
 from dataclasses import dataclass, replace
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +69,7 @@ class TableStore:
         self.number = done + 1
         self.marks = [tuple(r)[:-1] for r in told if r[WRITE] == done]
         self.tables = self._contents(done)
+        self._updates: dict[str, DataFrame] = {}
 
     # -- what is there ----------------------------------------------------------
     def _rows(self, where: str, schema) -> list:
@@ -119,14 +121,15 @@ class TableStore:
         return rows.filter(reduce(or_, [self._held(stored, n) for n in writes])).select(*schema.names)
 
     # -- writes -----------------------------------------------------------
-    def _write(self, df: DataFrame, name: str, date_column: str | None, key: Sequence[str] = ()) -> None:
+    def _write(self, df: DataFrame, name: str, date_column: str | None, key: Sequence[str] = (), dealt: bool = False,
+               mode: str = "overwrite") -> None:
         where = f"{self.path(name)}/{WRITE}={self.number}"
-        if date_column is not None:
+        if date_column is not None and not dealt:
             # REBALANCE on the partition column: AQE coalesces small output
             # partitions (few files per date) and splits skewed ones (a date
             # holding a large share of rows is written by several tasks).
             df = df.hint("rebalance", date_column)
-        writer = df.write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer = df.write.mode(mode).option("parquet.bloom.filter.adaptive.enabled", "true")
         for k in key:
             writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
         (writer.partitionBy(date_column) if date_column else writer).parquet(where)
@@ -136,13 +139,14 @@ class TableStore:
         self.number += 1
         return self.read(name)
 
-    def overwrite(self, name: str, df: DataFrame, date_column: str | None = None, key: Sequence[str] = ()) -> DataFrame:
+    def _written(self, name: str, schema: T.StructType) -> DataFrame:
+        """What the write in progress holds so far; files added later aren't seen."""
+        return self.spark.read.schema(schema).parquet(f"{self.path(name)}/{WRITE}={self.number}").select(*schema.names)
+
+    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
         """Replace the whole table (the table of this run's events)."""
-        self._write(df, name, date_column, key)
-        if date_column is None:
-            return self._now(name, df.schema, None, {None: self.number})
-        written = self.spark.read.schema(df.schema).parquet(f"{self.path(name)}/{WRITE}={self.number}")
-        return self._now(name, df.schema, date_column, dict.fromkeys(self._values(written, date_column), self.number))
+        self._write(df, name, None)
+        return self._now(name, df.schema, None, {None: self.number})
 
     def stage_path(self, name: str) -> str:
         return f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:12]}"
@@ -157,46 +161,75 @@ class TableStore:
         delete_path(self.spark, f"{self.root}/_staging")
 
     def upsert(self, name: str, updates: DataFrame, key: Sequence[str], date_column: str,
-               stable_partition: bool = False, date_limited: bool = False, unique: str | None = None) -> DataFrame:
-        """Replace whole rows whose key is in ``updates`` (a staged
-        table: it is read several times), insert the others, delete nothing.
-        Returns the table as read back.
-
-        Older rows of an updated key are looked for in the whole table (of which
-        only the key is read); with ``date_limited`` in the partitions from the
+               stable_partition: bool = False, date_limited: bool = False, unique: str | None = None,
+               dealt: bool = False) -> DataFrame:
+        """Replace whole rows whose key is in ``updates``, insert the
+        others, delete nothing. Returns the table as read back. The updates are
+        computed once, as they are written (``dealt``: they come in tasks of few
+        dates and moderate size, and aren't shuffled for it); ``updates`` has
+        them as read back.
+
+        Older rows of an updated key are looked for in all partitions (of which
+        only the key is read); with ``date_limited`` in those from the
         updates' first date to their last; with ``stable_partition`` (a key
         never changes its date) in the updates' own partitions only, without a
         scan to find them. With ``unique`` (what the updates are) a key that
         occurs twice among them is an error; the keys' join counts them."""
         key = list(key)
         target = self.read(name)
-        if target is None:
-            if unique:
-                require_unique(updates, key, unique)
-            return self.overwrite(name, updates, date_column, key)
-        dates = self._values(updates, date_column)
-        if not dates:  # no updates
+        schema = updates.schema if target is None else target.unionByName(updates, allowMissingColumns=True).schema
+        updates = updates.select(*[F.col(c).cast(schema[c].dataType) for c in updates.columns])
+        self._write(updates, name, date_column, key, dealt)
+        new = self._updates[name] = self._written(name, updates.schema)
+        dates = self._values(new, date_column)
+        if target is not None and not dates:  # no updates
             return target
-        keys = updates.select(*key).distinct()
+        parts = self.tables[name].parts if target is not None else {}
+        keys = new.select(*key)
         if not stable_partition:
+            # partitions without updates that may hold an older row of an updated key
             known = [d for d in dates if d is not None]
-            near = target
-            if date_limited:
-                within = F.col(date_column).cast("string").between(min(known), max(known)) if known else F.lit(False)
-                near = target.filter(within | F.col(date_column).isNull())
-            dates |= self._values(rows_of_keys(near.select(*key, date_column), keys, key), date_column)
-        known = sorted(d for d in dates if d is not None)
-        touched = F.col(date_column).cast("string").isin(known)
-        if None in dates:
-            touched = touched | F.col(date_column).isNull()
-        seen = Observation()
-        counted = updates.groupBy(*key).count().observe(seen, F.max("count").alias("most")).select(*key)
-        kept = target.filter(touched).join(counted, key, "left_anti")
-        content = kept.unionByName(updates, allowMissingColumns=True)
-        self._write(content, name, date_column, key)
-        if unique and (seen.get["most"] or 0) > 1:
-            require_unique(updates, key, unique)
-        return self._now(name, content.schema, date_column, self.tables[name].parts | dict.fromkeys(dates, self.number))
+            others = {d for d in parts if d not in dates
+                      and (not date_limited or d is None or (known and min(known) <= d <= max(known)))}
+            if others:
+                near = target.filter(self._among(date_column, others))
+                dates |= self._values(rows_of_keys(near.select(*key, date_column), keys, key), date_column)
+        changed = {d for d in dates if d in parts}
+        if changed:
+            kept = self._kept(target.filter(self._among(date_column, changed)), keys, key, unique)
+            if kept is not None:
+                kept = kept.select(*[F.col(c).cast(schema[c].dataType) for c in kept.columns])
+                self._write(kept, name, date_column, key, mode="append")
+        elif unique:
+            require_unique(keys, key, unique)
+        return self._now(name, schema, date_column, parts | dict.fromkeys(dates, self.number))
+
+    def updates(self, name: str) -> DataFrame:
+        """The rows of this run's upsert into a table."""
+        return self._updates[name]
+
+    def _kept(self, rows: DataFrame, keys: DataFrame, key: list[str], unique: str | None) -> DataFrame | None:
+        """The rows whose key isn't among ``keys``; ``None`` if there are none. Which keys those are is found on keys
+        alone: where a run replaces nearly all rows, as one over its lookback does, no old row is read whole."""
+        if unique:
+            counted = self.stage("keys", keys.groupBy(*key).count())
+            if not counted.filter("count > 1").isEmpty():
+                require_unique(keys, key, unique)
+            keys = counted.select(*key)
+        else:
+            keys = keys.distinct()
+        stay = self.stage("kept", rows.select(*key).distinct().join(keys, key, "left_anti"))
+        n = stay.count()
+        if not n:
+            return None
+        if 2 * n > rows.count():
+            return rows.join(keys, key, "left_anti")
+        return rows.join(stay, reduce(and_, [rows[k].eqNullSafe(stay[k]) for k in key]), "left_semi")
+
+    @staticmethod
+    def _among(date_column: str, dates: set[str | None]) -> Column:
+        test = F.col(date_column).cast("string").isin(sorted(d for d in dates if d is not None))
+        return test | F.col(date_column).isNull() if None in dates else test
 
     @staticmethod
     def _values(df: DataFrame, col: str) -> set[str | None]:
@@ -238,8 +271,10 @@ def rows_of_keys(rows: DataFrame, keys: DataFrame, key: Sequence[str], few: int
     """The rows whose key is among ``keys``. A few keys are read on the driver and become equality tests, which
     skip every stored row group whose Bloom filter lacks them; more are joined."""
     first = key[0]
-    told = keys.select(first).distinct().limit(few + 1).collect()
-    if len(told) <= few:
+    # an estimate without a shuffle tells whether it's worth collecting them
+    told = keys.agg(F.approx_count_distinct(first)).first()[0]
+    told = keys.select(first).distinct().limit(few + 1).collect() if told <= 2 * few else None
+    if told is not None and len(told) <= few:
         values = [r[0] for r in told if r[0] is not None]
         # tests of ten, as many as are pushed to the files one by one
         tests = [F.col(first).isin(*values[a : a + 10]) for a in range(0, len(values), 10)]

@@ -77,6 +77,19 @@ def observed(df: DataFrame, **columns: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *[F.max(c).alias(k) for k, c in columns.items()]), seen
 
 
+def touches_observed(scope: DataFrame) -> tuple[DataFrame, Observation]:
+    """Paths with the number of their touches observed for each dimension."""
+    seen = Observation()
+    return scope.observe(seen, *[F.sum(F.size(F.coalesce(f"{d}_transformed_path", F.array()))).alias(d) for d in att.DIMENSIONS]), seen
+
+
+def dealt_by_date(scope: DataFrame, touches: int, most: int = 500_000) -> DataFrame:
+    """Paths in the order of their dates, in tasks of about ``most`` touches: unnested there, their rows are written
+    by date without a shuffle of their own (each row has its whole path's text)."""
+    n = max(scope.sparkSession.sparkContext.defaultParallelism, -(-touches // most))
+    return scope.repartitionByRange(n, F.to_date("cv_tstamp"), "cv_id")
+
+
 def low_water(df: DataFrame | None, col: str) -> dt.datetime | None:
     if df is None:
         return None
@@ -108,10 +121,9 @@ def subscription_stage(spark: SparkSession, store: TableStore, inputs: Inputs, c
         events = sub.subscription_events(inputs.conversions, sub.touched_subscriptions(inputs.conversions, mark, cfg), cfg)
     this_run, seen = observed(events, latest="cv_tstamp")
     this_run = store.overwrite(THIS_RUN, this_run.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
-    updates = store.stage(SUBSCRIPTIONS, sub.build_subscriptions(this_run, cfg).withColumn(
-        "subscription_start_date", F.to_date("subscription_start_tstamp")))
+    updates = sub.build_subscriptions(this_run, cfg).withColumn("subscription_start_date", F.to_date("subscription_start_tstamp"))
     subs = store.upsert(SUBSCRIPTIONS, updates, [cfg.subscription_id], "subscription_start_date")
-    return this_run, updates, subs, seen.get["latest"]
+    return this_run, store.updates(SUBSCRIPTIONS), subs, seen.get["latest"]
 
 
 def events_by_ledger(store: TableStore, inputs: Inputs, cfg: AttributionConfig, mark: dt.datetime) -> DataFrame:
@@ -120,9 +132,9 @@ def events_by_ledger(store: TableStore, inputs: Inputs, cfg: AttributionConfig,
     name = f"{LEDGER}_{cfg.subscription_ledger_buckets}"  # another number of buckets is another ledger
     since = sub.lookback_since(mark, cfg)
     fresh = sub.subscription_history(inputs.conversions, cfg, since if store.exists(name) else None)
-    fresh = store.stage(name, fresh.filter(F.col(cfg.subscription_id).isNotNull()).withColumn("bucket", sub.ledger_bucket(cfg)))
+    fresh = fresh.filter(F.col(cfg.subscription_id).isNotNull()).withColumn("bucket", sub.ledger_bucket(cfg))
     ledger = store.upsert(name, fresh, ["cv_id"], "bucket", stable_partition=True)
-    touched = store.stage("touched", fresh.filter(F.col("cv_tstamp") >= ts_lit(since)).select(cfg.subscription_id).distinct())
+    touched = store.stage("touched", store.updates(name).filter(F.col("cv_tstamp") >= ts_lit(since)).select(cfg.subscription_id).distinct())
     return sub.ledger_events(ledger, touched, cfg)
 
 
@@ -215,13 +227,14 @@ def _run(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: Attributio
     # Everything stored later than an older mark came in with some run's updates,
     # so the new marks follow from the old ones and this run's updates.
     attr_mark = marks.get(ATTRIBUTION_MARK)
-    scope = store.stage("scope", att.attribution_scope(paths, updates, this_run, attr_mark, cfg))
+    scope, touches = touches_observed(att.attribution_scope(paths, updates, this_run, attr_mark, cfg))
+    scope = store.stage("scope", scope)
     for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
         # A conversion keeps its date, so keyed by cv_id the partition is stable;
         # composite keys can collide across conversions: look through the updates' dates.
-        rows = store.stage(table, att.attribute(scope, dim, cfg))
-        store.upsert(table, rows, attribution_key(cfg), "cv_tstamp_date",
-                     stable_partition=cfg.attribution_replace_by_conversion, date_limited=True)
+        rows = att.attribute(dealt_by_date(scope, touches.get[dim] or 0), dim, cfg)
+        store.upsert(table, rows, attribution_key(cfg), "cv_tstamp_date", stable_partition=cfg.attribution_replace_by_conversion,
+                     date_limited=True, dealt=True)
         lap(f"{dim}_attributions")
 
     new_sub_mark = max(sub_mark, latest) if latest is not None else sub_mark
