@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
@@ -18,6 +18,8 @@ from ..functions.columns import path_to_string, ts_lit, weights
 from .paths import PATH_COLUMNS
 
 DIMENSIONS = ("channel", "campaign")
+#: What attribution reads of a path.
+PATH_INPUT = ("cv_id", "event_id", "customer_id", "cv_tstamp", "cv_type", "revenue", *[f"{d}_transformed_path" for d in DIMENSIONS])
 
 
 def attribution_columns(dim: str) -> tuple[str, ...]:
@@ -50,6 +52,21 @@ def attribution_scope(paths: DataFrame, updates: DataFrame | None, this_run: Dat
     return recent.select(*PATH_COLUMNS).unionByName(older.select(*PATH_COLUMNS))
 
 
+def paths_held(paths: DataFrame, dim: str) -> tuple[dict[str, Column], DataFrame]:
+    """What tells an attribution row's whole path (conversion, length and the digest of its text), and these of the
+    given paths: a stored row of one of them has the key of the same row made anew, as the text can be read back. Not
+    so with null labels, which a text leaves out."""
+    arr = F.col(f"{dim}_transformed_path")
+
+    def digest(text: Column) -> Column:
+        return F.unhex(F.sha2(text, 256))
+
+    told = {"_path_of": F.col("cv_id"), "_path_size": F.col("path_length"), "_path_text": digest(arr)}
+    clear = paths.filter(~F.exists(arr, lambda x: x.isNull()))
+    return told, clear.select(F.col("cv_id").alias("_path_of"), F.size(arr).cast("bigint").alias("_path_size"),
+                              digest(path_to_string(arr)).alias("_path_text"))
+
+
 def attribute(paths: DataFrame, dim: str, cfg: AttributionConfig | None = None) -> DataFrame:
     """One row per (conversion, position in its transformed path)."""
     if dim not in DIMENSIONS:

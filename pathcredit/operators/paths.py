@@ -111,8 +111,8 @@ def _leading(touches: Column, holds) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(touches).alias("high")), halve, lambda span: span["low"])
 
 
-def path_segments(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """O15 join: one row per conversion and block that holds touches of its path, with those touches in order."""
+def _cut_blocks(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """One row per conversion and block that holds touches of its path: the block's touches, and which of them."""
     L, B = cfg.path_lookback_days, cfg.join_bucket_days
     cv, blocks = _blocks_of(convs, cfg), touch_blocks(convs, touchpoints, cfg)
     both = cv.join(blocks, (cv["customer_id"] == blocks["_customer"]) & (cv["_block"] == blocks["_block"]), "inner").drop(blocks["_block"])
@@ -122,8 +122,16 @@ def path_segments(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConf
     until = (F.when((F.col("_block") + 1) * B > F.col("_cv_day"), _leading(touches, lambda visit: visit <= F.col("cv_tstamp")))
              .otherwise(F.size(touches)))
     cut = both.select(*CONVERSION_COLUMNS, "_block", "_touches", before.alias("_before"), until.alias("_until"))
-    return cut.filter(F.col("_until") > F.col("_before")).select(
-        *CONVERSION_COLUMNS, "_block", F.slice("_touches", F.col("_before") + 1, F.col("_until") - F.col("_before")).alias("_segment"))
+    return cut.filter(F.col("_until") > F.col("_before"))
+
+
+def _segment() -> Column:
+    return F.slice("_touches", F.col("_before") + 1, F.col("_until") - F.col("_before"))
+
+
+def path_segments(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """O15 join: one row per conversion and block that holds touches of its path, with those touches in order."""
+    return _cut_blocks(convs, touchpoints, cfg).select(*CONVERSION_COLUMNS, "_block", _segment().alias("_segment"))
 
 
 def paths_to_conversion(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
@@ -133,15 +141,15 @@ def paths_to_conversion(convs: DataFrame, touchpoints: DataFrame, cfg: Attributi
     Both paths come from the same sorted touches (visit time, then view id), so
     they are aligned element by element even when visit times tie.
     """
-    # the order within a segment stands: only labels are shuffled
-    labels = F.transform("_segment", lambda x: F.struct(x["channel"].alias("channel"), x["campaign"].alias("campaign")))
-    grouped = path_segments(convs, touchpoints, cfg).withColumn("_segment", labels).groupBy(*CONVERSION_COLUMNS).agg(
-        F.array_sort(F.collect_list(F.struct("_block", "_segment"))).alias("_t"))
-    grouped = grouped.withColumn("_t", F.flatten(F.transform("_t", lambda x: x["_segment"])))
+    # the order within a segment stands: only labels are shuffled, as two plain arrays (smaller than one of pairs)
+    labels = (F.transform(_segment(), lambda x: x["channel"]).alias("channel"),
+              F.transform(_segment(), lambda x: x["campaign"]).alias("campaign"))
+    grouped = _cut_blocks(convs, touchpoints, cfg).select(*CONVERSION_COLUMNS, F.struct("_block", *labels).alias("_labels")).groupBy(
+        *CONVERSION_COLUMNS).agg(F.array_sort(F.collect_list("_labels")).alias("_t"))
     out = grouped.select(
         *CONVERSION_COLUMNS,
-        _non_empty(F.transform("_t", lambda x: x["channel"])).alias("channel_path"),
-        _non_empty(F.transform("_t", lambda x: x["campaign"])).alias("campaign_path"),
+        _non_empty(F.flatten(F.transform("_t", lambda x: x["channel"]))).alias("channel_path"),
+        _non_empty(F.flatten(F.transform("_t", lambda x: x["campaign"]))).alias("campaign_path"),
     )
     out = out.withColumn(
         "cv_path_start_tstamp",

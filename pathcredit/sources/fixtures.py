@@ -38,30 +38,32 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
+def _mapped() -> Column:
+    return F.col("user_id") % 3 != 0
+
+
+def _mapped_user() -> Column:
+    return F.concat(F.lit("u"), F.floor(F.col("user_id") / 2).cast("bigint").cast("string"))
+
+
 def user_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per device id; two devices can share a user, a third of the
     devices are unmapped."""
-    ev = _events(spark, sf_dir)
-    return (
-        ev.filter(F.col("user_id") % 3 != 0)
-        .select(
-            _ui().alias("user_identifier"),
-            F.concat(F.lit("u"), F.floor(F.col("user_id") / 2).cast("bigint").cast("string")).alias("user_id"),
-        )
-        .distinct()
-    )
+    ev = _events(spark, sf_dir).filter(_mapped()).select("user_id").distinct()
+    return ev.select(_ui().alias("user_identifier"), _mapped_user().alias("user_id"))
 
 
-def _with_mapping(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    m = mapping.select(F.col("user_identifier").alias("_m_ui"), F.col("user_id").alias("_m_uid"))
-    return df.join(m, df["user_identifier"] == m["_m_ui"], "left").drop("_m_ui")
+def _own_user() -> Column:
+    """The user whom the mapping gives an event's device; every event's device is in the mapping if it has one, so no
+    join is needed."""
+    return F.when(_mapped(), _mapped_user())
 
 
-def views(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = None) -> DataFrame:
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views (touchpoint source) from ``view`` and ``click`` events."""
     ev = _events(spark, sf_dir).filter(F.col("event_type").isin("view", "click"))
     k = _k()
-    base = ev.select(
+    return ev.select(
         F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("view_id"),
         _ui().alias("user_identifier"),
         F.col("ts").alias("derived_tstamp"),
@@ -78,13 +80,11 @@ def views(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = None) ->
         .otherwise(F.lit("social")).alias("mkt_medium"),
         F.when(k % 2 == 0, F.lit("www.a.test")).otherwise(F.lit("shop.a.test")).alias("page_urlhost"),
         (F.col("event_id") % 4 + 1).alias("view_in_session_index"),
+        F.coalesce(_own_user(), _ui()).alias("stitched_user_id"),
     )
-    mapping = mapping if mapping is not None else user_mapping(spark, sf_dir)
-    out = _with_mapping(base, mapping)
-    return out.withColumn("stitched_user_id", F.coalesce(F.col("_m_uid"), F.col("user_identifier"))).drop("_m_uid")
 
 
-def conversions(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = None) -> DataFrame:
+def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions from ``purchase`` and ``signup`` events. Three quarters of
     the purchases are subscription events (free_trial, subscribe, renew) of
     one of three subscriptions per user."""
@@ -98,6 +98,7 @@ def conversions(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = No
                F.concat(F.lit("s"), F.col("user_id").cast("string"), F.lit("-"),
                         (F.col("event_id") % 3).cast("string"))).alias("subscription_id"),
         _ui().alias("user_identifier"),
+        _own_user().alias("user_id"),
         F.col("ts").alias("cv_tstamp"),
         F.when(~is_purchase, F.lit("signup"))
         .when(k4 == 0, F.lit("free_trial"))
@@ -106,12 +107,8 @@ def conversions(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = No
         .otherwise(F.lit("purchase")).alias("cv_type"),
         F.when(is_purchase, F.round("value", 2)).alias("cv_value"),
     )
-    mapping = mapping if mapping is not None else user_mapping(spark, sf_dir)
-    out = _with_mapping(base, mapping)
     return (
-        out.withColumn("user_id", F.col("_m_uid"))
-        .withColumn("stitched_user_id", F.coalesce(F.col("_m_uid"), F.col("user_identifier")))
-        .drop("_m_uid")
+        base.withColumn("stitched_user_id", F.coalesce("user_id", "user_identifier"))
         .withColumn("cv_tstamp_date", F.to_date("cv_tstamp"))
         .select("cv_id", "event_id", "subscription_id", "user_identifier", "user_id",
                 "stitched_user_id", "cv_tstamp", "cv_type", "cv_value", "cv_tstamp_date")
@@ -186,10 +183,9 @@ class Inputs:
 
 
 def load_inputs(spark: SparkSession, sf_dir: str, with_spend: bool = True) -> Inputs:
-    mapping = user_mapping(spark, sf_dir)
     return Inputs(
-        views=views(spark, sf_dir, mapping),
-        conversions=conversions(spark, sf_dir, mapping),
-        user_mapping=mapping,
+        views=views(spark, sf_dir),
+        conversions=conversions(spark, sf_dir),
+        user_mapping=user_mapping(spark, sf_dir),
         spend=spend(spark, sf_dir) if with_spend else None,
     )

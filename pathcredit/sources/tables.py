@@ -130,6 +130,8 @@ class TableStore:
             # holding a large share of rows is written by several tasks).
             df = df.hint("rebalance", date_column)
         writer = df.write.mode(mode).option("parquet.bloom.filter.adaptive.enabled", "true")
+        # the second version's pages hold what a string has in common with the one before it once, as most of a key is
+        writer = writer.option("parquet.writer.version", "v2")
         for k in key:
             writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
         (writer.partitionBy(date_column) if date_column else writer).parquet(where)
@@ -162,7 +164,7 @@ class TableStore:
 
     def upsert(self, name: str, updates: DataFrame, key: Sequence[str], date_column: str,
                stable_partition: bool = False, date_limited: bool = False, unique: str | None = None,
-               dealt: bool = False) -> DataFrame:
+               dealt: bool = False, same: tuple[dict[str, Column], DataFrame] | None = None) -> DataFrame:
         """Replace whole rows whose key is in ``updates``, insert the
         others, delete nothing. Returns the table as read back. The updates are
         computed once, as they are written (``dealt``: they come in tasks of few
@@ -174,7 +176,10 @@ class TableStore:
         updates' first date to their last; with ``stable_partition`` (a key
         never changes its date) in the updates' own partitions only, without a
         scan to find them. With ``unique`` (what the updates are) a key that
-        occurs twice among them is an error; the keys' join counts them."""
+        occurs twice among them is an error; the keys' join counts them.
+
+        ``same`` spares most keys the search: expressions over a stored row, by name, and a table of values. A stored
+        row that has one of them (none of it null) has an updated key; only other rows' keys are looked for."""
         key = list(key)
         target = self.read(name)
         schema = updates.schema if target is None else target.unionByName(updates, allowMissingColumns=True).schema
@@ -196,7 +201,10 @@ class TableStore:
                 dates |= self._values(rows_of_keys(near.select(*key, date_column), keys, key), date_column)
         changed = {d for d in dates if d in parts}
         if changed:
-            kept = self._kept(target.filter(self._among(date_column, changed)), keys, key, unique)
+            rows = target.filter(self._among(date_column, changed))
+            if same is not None:
+                rows, keys = self._unlike(rows, keys, key, *same)
+            kept = self._kept(rows, keys, key, unique) if rows is not None else None
             if kept is not None:
                 kept = kept.select(*[F.col(c).cast(schema[c].dataType) for c in kept.columns])
                 self._write(kept, name, date_column, key, mode="append")
@@ -208,6 +216,17 @@ class TableStore:
         """The rows of this run's upsert into a table."""
         return self._updates[name]
 
+    def _unlike(self, rows: DataFrame, keys: DataFrame, key: list[str], told: dict[str, Column], values: DataFrame
+                ) -> tuple[DataFrame | None, DataFrame]:
+        """The stored rows without one of the told values (``None`` if there are none), and the updated keys among theirs."""
+        marked = rows.select("*", *[c.alias(n) for n, c in told.items()])
+        rest = self.stage("unlike", marked.select(*told).distinct().join(values, list(told), "left_anti"))
+        if rest.isEmpty():
+            return None, keys
+        found = marked.join(rest, reduce(and_, [marked[n].eqNullSafe(rest[n]) for n in told]), "left_semi").select(*rows.columns)
+        near = self.stage("near", found.select(*key).distinct())
+        return found, keys.join(near, key, "left_semi")
+
     def _kept(self, rows: DataFrame, keys: DataFrame, key: list[str], unique: str | None) -> DataFrame | None:
         """The rows whose key isn't among ``keys``; ``None`` if there are none. Which keys those are is found on keys
         alone: where a run replaces nearly all rows, as one over its lookback does, no old row is read whole."""

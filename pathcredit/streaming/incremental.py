@@ -218,23 +218,24 @@ def _run(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: Attributio
     dates = store.stage("dates", stored_dates(existing, this_run, cfg)) if path_mark is not None else None
     updates, seen = observed(paths_updates(inputs, cfg, this_run, subs, existing, path_mark, dates),
                              last="cv_tstamp", start="cv_path_start_tstamp")
-    updates = store.stage(PATHS, updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")))
+    updates = updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp"))
     # cv_tstamp of a stored conversion never changes (refreshes keep it), so
     # its date partition is stable.
     paths = store.upsert(PATHS, updates, ["cv_id"], "cv_tstamp_date", stable_partition=True, unique="paths of this run")
+    updates = store.updates(PATHS)
     lap("paths")
 
     # Everything stored later than an older mark came in with some run's updates,
     # so the new marks follow from the old ones and this run's updates.
     attr_mark = marks.get(ATTRIBUTION_MARK)
-    scope, touches = touches_observed(att.attribution_scope(paths, updates, this_run, attr_mark, cfg))
+    scope, touches = touches_observed(att.attribution_scope(paths, updates, this_run, attr_mark, cfg).select(*att.PATH_INPUT))
     scope = store.stage("scope", scope)
     for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
         # A conversion keeps its date, so keyed by cv_id the partition is stable;
         # composite keys can collide across conversions: look through the updates' dates.
         rows = att.attribute(dealt_by_date(scope, touches.get[dim] or 0), dim, cfg)
         store.upsert(table, rows, attribution_key(cfg), "cv_tstamp_date", stable_partition=cfg.attribution_replace_by_conversion,
-                     date_limited=True, dealt=True)
+                     date_limited=True, dealt=True, same=None if cfg.attribution_replace_by_conversion else att.paths_held(scope, dim))
         lap(f"{dim}_attributions")
 
     new_sub_mark = max(sub_mark, latest) if latest is not None else sub_mark
