@@ -9,6 +9,7 @@ One function serves both dimensions. The path is unnested in place with
 from __future__ import annotations
 
 import datetime as dt
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ def attribution_columns(dim: str) -> tuple[str, ...]:
 
 
 def attribution_scope(paths: DataFrame, updates: DataFrame | None, this_run: DataFrame | None,
-                      last_processed: dt.datetime | None, cfg: AttributionConfig) -> DataFrame:
+                      last_processed: dt.datetime | None, cfg: AttributionConfig,
+                      deal: Callable[[DataFrame], DataFrame] = lambda older: older) -> DataFrame:
     """Rows to (re)attribute on an incremental run: recent conversions
     (``cv_tstamp >= last_processed - lookback``) OR subscriptions touched this
     run.
@@ -38,7 +40,7 @@ def attribution_scope(paths: DataFrame, updates: DataFrame | None, this_run: Dat
     The recent ones are read from the stored paths by date partition. Every
     path of a touched subscription is among this run's ``updates`` (a new one
     or a refreshed one), so the older ones come from there and the stored
-    paths need no join."""
+    paths need no join; ``deal`` says how the tasks that write the scope get them."""
     if last_processed is None:
         return paths
     since = last_processed - dt.timedelta(days=cfg.path_lookback_days)
@@ -49,7 +51,15 @@ def attribution_scope(paths: DataFrame, updates: DataFrame | None, this_run: Dat
         return recent
     older = updates.filter(F.col("cv_tstamp") < ts_lit(since)).join(
         this_run.select(F.col(cfg.subscription_id).alias("cv_id")), "cv_id", "left_semi")
-    return recent.select(*PATH_COLUMNS).unionByName(older.select(*PATH_COLUMNS))
+    return recent.select(*PATH_COLUMNS).unionByName(deal(older.select(*PATH_COLUMNS)))
+
+
+def bytes_written() -> Column:
+    """About how many bytes the rows of a path take before they are encoded, in the dimension that has more: each of
+    its touches is a row with the whole path's text."""
+    sizes = [F.coalesce(F.size(F.coalesce(f"{d}_transformed_path", F.array())).cast("double"), F.lit(0.0)) for d in DIMENSIONS]
+    n = F.greatest(F.lit(1.0), *sizes)  # a path without touches has one row
+    return n * (300.0 + 12.0 * n)
 
 
 def paths_held(paths: DataFrame, dim: str) -> tuple[dict[str, Column], DataFrame]:

@@ -181,6 +181,17 @@ def paths_as_strings(paths: DataFrame) -> DataFrame:
     return out
 
 
+def rebalanced(paths: DataFrame, by: str) -> DataFrame:
+    """Paths in tasks of few values of a column, as they are written by it. What is shuffled has a transformed path
+    only where it isn't the raw one."""
+    rest = [c for c in paths.columns if not c.endswith("_transformed_path")]
+    raw = {f"{d}_transformed_path": F.col(f"{d}_path") for d in ("channel", "campaign")}
+    lean = paths.select(*rest, *[F.when(~F.col(c).eqNullSafe(p), F.col(c)).alias(c) for c, p in raw.items()],
+                        *[F.col(c).eqNullSafe(p).alias(f"_raw_{c}") for c, p in raw.items()]).hint("rebalance", by)
+    whole = {c: F.when(F.col(f"_raw_{c}"), p).otherwise(F.col(c)).alias(c) for c, p in raw.items()}
+    return lean.select(*[whole.get(c, F.col(c)) for c in paths.columns])
+
+
 def refresh_revenue(existing_paths: DataFrame, subscriptions: DataFrame, dates: DataFrame,
                     cfg: AttributionConfig) -> DataFrame:
     """Paths of subscriptions already attributed and touched again this

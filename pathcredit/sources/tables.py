@@ -18,6 +18,7 @@ overwrites what it left. One run at a time writes to a state folder.
 
 from __future__ import annotations
 
+import copy
 import json
 import uuid
 from dataclasses import dataclass, replace
@@ -70,6 +71,7 @@ class TableStore:
         self.marks = [tuple(r)[:-1] for r in told if r[WRITE] == done]
         self.tables = self._contents(done)
         self._updates: dict[str, DataFrame] = {}
+        self._stage_by: tuple[int, str] | None = None
 
     # -- what is there ----------------------------------------------------------
     def _rows(self, where: str, schema) -> list:
@@ -156,8 +158,29 @@ class TableStore:
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written once beside the tables and read back; ``clear_stages`` removes it."""
         where = self.stage_path(name)
-        df.write.parquet(where)
-        return self.spark.read.schema(df.schema).parquet(where)
+        if self._stage_by is None:
+            df.write.parquet(where)
+        else:
+            rows, column = self._stage_by
+            df.write.option("maxRecordsPerFile", rows).partitionBy(column).parquet(where)
+        return self.spark.read.schema(df.schema).parquet(where).select(*df.columns)
+
+    def by_files_of(self, rows: int, date_column: str) -> TableStore:
+        """The same store, whose stages have a folder for each date and at most so many rows a file."""
+        same = copy.copy(self)
+        same._stage_by = rows, date_column
+        return same
+
+    def by_ranges(self, df: DataFrame, date_column: str, most: int = 32) -> DataFrame:
+        """A table stored by date in the order of its dates, read by at most so many scans: a task has few dates."""
+        dates = self._values(df, date_column)
+        known = sorted(d for d in dates if d is not None)
+        step = max(1, -(-len(known) // most))
+        spans = [known[a : a + step] for a in range(0, len(known), step)]
+        day = F.col(date_column)
+        tests = [day.between(*[F.lit(d).cast(df.schema[date_column].dataType) for d in (span[0], span[-1])]) for span in spans]
+        tests += [day.isNull()] if None in dates else []
+        return reduce(DataFrame.unionAll, [df.filter(t) for t in tests]) if tests else df
 
     def clear_stages(self) -> None:
         delete_path(self.spark, f"{self.root}/_staging")
@@ -173,7 +196,7 @@ class TableStore:
 
         Older rows of an updated key are looked for in all partitions (of which
         only the key is read); with ``date_limited`` in those from the
-        updates' first date to their last; with ``stable_partition`` (a key
+        updates' first date to their last, which are few and get no Bloom filters; with ``stable_partition`` (a key
         never changes its date) in the updates' own partitions only, without a
         scan to find them. With ``unique`` (what the updates are) a key that
         occurs twice among them is an error; the keys' join counts them.
@@ -184,7 +207,8 @@ class TableStore:
         target = self.read(name)
         schema = updates.schema if target is None else target.unionByName(updates, allowMissingColumns=True).schema
         updates = updates.select(*[F.col(c).cast(schema[c].dataType) for c in updates.columns])
-        self._write(updates, name, date_column, key, dealt)
+        filtered = [] if date_limited else key
+        self._write(updates, name, date_column, filtered, dealt)
         new = self._updates[name] = self._written(name, updates.schema)
         dates = self._values(new, date_column)
         if target is not None and not dates:  # no updates
@@ -207,7 +231,7 @@ class TableStore:
             kept = self._kept(rows, keys, key, unique) if rows is not None else None
             if kept is not None:
                 kept = kept.select(*[F.col(c).cast(schema[c].dataType) for c in kept.columns])
-                self._write(kept, name, date_column, key, mode="append")
+                self._write(kept, name, date_column, filtered, mode="append")
         elif unique:
             require_unique(keys, key, unique)
         return self._now(name, schema, date_column, parts | dict.fromkeys(dates, self.number))

@@ -77,10 +77,21 @@ def observed(df: DataFrame, **columns: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *[F.max(c).alias(k) for k, c in columns.items()]), seen
 
 
-def touches_observed(scope: DataFrame) -> tuple[DataFrame, Observation]:
-    """Paths with the number of their touches observed for each dimension."""
+def paths_observed(paths: DataFrame) -> tuple[DataFrame, Observation]:
+    """Paths with their latest time and start, and how large a path's attribution rows are on average, observed."""
     seen = Observation()
-    return scope.observe(seen, *[F.sum(F.size(F.coalesce(f"{d}_transformed_path", F.array()))).alias(d) for d in att.DIMENSIONS]), seen
+    return paths.observe(seen, F.max("cv_tstamp").alias("last"), F.max("cv_path_start_tstamp").alias("start"),
+                         F.avg(att.bytes_written()).alias("bytes")), seen
+
+
+#: Bytes of attribution rows, before they are encoded, that the paths of one file of the scope make. A task reads at
+#: most 32 files, as each counts 4 MB (spark.sql.files.openCostInBytes) beside its size, of 128 MB in all.
+SCOPE_FILE = 40_000_000
+
+
+def scope_files(bytes_of_a_path: float | None) -> int:
+    """How many paths a file of the scope has."""
+    return max(1, int(SCOPE_FILE / max(bytes_of_a_path or 0, 300)))
 
 
 def dealt_by_date(scope: DataFrame, touches: int, most: int = 500_000) -> DataFrame:
@@ -216,25 +227,27 @@ def _run(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: Attributio
     existing = store.read(PATHS)
     path_mark = marks.get(PATHS_MARK) if existing is not None else None
     dates = store.stage("dates", stored_dates(existing, this_run, cfg)) if path_mark is not None else None
-    updates, seen = observed(paths_updates(inputs, cfg, this_run, subs, existing, path_mark, dates),
-                             last="cv_tstamp", start="cv_path_start_tstamp")
-    updates = updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp"))
+    updates, seen = paths_observed(paths_updates(inputs, cfg, this_run, subs, existing, path_mark, dates))
+    updates = pth.rebalanced(updates.withColumn("cv_tstamp_date", F.to_date("cv_tstamp")), "cv_tstamp_date")
     # cv_tstamp of a stored conversion never changes (refreshes keep it), so
     # its date partition is stable.
-    paths = store.upsert(PATHS, updates, ["cv_id"], "cv_tstamp_date", stable_partition=True, unique="paths of this run")
+    paths = store.upsert(PATHS, updates, ["cv_id"], "cv_tstamp_date", stable_partition=True, unique="paths of this run", dealt=True)
     updates = store.updates(PATHS)
     lap("paths")
 
     # Everything stored later than an older mark came in with some run's updates,
     # so the new marks follow from the old ones and this run's updates.
     attr_mark = marks.get(ATTRIBUTION_MARK)
-    scope, touches = touches_observed(att.attribution_scope(paths, updates, this_run, attr_mark, cfg).select(*att.PATH_INPUT))
-    scope = store.stage("scope", scope)
+    # Stored paths lie by date, and so does the scope (the older ones are dealt). Its files are small enough to be
+    # unnested as they are read: neither paths nor their rows are shuffled for it.
+    scope = att.attribution_scope(paths, updates, this_run, attr_mark, cfg, lambda older: dealt_by_date(older, 0))
+    scope = scope.select(*att.PATH_INPUT, F.to_date("cv_tstamp").alias("cv_tstamp_date"))
+    scope = store.by_files_of(scope_files(seen.get["bytes"]), "cv_tstamp_date").stage("scope", scope)
+    by_date = store.by_ranges(scope, "cv_tstamp_date")
     for dim, table in (("channel", CHANNEL_ATTR), ("campaign", CAMPAIGN_ATTR)):
         # A conversion keeps its date, so keyed by cv_id the partition is stable;
         # composite keys can collide across conversions: look through the updates' dates.
-        rows = att.attribute(dealt_by_date(scope, touches.get[dim] or 0), dim, cfg)
-        store.upsert(table, rows, attribution_key(cfg), "cv_tstamp_date", stable_partition=cfg.attribution_replace_by_conversion,
+        store.upsert(table, att.attribute(by_date, dim, cfg), attribution_key(cfg), "cv_tstamp_date", stable_partition=cfg.attribution_replace_by_conversion,
                      date_limited=True, dealt=True, same=None if cfg.attribution_replace_by_conversion else att.paths_held(scope, dim))
         lap(f"{dim}_attributions")
 
