@@ -67,10 +67,10 @@ def new_subscription_conversions(subscriptions: DataFrame, this_run: DataFrame |
 
 
 
-def _non_empty(arr: Column) -> Column:
-    # String aggregation skips nulls and yields null for no value at all.
+def _non_empty(arr: Column, gaps: Column) -> Column:
+    # String aggregation skips nulls and yields null for no value at all; only where there are gaps it is looked for them.
     kept = F.filter(arr, lambda x: x.isNotNull())
-    return F.when(F.size(kept) > 0, kept)
+    return F.when(gaps, F.when(F.size(kept) > 0, kept)).otherwise(arr)
 
 
 TOUCH = ("visit_start_tstamp", "view_id", "channel", "campaign")  # in path order
@@ -84,8 +84,8 @@ def _blocks_of(convs: DataFrame, cfg: AttributionConfig) -> DataFrame:
 
 
 def touch_blocks(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """One row per customer and block of days with its touches in path order, of the blocks that some conversion
-    needs (a visitor of very many touches and no conversion fills no row)."""
+    """One row per customer and block of days with its touches in path order and whether any label of theirs is null
+    (``_gaps``), of the blocks that some conversion needs (a visitor of very many touches and no conversion fills no row)."""
     tp = touchpoints
     tf = touch_filters(cfg)
     if tf is not None:
@@ -94,39 +94,42 @@ def touch_blocks(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfi
                    F.floor(day_number(F.col("visit_start_tstamp")) / cfg.join_bucket_days).alias("_block"))
     needed = _blocks_of(convs, cfg).select(F.col("customer_id").alias("_customer"), "_block").distinct()
     return (tp.join(needed, ["_customer", "_block"], "left_semi").groupBy("_customer", "_block")
-            .agg(F.array_sort(F.collect_list(F.struct(*TOUCH))).alias("_touches")))
+            .agg(F.sort_array(F.collect_list(F.struct(*TOUCH))).alias("_touches"),
+                 F.bool_or(F.col("channel").isNull() | F.col("campaign").isNull()).alias("_gaps")))
 
 
-def _leading(touches: Column, holds) -> Column:
-    """How many of the sorted touches lie before the first for which ``holds`` fails, by binary search."""
+def _leading(visits: Column, holds) -> Column:
+    """How many of the sorted visit times lie before the first for which ``holds`` fails, by binary search."""
 
     def halve(span: Column, _: Column) -> Column:
         middle = F.shiftright(span["low"] + span["high"], 1)
-        inside = holds(F.get(touches, middle)["visit_start_tstamp"])
+        inside = holds(F.get(visits, middle))
         return F.when(span["low"] >= span["high"], span).otherwise(F.struct(
             F.when(inside, middle + 1).otherwise(span["low"]).alias("low"),
             F.when(inside, span["high"]).otherwise(middle).alias("high")))
 
-    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(touches))).cast("int"))
-    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(touches).alias("high")), halve, lambda span: span["low"])
+    steps = F.sequence(F.lit(0), F.floor(F.log2(F.size(visits))).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(visits).alias("high")), halve, lambda span: span["low"])
 
 
 def _cut_blocks(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """One row per conversion and block that holds touches of its path: the block's touches, and which of them."""
+    """One row per conversion and block that holds touches of its path: the block's touches, and which of them. Their
+    labels are taken out of the touches once a block, not for each conversion that meets it."""
     L, B = cfg.path_lookback_days, cfg.join_bucket_days
     cv, blocks = _blocks_of(convs, cfg), touch_blocks(convs, touchpoints, cfg)
+    blocks = blocks.select("*", *[F.col("_touches")[c].alias(f"_{c}s") for c in ("visit_start_tstamp", "channel", "campaign")])
     both = cv.join(blocks, (cv["customer_id"] == blocks["_customer"]) & (cv["_block"] == blocks["_block"]), "inner").drop(blocks["_block"])
-    touches = F.col("_touches")
+    visits = F.col("_visit_start_tstamps")
     opens = F.date_sub(F.to_date("cv_tstamp"), L).cast("timestamp_ntz")  # calendar days: from midnight on
-    before = F.when(F.col("_block") * B < F.col("_cv_day") - L, _leading(touches, lambda visit: visit < opens)).otherwise(0)
-    until = (F.when((F.col("_block") + 1) * B > F.col("_cv_day"), _leading(touches, lambda visit: visit <= F.col("cv_tstamp")))
-             .otherwise(F.size(touches)))
-    cut = both.select(*CONVERSION_COLUMNS, "_block", "_touches", before.alias("_before"), until.alias("_until"))
+    before = F.when(F.col("_block") * B < F.col("_cv_day") - L, _leading(visits, lambda visit: visit < opens)).otherwise(0)
+    until = (F.when((F.col("_block") + 1) * B > F.col("_cv_day"), _leading(visits, lambda visit: visit <= F.col("cv_tstamp")))
+             .otherwise(F.size(visits)))
+    cut = both.select(*CONVERSION_COLUMNS, "_block", "_touches", "_channels", "_campaigns", "_gaps", before.alias("_before"), until.alias("_until"))
     return cut.filter(F.col("_until") > F.col("_before"))
 
 
-def _segment() -> Column:
-    return F.slice("_touches", F.col("_before") + 1, F.col("_until") - F.col("_before"))
+def _segment(of: str = "_touches") -> Column:
+    return F.slice(of, F.col("_before") + 1, F.col("_until") - F.col("_before"))
 
 
 def path_segments(convs: DataFrame, touchpoints: DataFrame, cfg: AttributionConfig) -> DataFrame:
@@ -142,14 +145,12 @@ def paths_to_conversion(convs: DataFrame, touchpoints: DataFrame, cfg: Attributi
     they are aligned element by element even when visit times tie.
     """
     # the order within a segment stands: only labels are shuffled, as two plain arrays (smaller than one of pairs)
-    labels = (F.transform(_segment(), lambda x: x["channel"]).alias("channel"),
-              F.transform(_segment(), lambda x: x["campaign"]).alias("campaign"))
-    grouped = _cut_blocks(convs, touchpoints, cfg).select(*CONVERSION_COLUMNS, F.struct("_block", *labels).alias("_labels")).groupBy(
-        *CONVERSION_COLUMNS).agg(F.array_sort(F.collect_list("_labels")).alias("_t"))
+    labels = F.struct("_block", _segment("_channels").alias("channel"), _segment("_campaigns").alias("campaign"))
+    grouped = _cut_blocks(convs, touchpoints, cfg).select(*CONVERSION_COLUMNS, labels.alias("_labels"), "_gaps").groupBy(
+        *CONVERSION_COLUMNS).agg(F.sort_array(F.collect_list("_labels")).alias("_t"), F.bool_or("_gaps").alias("_gaps"))
     out = grouped.select(
         *CONVERSION_COLUMNS,
-        _non_empty(F.flatten(F.transform("_t", lambda x: x["channel"]))).alias("channel_path"),
-        _non_empty(F.flatten(F.transform("_t", lambda x: x["campaign"]))).alias("campaign_path"),
+        *[_non_empty(F.flatten(F.col("_t")[d]), F.col("_gaps")).alias(f"{d}_path") for d in ("channel", "campaign")],
     )
     out = out.withColumn(
         "cv_path_start_tstamp",
