@@ -62,7 +62,7 @@ def _own_user() -> Column:
 def views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views (touchpoint source) from ``view`` and ``click`` events."""
     ev = _events(spark, sf_dir).filter(F.col("event_type").isin("view", "click"))
-    k = _k()
+    ev, k = ev.select("event_id", "user_id", "ts", _k().alias("_k")), F.col("_k")  # the text is parsed once a row
     return ev.select(
         F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("view_id"),
         _ui().alias("user_identifier"),
@@ -89,8 +89,9 @@ def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     the purchases are subscription events (free_trial, subscribe, renew) of
     one of three subscriptions per user."""
     ev = _events(spark, sf_dir).filter(F.col("event_type").isin("purchase", "signup"))
-    k4 = _k() % 4
     is_purchase = F.col("event_type") == "purchase"
+    ev, k4 = ev.select("event_id", "user_id", "ts", "event_type", "value", F.when(is_purchase, _k() % 4).alias("_k4")), F.col("_k4")
+    kinds = F.array(F.lit("free_trial"), F.lit("subscribe"), F.lit("renew"))  # one look at k4, which filters on the type parse
     base = ev.select(
         F.concat(F.lit("cv"), F.col("event_id").cast("string")).alias("cv_id"),
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"),
@@ -100,11 +101,7 @@ def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ui().alias("user_identifier"),
         _own_user().alias("user_id"),
         F.col("ts").alias("cv_tstamp"),
-        F.when(~is_purchase, F.lit("signup"))
-        .when(k4 == 0, F.lit("free_trial"))
-        .when(k4 == 1, F.lit("subscribe"))
-        .when(k4 == 2, F.lit("renew"))
-        .otherwise(F.lit("purchase")).alias("cv_type"),
+        F.when(~is_purchase, F.lit("signup")).otherwise(F.coalesce(F.get(kinds, k4), F.lit("purchase"))).alias("cv_type"),
         F.when(is_purchase, F.round("value", 2)).alias("cv_value"),
     )
     return (
