@@ -30,6 +30,11 @@ def attribution_columns(dim: str) -> tuple[str, ...]:
             "position_based_attribution")
 
 
+def texts_of_path(dim: str) -> tuple[str, ...]:
+    """The columns that all rows of a path, which lie together, have in common, and the key, which begins alike in them."""
+    return ("composite_key", "cv_id", "event_id", "customer_id", f"{dim}_transformed_path")
+
+
 def attribution_scope(paths: DataFrame, updates: DataFrame | None, this_run: DataFrame | None,
                       last_processed: dt.datetime | None, cfg: AttributionConfig,
                       deal: Callable[[DataFrame], DataFrame] = lambda older: older) -> DataFrame:

@@ -124,7 +124,7 @@ class TableStore:
 
     # -- writes -----------------------------------------------------------
     def _write(self, df: DataFrame, name: str, date_column: str | None, key: Sequence[str] = (), dealt: bool = False,
-               mode: str = "overwrite") -> None:
+               mode: str = "overwrite", runs: Sequence[str] = ()) -> None:
         where = f"{self.path(name)}/{WRITE}={self.number}"
         if date_column is not None and not dealt:
             # REBALANCE on the partition column: AQE coalesces small output
@@ -136,6 +136,9 @@ class TableStore:
         writer = writer.option("parquet.writer.version", "v2")
         for k in key:
             writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
+        for c in runs:
+            # a dictionary would hash and compare every value's bytes; the difference from the one before is nothing or little
+            writer = writer.option(f"parquet.enable.dictionary#{c}", "false")
         (writer.partitionBy(date_column) if date_column else writer).parquet(where)
 
     def _now(self, name: str, schema: T.StructType, date_column: str | None, parts: dict[str | None, int]) -> DataFrame:
@@ -187,7 +190,8 @@ class TableStore:
 
     def upsert(self, name: str, updates: DataFrame, key: Sequence[str], date_column: str,
                stable_partition: bool = False, date_limited: bool = False, unique: str | None = None,
-               dealt: bool = False, same: tuple[dict[str, Column], DataFrame] | None = None) -> DataFrame:
+               dealt: bool = False, same: tuple[dict[str, Column], DataFrame] | None = None,
+               runs: Sequence[str] = ()) -> DataFrame:
         """Replace whole rows whose key is in ``updates``, insert the
         others, delete nothing. Returns the table as read back. The updates are
         computed once, as they are written (``dealt``: they come in tasks of few
@@ -202,13 +206,15 @@ class TableStore:
         occurs twice among them is an error; the keys' join counts them.
 
         ``same`` spares most keys the search: expressions over a stored row, by name, and a table of values. A stored
-        row that has one of them (none of it null) has an updated key; only other rows' keys are looked for."""
+        row that has one of them (none of it null) has an updated key; only other rows' keys are looked for.
+
+        ``runs``: text columns whose values mostly are, or begin like, those of the row before."""
         key = list(key)
         target = self.read(name)
         schema = updates.schema if target is None else target.unionByName(updates, allowMissingColumns=True).schema
         updates = updates.select(*[F.col(c).cast(schema[c].dataType) for c in updates.columns])
         filtered = [] if date_limited else key
-        self._write(updates, name, date_column, filtered, dealt)
+        self._write(updates, name, date_column, filtered, dealt, runs=runs)
         new = self._updates[name] = self._written(name, updates.schema)
         dates = self._values(new, date_column)
         if target is not None and not dates:  # no updates
@@ -231,7 +237,7 @@ class TableStore:
             kept = self._kept(rows, keys, key, unique) if rows is not None else None
             if kept is not None:
                 kept = kept.select(*[F.col(c).cast(schema[c].dataType) for c in kept.columns])
-                self._write(kept, name, date_column, filtered, mode="append")
+                self._write(kept, name, date_column, filtered, mode="append", runs=runs)
         elif unique:
             require_unique(keys, key, unique)
         return self._now(name, schema, date_column, parts | dict.fromkeys(dates, self.number))

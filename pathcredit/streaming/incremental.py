@@ -248,7 +248,8 @@ def _run(spark: SparkSession, store: TableStore, inputs: Inputs, cfg: Attributio
         # A conversion keeps its date, so keyed by cv_id the partition is stable;
         # composite keys can collide across conversions: look through the updates' dates.
         store.upsert(table, att.attribute(by_date, dim, cfg), attribution_key(cfg), "cv_tstamp_date", stable_partition=cfg.attribution_replace_by_conversion,
-                     date_limited=True, dealt=True, same=None if cfg.attribution_replace_by_conversion else att.paths_held(scope, dim))
+                     date_limited=True, dealt=True, same=None if cfg.attribution_replace_by_conversion else att.paths_held(scope, dim),
+                     runs=att.texts_of_path(dim))
         lap(f"{dim}_attributions")
 
     new_sub_mark = max(sub_mark, latest) if latest is not None else sub_mark
