@@ -71,6 +71,7 @@ class TableStore:
         self.marks = [tuple(r)[:-1] for r in told if r[WRITE] == done]
         self.tables = self._contents(done)
         self._updates: dict[str, DataFrame] = {}
+        self._runs: dict[str, Sequence[str]] = {}
         self._stage_by: tuple[int, str] | None = None
 
     # -- what is there ----------------------------------------------------------
@@ -124,7 +125,7 @@ class TableStore:
 
     # -- writes -----------------------------------------------------------
     def _write(self, df: DataFrame, name: str, date_column: str | None, key: Sequence[str] = (), dealt: bool = False,
-               mode: str = "overwrite", runs: Sequence[str] = ()) -> None:
+               mode: str = "overwrite") -> None:
         where = f"{self.path(name)}/{WRITE}={self.number}"
         if date_column is not None and not dealt:
             # REBALANCE on the partition column: AQE coalesces small output
@@ -136,7 +137,7 @@ class TableStore:
         writer = writer.option("parquet.writer.version", "v2")
         for k in key:
             writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
-        for c in runs:
+        for c in self._runs.get(name, ()):
             # a dictionary would hash and compare every value's bytes; the difference from the one before is nothing or little
             writer = writer.option(f"parquet.enable.dictionary#{c}", "false")
         (writer.partitionBy(date_column) if date_column else writer).parquet(where)
@@ -210,11 +211,12 @@ class TableStore:
 
         ``runs``: text columns whose values mostly are, or begin like, those of the row before."""
         key = list(key)
+        self._runs[name] = runs
         target = self.read(name)
         schema = updates.schema if target is None else target.unionByName(updates, allowMissingColumns=True).schema
         updates = updates.select(*[F.col(c).cast(schema[c].dataType) for c in updates.columns])
         filtered = [] if date_limited else key
-        self._write(updates, name, date_column, filtered, dealt, runs=runs)
+        self._write(updates, name, date_column, filtered, dealt)
         new = self._updates[name] = self._written(name, updates.schema)
         dates = self._values(new, date_column)
         if target is not None and not dates:  # no updates
@@ -237,7 +239,7 @@ class TableStore:
             kept = self._kept(rows, keys, key, unique) if rows is not None else None
             if kept is not None:
                 kept = kept.select(*[F.col(c).cast(schema[c].dataType) for c in kept.columns])
-                self._write(kept, name, date_column, filtered, mode="append", runs=runs)
+                self._write(kept, name, date_column, filtered, mode="append")
         elif unique:
             require_unique(keys, key, unique)
         return self._now(name, schema, date_column, parts | dict.fromkeys(dates, self.number))
